@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # --- fixed values: adapter parameters ----------------------------------------
-AS_OF = dt.date(1998, 7, 1)                       # as-of date for decisions/reports
+AS_OF = dt.date(1998, 7, 1)                       # as-of date for decisions
+REPORT_AS_OF = dt.date(1999, 1, 1)                # as-of date the status/report views are read at
 LOAD_BASE = dt.datetime(1998, 7, 1, 0, 0, 0)      # batch 0 load time; batch b at +b hours
 REDELIVERY_DELAY_MINUTES = 30
 EVALUATION_DELAY_MINUTES = 5                      # evaluated_at = loaded_at + 5 min
@@ -103,17 +104,17 @@ def deal_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         batch.alias("batch_id"),
         F.col("l_returnflag"),
     )
-    base_load = F.expr(f"timestampadd(HOUR, batch_id, TIMESTAMP_NTZ '{LOAD_BASE:%Y-%m-%d %H:%M:%S}')")
-    first = msg.drop("l_returnflag").select(
-        "*",
-        F.concat(F.lit("deals_b"), F.col("batch_id").cast("string"), F.lit(".jsonl")).alias("file_name"),
-        base_load.alias("loaded_at"))
-    again = msg.filter(F.col("l_returnflag") == "R").drop("l_returnflag").select(
-        "*",
-        F.concat(F.lit("redelivery_b"), F.col("batch_id").cast("string"), F.lit(".jsonl")).alias("file_name"),
-        F.expr(f"timestampadd(MINUTE, {REDELIVERY_DELAY_MINUTES}, "
-               f"timestampadd(HOUR, batch_id, TIMESTAMP_NTZ '{LOAD_BASE:%Y-%m-%d %H:%M:%S}'))").alias("loaded_at"))
-    return first.unionByName(again)
+    # One scan and one join for both deliveries: each message row is
+    # generated once, or twice when it is redelivered.
+    copies = F.when(F.col("l_returnflag") == "R", F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    out = msg.select("*", F.explode(copies).alias("_copy")).drop("l_returnflag")
+    prefix = F.when(F.col("_copy") == 0, F.lit("deals_b")).otherwise(F.lit("redelivery_b"))
+    loaded = F.expr(f"timestampadd(MINUTE, _copy * {REDELIVERY_DELAY_MINUTES}, "
+                    f"timestampadd(HOUR, batch_id, TIMESTAMP_NTZ '{LOAD_BASE:%Y-%m-%d %H:%M:%S}'))")
+    return out.select(
+        *[c for c in out.columns if c != "_copy"],
+        F.concat(prefix, F.col("batch_id").cast("string"), F.lit(".jsonl")).alias("file_name"),
+        loaded.alias("loaded_at"))
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
