@@ -194,3 +194,23 @@ STAR_CTES = [
 
 def with_star(select_sql: str, *extra_ctes: str) -> str:
     return with_decisions(select_sql, *STAR_CTES, *extra_ctes)
+
+
+def _fx_base() -> str:
+    from .. import constants as K
+    return "CASE " + _CURRENCY + " " + " ".join(
+        f"WHEN '{c}' THEN CAST({r!r} AS DOUBLE)" for c, r in K.STATIC_RATES_TO_USD.items()) + " END"
+
+
+FX_RAW_CTE = f"""fx_raw AS (
+  SELECT * FROM (
+    SELECT CAST(l_shipdate AS DATE) AS as_of_date, {_CURRENCY} AS currency,
+           ({_fx_base()}) * (CAST(0.95 AS DOUBLE) + l_discount) AS rate_to_usd,
+           'fx_rates_' || strftime(CAST(l_shipdate AS DATE), '%Y%m%d') || '_v' || CAST(l_linenumber AS VARCHAR) || '.csv' AS file_name,
+           CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) + to_hours(6) + to_minutes(l_linenumber * 10) AS loaded_at
+    FROM lineitem) WHERE rate_to_usd IS NOT NULL)"""
+
+FX_LATEST_CTE = """fx_latest AS (
+  SELECT as_of_date, currency, rate_to_usd, file_name, loaded_at FROM fx_raw
+  QUALIFY row_number() OVER (PARTITION BY as_of_date, currency
+                             ORDER BY loaded_at DESC NULLS LAST, file_name DESC NULLS LAST, rate_to_usd DESC NULLS LAST) = 1)"""

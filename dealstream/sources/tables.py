@@ -135,3 +135,28 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id"),
         F.col("props"),
     )
+
+
+def fx_rates_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX landing derived from ``lineitem``: one rate row per line for the ship
+    date and the supplier's currency (no rows for the rate-less currency).
+    Each line number is a separate file version loaded ten minutes after the
+    previous one, so most (date, currency) pairs are loaded many times and
+    the latest load must win."""
+    from ..constants import STATIC_RATES_TO_USD
+
+    li = read_table(spark, sf_dir, "lineitem").select("l_shipdate", "l_suppkey", "l_linenumber", "l_discount")
+    ccy = _currency(F.col("l_suppkey"))
+    base = None
+    for code, rate in STATIC_RATES_TO_USD.items():
+        base = (F.when(ccy == code, F.lit(float(rate))) if base is None
+                else base.when(ccy == code, F.lit(float(rate))))
+    d = F.col("l_shipdate").cast("date")
+    out = li.select(
+        d.alias("as_of_date"), ccy.alias("currency"),
+        (base * (F.lit(0.95) + F.col("l_discount"))).alias("rate_to_usd"),
+        F.concat(F.lit("fx_rates_"), F.date_format(d, "yyyyMMdd"), F.lit("_v"),
+                 F.col("l_linenumber").cast("string"), F.lit(".csv")).alias("file_name"),
+        F.expr("timestampadd(MINUTE, l_linenumber * 10, timestampadd(HOUR, 6, CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP_NTZ)))")
+        .alias("loaded_at"))
+    return out.filter(F.col("rate_to_usd").isNotNull())
