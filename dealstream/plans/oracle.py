@@ -214,3 +214,24 @@ FX_LATEST_CTE = """fx_latest AS (
   SELECT as_of_date, currency, rate_to_usd, file_name, loaded_at FROM fx_raw
   QUALIFY row_number() OVER (PARTITION BY as_of_date, currency
                              ORDER BY loaded_at DESC NULLS LAST, file_name DESC NULLS LAST, rate_to_usd DESC NULLS LAST) = 1)"""
+
+
+RUN_LOG_CTE = """run_log AS (
+  SELECT event_id AS run_id, 'TASK_' || CAST(user_id % 5 AS VARCHAR) AS object_name,
+         CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'SKIPPED' ELSE 'SUCCEEDED' END AS state,
+         ts AS scheduled_time, value AS elapsed,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS parts_scanned,
+         CASE WHEN user_id % 10 = 0 THEN 0 ELSE 100 END AS parts_total,
+         event_type, user_id, props
+  FROM events)"""
+
+
+def window_pred(hours: float, col: str = "scheduled_time") -> str:
+    return (f"{col} > {NOW} - INTERVAL '{int(hours * 60)} minutes' AND {col} <= {NOW}")
+
+
+def with_log(select_sql: str, *extra: str) -> str:
+    ctes = RUN_LOG_CTE
+    for e in extra:
+        ctes += ",\n" + e
+    return f"WITH {ctes}\n{select_sql}"
