@@ -251,3 +251,31 @@ def decision_counts(decisions: DataFrame) -> DataFrame:
     """Count per batch, decision and reason."""
     return (decisions.groupBy("batch_id", "decision", "decision_reason")
             .agg(F.count(F.lit(1)).alias("message_count")))
+
+
+def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
+                   loaded_col: str = "loaded_at", evaluated_at: Column | None = None) -> DataFrame:
+    """C1 generalised to one drain that may hold several whole batches.
+
+    Messages are reduced to their first arrival and to those not decided
+    before (H3); the highest accepted version before each batch is the
+    larger of the known state (A2 over the prior decisions) and the running
+    candidate maximum over the drain's earlier batches, so any grouping of
+    whole batches into drains gives the same decisions as the one-pass replay.
+    """
+    msgs = dedup_first(drained, "message_id", (loaded_col, "file_name"))
+    if prior_decisions is not None:
+        msgs = msgs.join(prior_decisions.select("message_id"), "message_id", "left_anti")
+    winners = batch_winners(msgs, "batch_id", loaded_col)
+    candidate = F.when(~_matured(F.col("winner_maturity"), _date_col(as_of)), F.col("winner_version"))
+    earlier = (Window.partitionBy("trade_id").orderBy(F.col("batch_id"))
+               .rangeBetween(Window.unboundedPreceding, -1))
+    winners = winners.select("trade_id", "batch_id", "winner_id",
+                             F.max(candidate).over(earlier).alias("_running"))
+    if prior_decisions is not None:
+        winners = attach_existing_version(winners, known_state(prior_decisions))
+        existing = F.greatest("existing_version", "_running")  # NULLs are skipped
+    else:
+        existing = F.col("_running")
+    winners = winners.select("trade_id", "batch_id", "winner_id", existing.alias("existing_version"))
+    return _finish(msgs, winners, as_of, "batch_id", loaded_col, evaluated_at)
