@@ -72,14 +72,16 @@ def materialize(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
 
 
 # --- FX state (W2, C11) ---------------------------------------------------------------
-FX_ORDER = (F.col("loaded_at").desc_nulls_last(), F.col("file_name").desc_nulls_last(),
+def fx_order() -> tuple[Column, ...]:
+    """Latest load first; file name and rate as deterministic tie-breaks."""
+    return (F.col("loaded_at").desc_nulls_last(), F.col("file_name").desc_nulls_last(),
             F.col("rate_to_usd").desc_nulls_last())
 
 
 def latest_rate(fx_raw: DataFrame) -> DataFrame:
     """One rate per (as_of_date, currency): the most recently loaded one
     (file name, then rate, as deterministic tie-breaks)."""
-    return latest_per_key(fx_raw, ("as_of_date", "currency"), FX_ORDER).select(
+    return latest_per_key(fx_raw, ("as_of_date", "currency"), fx_order()).select(
         "as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at")
 
 
@@ -87,5 +89,5 @@ def fx_state(fx_raw: DataFrame, prior: DataFrame | None) -> DataFrame:
     """C11: new loads since the prior state's high-water mark, deduplicated
     and upserted into the prior state."""
     new = new_since(fx_raw, "loaded_at", prior, "loaded_at")
-    return upsert_latest(prior, latest_rate(new), ("as_of_date", "currency"), FX_ORDER).select(
+    return upsert_latest(prior, latest_rate(new), ("as_of_date", "currency"), fx_order()).select(
         "as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at")

@@ -151,7 +151,7 @@ def stream_fx(spark: SparkSession, fx_landing: str, state_path: str, checkpoint:
     so a failed write never corrupts the current state."""
     def process(df, epoch):
         prior = I.read_current(spark, state_path) if _exists(spark, f"{state_path}/_current") else None
-        new = STT.upsert_latest(prior, STT.latest_rate(df), ("as_of_date", "currency"), STT.FX_ORDER)
+        new = STT.upsert_latest(prior, STT.latest_rate(df), ("as_of_date", "currency"), STT.fx_order())
         # a fresh version folder per run: a replayed epoch re-reads the
         # current state and upserts again (latest-wins is idempotent)
         I.rebuild(new.select("as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at"), state_path)
