@@ -25,6 +25,18 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.evaluate_replay(deliveries(spark, sf_dir), T.AS_OF)
 
 
+def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The decision log written once to the shared checkpoint folder and read
+    back, for queries that consume it several times (the log is a table in
+    its own right; this also cuts the lineage, so a lost executor re-reads
+    files instead of replaying the whole derivation)."""
+    from ..session import unique_dir
+
+    path = unique_dir(spark, "tables", "decision_log")
+    decisions(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("evaluate_replay", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions"))
 def q_evaluate_replay(spark, sf_dir):
     return decisions(spark, sf_dir)
@@ -59,7 +71,7 @@ def q_known_state(spark, sf_dir):
 
 
 def _prior_and_batch(spark, sf_dir):
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     prior = dec.filter(F.col("batch_id") < EVAL_BATCH)
     batch = deliveries(spark, sf_dir).filter(F.col("batch_id") == EVAL_BATCH)
     return prior, batch

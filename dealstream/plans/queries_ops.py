@@ -17,7 +17,7 @@ from ..operators import state as STT
 from ..sources import tables as T
 from . import oracle as O
 from .catalog import query
-from .queries_core import decisions, deliveries
+from .queries_core import decision_log, decisions, deliveries
 from .queries_star import BOUNDS, rejected, report, status, valid
 
 # --- fixed values: snapshot schedule (after batch 1 and after batch 3) -------
@@ -53,8 +53,8 @@ def q_dq_accepted_values(spark, sf_dir):
     "SELECT f.* FROM valid_fact f WHERE f.trader_key IS NOT NULL "
     "AND NOT EXISTS (SELECT 1 FROM dim_trader d WHERE d.trader_key = f.trader_key)"))
 def q_dq_relationships(spark, sf_dir):
-    dec = decisions(spark, sf_dir)
-    return Q.check_relationship(valid(spark, sf_dir), "trader_key", ST.build_dim(dec, *ST.DIM_SPECS["trader"]),
+    dec = decision_log(spark, sf_dir)
+    return Q.check_relationship(valid(spark, sf_dir, dec), "trader_key", ST.build_dim(dec, *ST.DIM_SPECS["trader"]),
                                 "trader_key")
 
 
@@ -74,7 +74,8 @@ _STALE = "'STALE_VERSION_LOWER_THAN_EXISTING'"
     f"FROM valid_fact v JOIN rejected_fact r ON v.trade_id = r.trade_id "
     f"WHERE r.reject_reason = {_STALE} AND r.version >= v.version"))
 def q_invariant_stale_reject(spark, sf_dir):
-    return Q.stale_reject_violations(valid(spark, sf_dir), rejected(spark, sf_dir), ">=")
+    dec = decision_log(spark, sf_dir)
+    return Q.stale_reject_violations(valid(spark, sf_dir, dec), rejected(spark, sf_dir, dec), ">=")
 
 
 @query("theta_join_versions", O.with_star(
@@ -82,7 +83,8 @@ def q_invariant_stale_reject(spark, sf_dir):
     f"FROM valid_fact v JOIN rejected_fact r ON v.trade_id = r.trade_id "
     f"WHERE r.reject_reason = {_STALE} AND r.version < v.version"))
 def q_theta_join_versions(spark, sf_dir):
-    return Q.stale_reject_violations(valid(spark, sf_dir), rejected(spark, sf_dir), "<")
+    dec = decision_log(spark, sf_dir)
+    return Q.stale_reject_violations(valid(spark, sf_dir, dec), rejected(spark, sf_dir, dec), "<")
 
 
 def suite_spec():
@@ -138,7 +140,7 @@ def _suite_sql() -> str:
 
 @query("dq_report", _suite_sql())
 def q_dq_report(spark, sf_dir):
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     tables = {f"dim_{n}": ST.build_dim(dec, *spec) for n, spec in ST.DIM_SPECS.items()}
     tables["dim_product"] = ST.build_dim_product(dec, ST.product_reference(spark))
     tables["dim_date"] = ST.dim_date(spark, BOUNDS.start, BOUNDS.end)
@@ -146,10 +148,10 @@ def q_dq_report(spark, sf_dir):
     tables["stg"] = D.dedup_first(deliveries(spark, sf_dir))
     tables["fx_rates"] = STT.latest_rate(T.fx_rates_raw(spark, sf_dir))
     tables["product_reference"] = ST.product_reference(spark)
-    tables["valid_fact"] = valid(spark, sf_dir)
-    tables["rejected_fact"] = rejected(spark, sf_dir)
-    tables["deal_status"] = status(spark, sf_dir)
-    tables["deal_report"] = report(spark, sf_dir)
+    tables["valid_fact"] = valid(spark, sf_dir, dec)
+    tables["rejected_fact"] = rejected(spark, sf_dir, dec)
+    tables["deal_status"] = status(spark, sf_dir, dec)
+    tables["deal_report"] = report(spark, sf_dir, dec)
     return Q.run_suite(suite_spec(), tables)
 
 
@@ -203,8 +205,8 @@ def _scd_sql_ctes() -> list[str]:
     ]
 
 
-def history(spark, sf_dir):
-    acc = decisions(spark, sf_dir).filter(F.col("decision") == K.ACCEPTED)
+def history(spark, sf_dir, dec=None):
+    acc = (dec if dec is not None else decisions(spark, sf_dir)).filter(F.col("decision") == K.ACCEPTED)
     acc = acc.withColumn("processed_at", F.col("evaluated_at"))
     return SCD.scd2_history(acc, SNAPSHOTS)
 
@@ -217,7 +219,7 @@ def q_scd2_history(spark, sf_dir):
 @query("scd2_snapshot", O.with_star("SELECT * FROM scd_history", *_scd_sql_ctes()))
 def q_scd2_snapshot(spark, sf_dir):
     """Two snapshot runs applied one after the other (C6); equals the one-pass history."""
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     hist = None
     for b, t in SNAPSHOTS:
         cur = ST.build_valid_fact(STT.state_as_of(dec, batch_id=b), BOUNDS)
@@ -250,7 +252,7 @@ def q_deal_history(spark, sf_dir):
 @query("upsert_trades", O.with_star("SELECT * FROM valid_fact"))
 def q_upsert_trades(spark, sf_dir):
     """Current book of batches <= 1 upserted with the accepted rows of later batches."""
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     before = ST.build_valid_fact(STT.state_as_of(dec, batch_id=AS_OF_BATCH), BOUNDS)
     later = ST.build_valid_fact(dec.filter(F.col("batch_id") > AS_OF_BATCH), BOUNDS)
     order = (F.col("evaluated_at").desc(), F.col("message_id"))
@@ -276,7 +278,7 @@ def q_upsert_fx_rates(spark, sf_dir):
     f"(SELECT coalesce(max(evaluated_at), TIMESTAMP '1900-01-01') FROM decisions WHERE batch_id <= {AS_OF_BATCH})"))
 def q_incremental_watermark(spark, sf_dir):
     """Decisions newer than the high-water mark of a target built from batches <= 1."""
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     target = STT.state_as_of(dec, batch_id=AS_OF_BATCH)
     return STT.new_since(dec, "evaluated_at", target, "evaluated_at")
 
@@ -296,9 +298,9 @@ def q_state_as_of(spark, sf_dir):
   QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY batch_id DESC, evaluated_at DESC, message_id) = 1)""",
     "valid_fact_before AS (" + O._fact_select("latest_before", "a.evaluated_at, a.evaluated_at AS processed_at") + ")"))
 def q_state_diff(spark, sf_dir):
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     before = ST.build_valid_fact(STT.state_as_of(dec, batch_id=AS_OF_BATCH), BOUNDS)
-    return STT.state_diff(valid(spark, sf_dir), before, ("trade_id", "version"))
+    return STT.state_diff(valid(spark, sf_dir, dec), before, ("trade_id", "version"))
 
 
 # --- scratch extract (S13 / A4) --------------------------------------------------------------------

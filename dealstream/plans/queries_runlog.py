@@ -11,7 +11,7 @@ from ..operators import runlog as RL
 from ..sources import tables as T
 from . import oracle as O
 from .catalog import query
-from .queries_core import decisions, deliveries
+from .queries_core import decision_log, decisions, deliveries
 from .queries_ops import _scd_sql_ctes, history
 from .queries_star import rejected, valid
 
@@ -254,11 +254,12 @@ def q_union_status(spark, sf_dir):
     O.FX_RAW_CTE, O.FX_LATEST_CTE, *_scd_sql_ctes()))
 def q_freshness(spark, sf_dir):
     from ..operators import state as STT
+    dec = decision_log(spark, sf_dir)
     return RL.freshness({
-        "last_valid_trade_processed": (valid(spark, sf_dir), "processed_at"),
-        "last_rejected_trade_logged": (rejected(spark, sf_dir), "logged_at"),
+        "last_valid_trade_processed": (valid(spark, sf_dir, dec), "processed_at"),
+        "last_rejected_trade_logged": (rejected(spark, sf_dir, dec), "logged_at"),
         "last_fx_rate_loaded": (STT.latest_rate(T.fx_rates_raw(spark, sf_dir)), "loaded_at"),
-        "last_snapshot_update": (history(spark, sf_dir), "updated_at"),
+        "last_snapshot_update": (history(spark, sf_dir, dec), "updated_at"),
     })
 
 

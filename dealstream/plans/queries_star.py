@@ -13,7 +13,7 @@ from ..operators import star as ST
 from ..sources import tables as T
 from . import oracle as O
 from .catalog import query
-from .queries_core import decisions
+from .queries_core import decision_log, decisions
 
 BOUNDS = ST.DateBounds(T.DATE_DIM_START, T.DATE_DIM_END)
 
@@ -25,20 +25,24 @@ TRADE_RANGE = (dt.date(1996, 1, 1), dt.date(1997, 12, 31))
 MATURITY_RANGE = (dt.date(1998, 7, 1), dt.date(1999, 6, 30))
 
 
-def valid(spark, sf_dir):
-    return ST.build_valid_fact(decisions(spark, sf_dir), BOUNDS)
+def _dec(spark, sf_dir, dec):
+    return dec if dec is not None else decisions(spark, sf_dir)
 
 
-def rejected(spark, sf_dir):
-    return ST.build_rejected_fact(decisions(spark, sf_dir), BOUNDS)
+def valid(spark, sf_dir, dec=None):
+    return ST.build_valid_fact(_dec(spark, sf_dir, dec), BOUNDS)
 
 
-def status(spark, sf_dir):
-    return ST.build_status(valid(spark, sf_dir), T.REPORT_AS_OF)
+def rejected(spark, sf_dir, dec=None):
+    return ST.build_rejected_fact(_dec(spark, sf_dir, dec), BOUNDS)
 
 
-def report(spark, sf_dir):
-    return ST.build_report(status(spark, sf_dir), T.REPORT_AS_OF, BOUNDS)
+def status(spark, sf_dir, dec=None):
+    return ST.build_status(valid(spark, sf_dir, dec), T.REPORT_AS_OF)
+
+
+def report(spark, sf_dir, dec=None):
+    return ST.build_report(status(spark, sf_dir, dec), T.REPORT_AS_OF, BOUNDS)
 
 
 for _name, (_nat, _key, _label) in ST.DIM_SPECS.items():
@@ -51,7 +55,7 @@ for _name, (_nat, _key, _label) in ST.DIM_SPECS.items():
 
 @query("dim_product", O.with_star("SELECT * FROM dim_product"))
 def q_dim_product(spark, sf_dir):
-    dec = decisions(spark, sf_dir)
+    dec = decisions(spark, sf_dir)  # one consumer: pipelined
     return ST.build_dim_product(dec, ST.product_reference(spark))
 
 
@@ -78,7 +82,7 @@ def q_valid_fact(spark, sf_dir):
 @query("valid_fact_lookup", O.with_star("SELECT * FROM valid_fact"))
 def q_valid_fact_lookup(spark, sf_dir):
     """Same fact through literal dimension joins (J2 as written)."""
-    dec = decisions(spark, sf_dir)
+    dec = decision_log(spark, sf_dir)
     dims = ST.build_dims(dec)
     dd = ST.dim_date(spark, BOUNDS.start, BOUNDS.end)
     return ST.build_valid_fact(dec, BOUNDS, dims=dims, date_dim=dd, mode="lookup")
@@ -189,7 +193,8 @@ FROM (SELECT count(*) AS trade_count, count_if(trade_status = 'ACTIVE') AS activ
 
 @query("kpi_summary", O.with_star(KPI_SQL))
 def q_kpi_summary(spark, sf_dir):
-    return R.kpis(report(spark, sf_dir), rejected(spark, sf_dir))
+    dec = decision_log(spark, sf_dir)
+    return R.kpis(report(spark, sf_dir, dec), rejected(spark, sf_dir, dec))
 
 
 @query("status_counts", O.with_star(
@@ -259,7 +264,8 @@ def q_report_filter_range(spark, sf_dir):
        FROM (SELECT reject_reason, count(*) AS n FROM rejected_fact GROUP BY reject_reason))""",
     "busiest AS (" + BUSIEST_SQL + ")"))
 def q_headline(spark, sf_dir):
-    return R.headline(report(spark, sf_dir), rejected(spark, sf_dir))
+    dec = decision_log(spark, sf_dir)
+    return R.headline(report(spark, sf_dir, dec), rejected(spark, sf_dir, dec))
 
 
 @query("format_money", O.with_star(

@@ -76,7 +76,10 @@ def deal_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
 
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
+    # lineitem x orders is the one large-large join: keep it a shuffle join
+    # (at scale neither side fits a broadcast; AQE still splits skewed keys),
+    # which also spreads everything after it over the shuffle partitions.
+    j = (li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
            .join(c, o.o_custkey == c.c_custkey)
            .join(n, c.c_nationkey == n.n_nationkey)
            .join(p, li.l_partkey == p.p_partkey)
