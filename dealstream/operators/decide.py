@@ -196,7 +196,7 @@ def evaluate_replay(deliveries: DataFrame, as_of, batch_col: str = "batch_id",
     winners = batch_winners(msgs, batch_col, loaded_col)
     if isinstance(as_of, str):
         as_of_per_batch = msgs.select(batch_col, as_of).distinct()
-        winners = winners.join(F.broadcast(as_of_per_batch), batch_col)  # one row per batch
+        winners = winners.join(as_of_per_batch, batch_col)  # one row per batch; AQE sizes it
         as_of_w = F.col(as_of)
     else:
         as_of_w = _date_col(as_of)
