@@ -70,30 +70,31 @@ def _ts_desc_nulls_first(c: Column) -> list[Column]:
 
 def dedup_first(df: DataFrame, key: str = "message_id",
                 order: tuple[str, ...] = ("loaded_at", "file_name")) -> DataFrame:
-    """First arrival per ``key`` (W1): ``row_number() = 1`` ordered by ``order``
-    ascending, NULLs last.
+    """First arrival per ``key`` (W1): the row with the smallest ``order``
+    (ascending, NULLs last), i.e. ``row_number() = 1``.
 
-    The optimizer plans this as a *partial* WindowGroupLimit before the
-    shuffle and a final one after it, so a group of many copies of one message
-    is cut to one row per map task before anything moves (a hot group never
-    reaches one reducer whole).
+    Written as an aggregation (``min_by`` over the row as a struct) so each
+    map task collapses a group of copies to one row before the shuffle: a
+    message delivered a million times never reaches one reducer whole.
     """
-    w = Window.partitionBy(key).orderBy(*[F.col(o).asc_nulls_last() for o in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
-def dedup_first_agg(df: DataFrame, key: str = "message_id",
-                    order: tuple[str, ...] = ("loaded_at", "file_name")) -> DataFrame:
-    """Aggregate form of :func:`dedup_first` (``min_by`` over the row struct,
-    partial aggregation map-side)."""
     rest = [c for c in df.columns if c != key]
     sort_key = []
     for o in order:
         sort_key += [F.col(o).isNull(), F.col(o)]
+    # Copies with equal load time and file come from one load of one file and
+    # carry the same content, so any of them may be kept.
     best = F.min_by(F.struct(*rest), F.struct(*sort_key)).alias("_row")
     return df.groupBy(key).agg(best).select(key, "_row.*").select(*df.columns)
 
 
+def dedup_first_window(df: DataFrame, key: str = "message_id",
+                       order: tuple[str, ...] = ("loaded_at", "file_name")) -> DataFrame:
+    """Window form of :func:`dedup_first`; the optimizer adds a partial
+    WindowGroupLimit before the shuffle, so it is skew-safe as well."""
+    w = Window.partitionBy(key).orderBy(*[F.col(o).asc_nulls_last() for o in order])
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
 def rank_key(version="version", event_ts="event_timestamp", loaded="loaded_at",
              message_id="message_id") -> Column:
     """Struct whose minimum is the in-batch winner (W3 order, spelled out)."""

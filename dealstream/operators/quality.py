@@ -69,16 +69,35 @@ class TableChecks:
     unique_combos: Sequence[Sequence[str]] = ()
 
 
+def _stack(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value as text) for every listed column: one pass that lets
+    several checks of a table share one shuffle."""
+    return df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols
+    ])).alias("s")).select("s.*")
+
+
+def _with_zeros(spark, table: str, check: str, cols: Sequence[str], counts: DataFrame) -> DataFrame:
+    """One row per listed column, 0 where ``counts`` has none."""
+    names = spark.createDataFrame([(c,) for c in cols], "column_name string")
+    return names.join(counts, "column_name", "left").select(
+        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "column_name",
+        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
+
+
 def run_suite(spec: Sequence[TableChecks], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: (table_name, check_name, column_name, failures).
 
-    All not_null and accepted_values checks of a table are folded into a
-    single aggregation pass (``count_if`` per check, then unpivoted);
-    unique / relationships / combinations need their own shuffles.
+    Per table: all not_null and accepted_values checks fold into a single
+    aggregation (``count_if`` per check, then unpivoted); all unique checks
+    share one shuffle (values stacked as (column, value), counted, with
+    partial aggregation); all relationship checks share one anti join
+    against the stacked parent keys.
     """
     parts: list[DataFrame] = []
     for t in spec:
         df = tables[t.table]
+        spark = df.sparkSession
         folded = []
         for c in t.not_null:
             folded.append(("not_null", c, F.count_if(F.col(c).isNull())))
@@ -91,14 +110,22 @@ def run_suite(spec: Sequence[TableChecks], tables: dict[str, DataFrame]) -> Data
                          F.lit(c).alias("column_name"), F.col(f"f{i}").cast("bigint").alias("failures"))
                 for i, (chk, c, _) in enumerate(folded)]))
             parts.append(agg.select(stack.alias("r")).select("r.*"))
-        for c in t.unique:
-            n = check_unique(df, c).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-            parts.append(n.select(F.lit(t.table).alias("table_name"), F.lit("unique").alias("check_name"),
-                                  F.lit(c).alias("column_name"), "failures"))
-        for c, (ptable, pk) in t.relationships.items():
-            n = check_relationship(df, c, tables[ptable], pk).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-            parts.append(n.select(F.lit(t.table).alias("table_name"), F.lit("relationships").alias("check_name"),
-                                  F.lit(c).alias("column_name"), "failures"))
+        if t.unique:
+            dup = (_stack(df, t.unique).filter(F.col("v").isNotNull())
+                   .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+                   .filter(F.col("n") > 1).groupBy("column_name").agg(F.count(F.lit(1)).alias("failures")))
+            parts.append(_with_zeros(spark, t.table, "unique", t.unique, dup))
+        if t.relationships:
+            fks = list(t.relationships)
+            child = _stack(df, fks).filter(F.col("v").isNotNull())
+            parent = None
+            for c, (ptable, pk) in t.relationships.items():
+                keys = tables[ptable].select(F.lit(c).alias("column_name"), F.col(pk).cast("string").alias("v"))
+                parent = keys if parent is None else parent.unionByName(keys)
+            parent = parent.filter(F.col("v").isNotNull()).distinct()
+            orphans = (child.join(parent, ["column_name", "v"], "left_anti")
+                       .groupBy("column_name").agg(F.count(F.lit(1)).alias("failures")))
+            parts.append(_with_zeros(spark, t.table, "relationships", fks, orphans))
         for cols in t.unique_combos:
             n = check_unique_combo(df, cols).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
             parts.append(n.select(F.lit(t.table).alias("table_name"),

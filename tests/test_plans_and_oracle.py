@@ -24,6 +24,13 @@ def test_no_python_udfs_in_flagship(spark):
 
 def test_dedup_is_cut_before_the_shuffle(spark):
     p = QC.q_dedup_first_arrival(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in p  # copies collapse map-side
+
+
+def test_window_dedup_has_partial_limit(spark):
+    from dealstream.operators import decide as D
+    df = D.dedup_first_window(QC.deliveries(spark, SF_SMALL))
+    p = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
