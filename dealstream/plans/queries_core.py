@@ -89,11 +89,26 @@ def q_existing_version_join(spark, sf_dir):
             .select("message_id", "trade_id", "version", "existing_version"))
 
 
-@query("evaluate_batch", O.with_decisions(
-    f"SELECT {O.DECISION_COLS} FROM decisions WHERE batch_id = {EVAL_BATCH}"))
+@query("evaluate_batch", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions"))
 def q_evaluate_batch(spark, sf_dir):
-    prior, batch = _prior_and_batch(spark, sf_dir)
-    return D.evaluate_batch(batch, prior, T.AS_OF).select(*D.DECISION_COLUMNS)
+    """C1 run the way the scheduled job runs: batch after batch, each decided
+    against the decision log on file and appended to it (one written
+    partition per batch); the result is the whole log."""
+    from ..session import unique_dir
+    from ..sources import ingest as I
+
+    feed_path = unique_dir(spark, "tables", "deliveries")
+    deliveries(spark, sf_dir).write.parquet(feed_path)
+    feed = spark.read.parquet(feed_path)
+    log_path = unique_dir(spark, "tables", "decision_log_batches")
+    batch_ids = [r[0] for r in feed.select("batch_id").distinct().orderBy("batch_id").collect()]  # run ids
+    prior = None
+    for b in batch_ids:
+        out = D.evaluate_batch(feed.filter(F.col("batch_id") == b), prior, T.AS_OF)
+        I.append(out.select(*D.DECISION_COLUMNS), log_path)
+        prior = spark.read.parquet(log_path)
+    return prior.select(*[F.col(c).cast("bigint").alias(c) if c == "batch_id" else F.col(c)
+                          for c in D.DECISION_COLUMNS])
 
 
 @query("accepted_messages", O.with_decisions(

@@ -164,7 +164,10 @@ def _two_drains(spark, sf_dir, run, reupload=False):
     """Land the first batches, drain, land the rest (plus an optional
     re-upload of an already drained file), drain again."""
     landing = unique_dir(spark, "landing", "deals_stream")
-    dl = deliveries(spark, sf_dir)
+    # the feed is derived once and written, then landed in two parts
+    feed = unique_dir(spark, "tables", "deliveries")
+    deliveries(spark, sf_dir).write.parquet(feed)
+    dl = spark.read.parquet(feed)
     J.land_messages(dl.filter(F.col("batch_id").isin(list(FIRST_DRAIN_BATCHES))), landing)
     run(landing)
     later = dl.filter(~F.col("batch_id").isin(list(FIRST_DRAIN_BATCHES)))

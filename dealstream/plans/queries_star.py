@@ -55,8 +55,13 @@ for _name, (_nat, _key, _label) in ST.DIM_SPECS.items():
 
 @query("dim_product", O.with_star("SELECT * FROM dim_product"))
 def q_dim_product(spark, sf_dir):
-    dec = decisions(spark, sf_dir)  # one consumer: pipelined
-    return ST.build_dim_product(dec, ST.product_reference(spark))
+    """Products of the feed left-joined to the reference seed, loaded from its
+    CSV file (S7)."""
+    from ..session import unique_dir
+
+    seed = unique_dir(spark, "seeds", "product_reference")
+    ST.product_reference(spark).coalesce(1).write.option("header", True).csv(seed)
+    return ST.build_dim_product(decisions(spark, sf_dir), ST.load_reference(spark, seed))
 
 
 @query("dim_date", O.with_decisions(

@@ -6,7 +6,6 @@ set them already, so a production session keeps its own sizing.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -86,12 +85,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that list local folders."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

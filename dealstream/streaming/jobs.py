@@ -113,15 +113,15 @@ def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, che
     Messages decided in an earlier drain are dropped before evaluation (X3),
     so a re-delivered file never changes a decision."""
     def process(df, epoch):
-        drained = stage_batch(df)
-        batches = [r[0] for r in drained.select("batch_id").distinct().collect()]  # few ids per drain
+        # the batch ids of this drain: a handful of values, read from the raw rows
+        batches = [r[0] for r in df.select("batch_id").distinct().collect()]
+        if not batches:
+            return
         prior = read_if_exists(spark, decisions_path)
-        if prior is not None and batches:
+        if prior is not None:
             # replaying this epoch must not see its own earlier output
             prior = prior.filter(~F.col("batch_id").isin(batches))
-        if not batches:
-            return
-        out = D.evaluate_drain(drained, prior, as_of)
+        out = D.evaluate_drain(stage_batch(df), prior, as_of)
         I.append(out.select(*D.DECISION_COLUMNS), decisions_path)
     return drain(landing_stream(spark, landing), checkpoint, process)
 
