@@ -144,8 +144,8 @@ def q_dq_report(spark, sf_dir):
     tables = {f"dim_{n}": ST.build_dim(dec, *spec) for n, spec in ST.DIM_SPECS.items()}
     tables["dim_product"] = ST.build_dim_product(dec, ST.product_reference(spark))
     tables["dim_date"] = ST.dim_date(spark, BOUNDS.start, BOUNDS.end)
-    from ..operators import decide as D
-    tables["stg"] = D.dedup_first(deliveries(spark, sf_dir))
+    # staging = one row per first-arrived message: exactly the decision log's message columns
+    tables["stg"] = dec.withColumnRenamed("source_loaded_at", "loaded_at")
     tables["fx_rates"] = STT.latest_rate(T.fx_rates_raw(spark, sf_dir))
     tables["product_reference"] = ST.product_reference(spark)
     tables["valid_fact"] = valid(spark, sf_dir, dec)
