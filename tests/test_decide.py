@@ -1,7 +1,6 @@
 """Decision rules: the hand-made truth table, and replay == sequential fold."""
 
 import datetime as dt
-import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -139,3 +138,15 @@ def test_replay_equals_sequential_fold(spark, specs, rnd):
     got = {r.message_id: (r.existing_version, r.decision, r.decision_reason)
            for r in D.evaluate_replay(spark.createDataFrame(rows, SCHEMA), AS_OF).collect()}
     assert got == expected
+
+
+def test_null_version_and_maturity(spark):
+    """DESC NULLS FIRST: a NULL version wins its batch; NULL compares to
+    nothing, so the winner is accepted and the running maximum is unchanged."""
+    rows = [msg("n1", "T9", None, 10, None, batch=0), msg("n2", "T9", 5, 10, dt.date(2026, 6, 1), batch=0),
+            msg("n3", "T9", 1, 10, dt.date(2026, 6, 1), batch=1)]
+    got = {r.message_id: (r.existing_version, r.decision, r.decision_reason)
+           for r in D.evaluate_replay(spark.createDataFrame(rows, SCHEMA), AS_OF).collect()}
+    assert got["n1"] == (None, K.ACCEPTED, K.NEW_TRADE_ACCEPTED)
+    assert got["n2"] == (None, K.REJECTED, K.SUPERSEDED_IN_BATCH)
+    assert got["n3"] == (None, K.ACCEPTED, K.NEW_TRADE_ACCEPTED)
