@@ -255,7 +255,8 @@ def decision_counts(decisions: DataFrame) -> DataFrame:
 
 
 def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
-                   loaded_col: str = "loaded_at", evaluated_at: Column | None = None) -> DataFrame:
+                   loaded_col: str = "loaded_at", evaluated_at: Column | None = None,
+                   state: DataFrame | None = None) -> DataFrame:
     """C1 generalised to one drain that may hold several whole batches.
 
     Messages are reduced to their first arrival and to those not decided
@@ -263,6 +264,10 @@ def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
     larger of the known state (A2 over the prior decisions) and the running
     candidate maximum over the drain's earlier batches, so any grouping of
     whole batches into drains gives the same decisions as the one-pass replay.
+
+    ``state`` (trade_id, existing_version), when given, replaces the
+    aggregation over the whole decision log for the version gate: a compact
+    table with one row per trade, kept up to date by :func:`advance_state`.
     """
     msgs = dedup_first(drained, "message_id", (loaded_col, "file_name"))
     if prior_decisions is not None:
@@ -273,10 +278,20 @@ def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
                .rangeBetween(Window.unboundedPreceding, -1))
     winners = winners.select("trade_id", "batch_id", "winner_id",
                              F.max(candidate).over(earlier).alias("_running"))
-    if prior_decisions is not None:
-        winners = attach_existing_version(winners, known_state(prior_decisions))
+    known = state if state is not None else (known_state(prior_decisions) if prior_decisions is not None else None)
+    if known is not None:
+        winners = attach_existing_version(winners, known)
         existing = F.greatest("existing_version", "_running")  # NULLs are skipped
     else:
         existing = F.col("_running")
     winners = winners.select("trade_id", "batch_id", "winner_id", existing.alias("existing_version"))
     return _finish(msgs, winners, as_of, "batch_id", loaded_col, evaluated_at)
+
+
+def advance_state(state: DataFrame | None, new_decisions: DataFrame) -> DataFrame:
+    """Known state after a drain: per trade the larger of the stored maximum
+    and the drain's highest accepted version (one row per trade, so the state
+    grows with the number of trades, not with the number of messages)."""
+    add = known_state(new_decisions)
+    both = add if state is None else state.select("trade_id", "existing_version").unionByName(add)
+    return both.groupBy("trade_id").agg(F.max("existing_version").alias("existing_version"))

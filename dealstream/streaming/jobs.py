@@ -107,11 +107,36 @@ def cdc_drain(spark: SparkSession, landing: str, staging: str, checkpoint: str)
 
 
 # --- X1 / X2 / X3: decisions ------------------------------------------------------------------
+def _epoch_dirs(spark: SparkSession, root: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(conf)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def state_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None:
+    """The version-gate state written by the latest completed epoch before
+    ``epoch`` (so a replayed epoch never sees its own effect)."""
+    done = [e for e in _epoch_dirs(spark, root) if e < epoch]
+    return spark.read.parquet(f"{root}/epoch={done[-1]}") if done else None
+
+
 def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, checkpoint: str, as_of) -> int:
-    """Each drain is decided against the decisions already on file (the
-    stateful version gate X2 is the known-state join) and appended per batch.
-    Messages decided in an earlier drain are dropped before evaluation (X3),
-    so a re-delivered file never changes a decision."""
+    """Each drain is decided and appended per batch. The version gate
+    reads a compact state table (trade -> highest accepted version) written
+    per epoch next to the log, instead of re-aggregating the whole log; the
+    drain's messages already decided in an earlier drain are dropped (X3), so
+    a re-delivered file never changes a decision."""
+    state_root = decisions_path.rstrip("/") + "_state"
+
     def process(df, epoch):
         # the batch ids of this drain: a handful of values, read from the raw rows
         batches = [r[0] for r in df.select("batch_id").distinct().collect()]
@@ -121,8 +146,11 @@ def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, che
         if prior is not None:
             # replaying this epoch must not see its own earlier output
             prior = prior.filter(~F.col("batch_id").isin(batches))
-        out = D.evaluate_drain(stage_batch(df), prior, as_of)
+        state = state_before(spark, state_root, epoch)
+        out = D.evaluate_drain(stage_batch(df), prior, as_of, state=state)
         I.append(out.select(*D.DECISION_COLUMNS), decisions_path)
+        written = spark.read.parquet(decisions_path).filter(F.col("batch_id").isin(batches))
+        D.advance_state(state, written).write.mode("overwrite").parquet(f"{state_root}/epoch={epoch}")
     return drain(landing_stream(spark, landing), checkpoint, process)
 
 
