@@ -225,6 +225,20 @@ def attach_existing_version(batch: DataFrame, state: DataFrame) -> DataFrame:
     return (batch.join(s, batch.trade_id == s._st_trade, "left").drop("_st_trade"))
 
 
+def drop_decided(msgs: DataFrame, prior_decisions: DataFrame) -> DataFrame:
+    """Messages not decided before (hazard H3: a redelivery keeps its first decision).
+
+    The decision log grows with every drain while a drain stays small, so the
+    log is first reduced to the drain's message ids that it already holds (a
+    semi join whose build side is the drain: AQE broadcasts it when measured
+    small, and the log is then scanned -- one pruned column -- but never
+    shuffled); only that small remainder meets the drain in the anti join.
+    """
+    ids = msgs.select("message_id")
+    seen = prior_decisions.select("message_id").join(ids, "message_id", "left_semi")
+    return msgs.join(seen, "message_id", "left_anti")
+
+
 def evaluate_batch(batch: DataFrame, prior_decisions: DataFrame | None, as_of,
                    batch_id: int | None = None, loaded_col: str = "loaded_at",
                    evaluated_at: Column | None = None) -> DataFrame:
@@ -238,7 +252,7 @@ def evaluate_batch(batch: DataFrame, prior_decisions: DataFrame | None, as_of,
     if "batch_id" not in msgs.columns:
         msgs = msgs.withColumn("batch_id", F.lit(batch_id if batch_id is not None else 0).cast("bigint"))
     if prior_decisions is not None:
-        msgs = msgs.join(prior_decisions.select("message_id"), "message_id", "left_anti")
+        msgs = drop_decided(msgs, prior_decisions)
     winners = batch_winners(msgs, "batch_id", loaded_col)
     if prior_decisions is not None:
         winners = attach_existing_version(winners, known_state(prior_decisions))
@@ -271,7 +285,7 @@ def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
     """
     msgs = dedup_first(drained, "message_id", (loaded_col, "file_name"))
     if prior_decisions is not None:
-        msgs = msgs.join(prior_decisions.select("message_id"), "message_id", "left_anti")
+        msgs = drop_decided(msgs, prior_decisions)
     winners = batch_winners(msgs, "batch_id", loaded_col)
     candidate = F.when(~_matured(F.col("winner_maturity"), _date_col(as_of)), F.col("winner_version"))
     earlier = (Window.partitionBy("trade_id").orderBy(F.col("batch_id"))

@@ -147,7 +147,14 @@ def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, che
             # replaying this epoch must not see its own earlier output
             prior = prior.filter(~F.col("batch_id").isin(batches))
         state = state_before(spark, state_root, epoch)
-        out = D.evaluate_drain(stage_batch(df), prior, as_of, state=state)
+        # The staged drain is written once (a replayed epoch overwrites its own
+        # folder) and read back: the lineage is cut, and the planner sees the
+        # drain's real file size, so the redelivery check broadcasts the
+        # drain's ids only when they are measured small and the decision log
+        # is never shuffled for a small drain.
+        staged_path = f"{state_root}_staged/epoch={epoch}"
+        stage_batch(df).write.mode("overwrite").parquet(staged_path)
+        out = D.evaluate_drain(spark.read.parquet(staged_path), prior, as_of, state=state)
         I.append(out.select(*D.DECISION_COLUMNS), decisions_path)
         written = spark.read.parquet(decisions_path).filter(F.col("batch_id").isin(batches))
         D.advance_state(state, written).write.mode("overwrite").parquet(f"{state_root}/epoch={epoch}")
