@@ -209,27 +209,64 @@ def load_report(lines: DataFrame, ok_col: str = "parsed_ok", err_col: str = "err
     return g.filter(F.col("error_count") > 0).withColumn("status", F.lit("LOAD_SKIPPED"))
 
 
-def layout_overlap(df: DataFrame, group: str, key: str) -> DataFrame:
+def running_sums(df: DataFrame, order_col: str, cols: Sequence[str], buckets: int = 256) -> DataFrame:
+    """Inclusive running sums of ``cols`` in ``order_col`` order (distinct
+    values), computed without a global window.
+
+    Rows are cut into ``buckets`` order-preserving ranges at approximate
+    percentiles of ``order_col``; each range is summed in its own window
+    partition, and the offset of a range is the running sum of the range
+    totals -- a window over at most ``buckets`` rows (a parameter, not the
+    data size). Percentile cuts only choose the ranges, so the sums are exact.
+    """
+    from pyspark.sql import Window
+
+    fracs = [i / buckets for i in range(1, buckets)]
+    cuts = df.agg(F.percentile_approx(order_col, fracs, 10000).alias("_cuts"))
+    v = F.col(order_col)
+    b = (df.crossJoin(F.broadcast(cuts))  # one row
+         .withColumn("_bucket", F.coalesce(F.size(F.filter("_cuts", lambda c: c < v)), F.lit(0)))
+         .drop("_cuts"))
+    local_w = (Window.partitionBy("_bucket").orderBy(v.asc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = b.select(order_col, "_bucket", *[F.sum(c).over(local_w).alias(f"_l_{c}") for c in cols])
+    totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    before_w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
+    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before_w), F.lit(0)).alias(f"_o_{c}")
+                                         for c in cols])
+    return local.join(F.broadcast(offsets), "_bucket").select(
+        order_col, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{c}_le") for c in cols])
+
+
+def layout_overlap(df: DataFrame, group: str, key: str, buckets: int = 256) -> DataFrame:
     """For every group (file) its key range and how many *other* groups'
     ranges overlap it -- the clustering depth of the layout.
 
     Instead of joining every pair of ranges, count by rank: the groups
     overlapping [lo, hi] are those with start <= hi minus those ending before
-    lo. Both counts come from a histogram over distinct key values (bounded
-    by the key's domain, e.g. calendar days), so nothing pairs up groups.
+    lo. Both counts are running sums over a histogram of range endpoints
+    (:func:`running_sums`, no global window), so nothing pairs up groups and
+    no single task sees every endpoint. Groups whose key is all NULL have no
+    range and overlap nothing; they are left out.
     """
-    ranges = df.groupBy(group).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    from ..session import unique_dir
+
+    # One row per group, read several times below: written once to the shared
+    # folder, so the input is scanned and reduced only once.
+    path = unique_dir(df.sparkSession, "tables", "layout_ranges")
+    (df.groupBy(group).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+       .filter(F.col("lo").isNotNull()).write.parquet(path))
+    ranges = df.sparkSession.read.parquet(path)
     starts = ranges.groupBy(F.col("lo").alias("v")).agg(F.count(F.lit(1)).alias("n_start"))
     ends = ranges.groupBy(F.col("hi").alias("v")).agg(F.count(F.lit(1)).alias("n_end"))
-    from pyspark.sql import Window
     hist = starts.join(ends, "v", "full").na.fill(0, ["n_start", "n_end"])
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = hist.select("v", F.sum("n_start").over(w).alias("starts_le"), F.sum("n_end").over(w).alias("ends_le"))
+    cum = running_sums(hist, "v", ("n_start", "n_end"), buckets)
     # groups with start <= hi: cumulative starts at hi
-    a = ranges.join(cum.select(F.col("v").alias("_hv"), "starts_le"), F.col("hi") == F.col("_hv"))
+    a = ranges.join(cum.select(F.col("v").alias("_hv"), F.col("n_start_le").alias("starts_le")),
+                    F.col("hi") == F.col("_hv"))
     # groups ending strictly before lo: cumulative ends at lo minus the ends at lo itself
     e_at = ends.select(F.col("v").alias("_lv2"), "n_end")
-    b = (a.join(cum.select(F.col("v").alias("_lv"), "ends_le"), F.col("lo") == F.col("_lv"))
+    b = (a.join(cum.select(F.col("v").alias("_lv"), F.col("n_end_le").alias("ends_le")), F.col("lo") == F.col("_lv"))
           .join(e_at, F.col("lo") == F.col("_lv2"), "left"))
     depth = F.col("starts_le") - (F.col("ends_le") - F.coalesce(F.col("n_end"), F.lit(0)))
     return b.select(group, "lo", "hi", (depth - 1).cast("bigint").alias("overlapping_groups"))

@@ -134,3 +134,42 @@ def test_to_usd_unknown_currency_is_null(spark):
     df = spark.createDataFrame([(100.0, "EUR"), (100.0, "XXX")], "n double, c string")
     got = [r.u for r in df.select(S.to_usd("n", "c").alias("u")).collect()]
     assert got == [100.0 * 1.08, None]
+
+
+def test_layout_overlap_equals_pairwise_count(spark):
+    """Rank counting over bucketed running sums equals counting overlapping
+    pairs, with many more endpoints than buckets, shared endpoints and an
+    all-NULL group (left out)."""
+    import random
+
+    from dealstream.operators import runlog as RL
+
+    rnd = random.Random(7)
+    rows = []
+    for g in range(150):
+        for _ in range(rnd.randint(1, 4)):
+            rows.append((f"f{g:03d}", dt.date(2020, 1, 1) + dt.timedelta(days=rnd.randint(0, 400))))
+    rows.append(("f_null", None))
+    df = spark.createDataFrame(rows, "file_name string, k date")
+    got = {r["file_name"]: (r["lo"], r["hi"], r["overlapping_groups"])
+           for r in RL.layout_overlap(df, "file_name", "k", buckets=8).collect()}
+    ranges = {}
+    for f, k in rows:
+        if k is not None:
+            lo, hi = ranges.get(f, (k, k))
+            ranges[f] = (min(lo, k), max(hi, k))
+    want = {f: (lo, hi, sum(1 for g, (l2, h2) in ranges.items() if g != f and l2 <= hi and lo <= h2))
+            for f, (lo, hi) in ranges.items()}
+    assert got == want
+
+
+def test_running_sums_are_exact_across_buckets(spark):
+    from dealstream.operators import runlog as RL
+
+    df = spark.range(1, 1001).select(F.col("id").alias("v"), (F.col("id") % 3).alias("n"))
+    got = {r["v"]: r["n_le"] for r in RL.running_sums(df, "v", ("n",), buckets=16).collect()}
+    acc, want = 0, {}
+    for v in range(1, 1001):
+        acc += v % 3
+        want[v] = acc
+    assert got == want
