@@ -241,12 +241,13 @@ def drop_decided(msgs: DataFrame, prior_decisions: DataFrame) -> DataFrame:
 
 def evaluate_batch(batch: DataFrame, prior_decisions: DataFrame | None, as_of,
                    batch_id: int | None = None, loaded_col: str = "loaded_at",
-                   evaluated_at: Column | None = None) -> DataFrame:
+                   evaluated_at: Column | None = None, state: DataFrame | None = None) -> DataFrame:
     """Evaluate one drain against the decisions already on file.
 
     The batch is first reduced to the first arrival of each message and to
     messages not decided before (a redelivery in a later drain keeps its first
-    decision, hazard H3).
+    decision, hazard H3). ``state`` (trade_id, existing_version), when given,
+    is the version gate instead of aggregating the whole log (A2) each run.
     """
     msgs = dedup_first(batch, "message_id", (loaded_col, "file_name"))
     if "batch_id" not in msgs.columns:
@@ -254,8 +255,9 @@ def evaluate_batch(batch: DataFrame, prior_decisions: DataFrame | None, as_of,
     if prior_decisions is not None:
         msgs = drop_decided(msgs, prior_decisions)
     winners = batch_winners(msgs, "batch_id", loaded_col)
-    if prior_decisions is not None:
-        winners = attach_existing_version(winners, known_state(prior_decisions))
+    known = state if state is not None else (known_state(prior_decisions) if prior_decisions is not None else None)
+    if known is not None:
+        winners = attach_existing_version(winners, known)
     else:
         winners = winners.withColumn("existing_version", F.lit(None).cast("bigint"))
     winners = winners.select("trade_id", "batch_id", "winner_id", "existing_version")
