@@ -219,9 +219,14 @@ def attach_existing_version(batch: DataFrame, state: DataFrame) -> DataFrame:
     """Left equi-join of a batch to the known state (trade -> max version).
 
     The state has one row per trade (no skew on its side); a hot trade in the
-    batch is split by AQE's skew-join handling.
+    batch is split by AQE's skew-join handling. The state grows with every
+    trade ever seen while a batch is small, so it is first cut to the batch's
+    trades by a semi join whose build side is the batch (broadcast when AQE or
+    the file sizes show it small): the state is scanned, not shuffled.
     """
-    s = state.select(F.col("trade_id").alias("_st_trade"), "existing_version")
+    trades = batch.select(F.col("trade_id").alias("_st_trade"))
+    s = (state.select(F.col("trade_id").alias("_st_trade"), "existing_version")
+         .join(trades, "_st_trade", "left_semi"))
     return (batch.join(s, batch.trade_id == s._st_trade, "left").drop("_st_trade"))
 
 
