@@ -122,19 +122,49 @@ def _epoch_dirs(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
+COMPACT_EVERY = 8  # deltas folded into a full state table after this many drains
+
+
 def state_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None:
-    """The version-gate state written by the latest completed epoch before
-    ``epoch`` (so a replayed epoch never sees its own effect)."""
-    done = [e for e in _epoch_dirs(spark, root) if e < epoch]
-    return spark.read.parquet(f"{root}/epoch={done[-1]}") if done else None
+    """The version-gate state (trade -> highest accepted version) as it stood
+    before ``epoch``: the latest compacted full state before it plus the
+    per-drain deltas after that (max is associative, so the union reduced by
+    ``max`` equals folding them in order). Only completed epochs before
+    ``epoch`` are read, so a replayed epoch never sees its own effect."""
+    fulls = [e for e in _epoch_dirs(spark, f"{root}/full") if e < epoch]
+    base = fulls[-1] if fulls else -1
+    deltas = [e for e in _epoch_dirs(spark, f"{root}/delta") if base < e < epoch]
+    parts = ([spark.read.parquet(f"{root}/full/epoch={base}")] if fulls else []) + \
+        [spark.read.parquet(f"{root}/delta/epoch={e}") for e in deltas]
+    if not parts:
+        return None
+    if len(parts) == 1:
+        return parts[0]
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return both.groupBy("trade_id").agg(F.max("existing_version").alias("existing_version"))
+
+
+def record_state(spark: SparkSession, root: str, epoch: int, written: DataFrame) -> None:
+    """Write the drain's delta (its highest accepted version per trade: as
+    small as the drain) and, every ``COMPACT_EVERY`` deltas, a compacted full
+    state, so a drain never rewrites the state of every trade ever seen."""
+    D.known_state(written).write.mode("overwrite").parquet(f"{root}/delta/epoch={epoch}")
+    fulls = [e for e in _epoch_dirs(spark, f"{root}/full") if e < epoch]
+    base = fulls[-1] if fulls else -1
+    pending = [e for e in _epoch_dirs(spark, f"{root}/delta") if base < e <= epoch]
+    if len(pending) >= COMPACT_EVERY:
+        state_before(spark, root, epoch + 1).write.mode("overwrite").parquet(f"{root}/full/epoch={epoch}")
 
 
 def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, checkpoint: str, as_of) -> int:
     """Each drain is decided and appended per batch. The version gate
-    reads a compact state table (trade -> highest accepted version) written
-    per epoch next to the log, instead of re-aggregating the whole log; the
-    drain's messages already decided in an earlier drain are dropped (X3), so
-    a re-delivered file never changes a decision."""
+    reads a compact state table (trade -> highest accepted version) kept next
+    to the log as per-drain deltas plus periodic compactions, instead of
+    re-aggregating the whole log; the drain's messages already decided in an
+    earlier drain are dropped (X3), so a re-delivered file never changes a
+    decision."""
     state_root = decisions_path.rstrip("/") + "_state"
 
     def process(df, epoch):
@@ -157,7 +187,7 @@ def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, che
         out = D.evaluate_drain(spark.read.parquet(staged_path), prior, as_of, state=state)
         I.append(out.select(*D.DECISION_COLUMNS), decisions_path)
         written = spark.read.parquet(decisions_path).filter(F.col("batch_id").isin(batches))
-        D.advance_state(state, written).write.mode("overwrite").parquet(f"{state_root}/epoch={epoch}")
+        record_state(spark, state_root, epoch, written)
     return drain(landing_stream(spark, landing), checkpoint, process)
 
 
