@@ -27,9 +27,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 def upsert_latest(state: DataFrame | None, changes: DataFrame, keys: Sequence[str],
                   order: Sequence[Column]) -> DataFrame:
     """Replace rows with the same key, insert new keys; the winner per key
-    is the first row by ``order`` (put the newest first)."""
-    both = changes if state is None else state.unionByName(changes, allowMissingColumns=True)
-    return latest_per_key(both, keys, order)
+    is the first row by ``order`` (put the newest first).
+
+    Only keys that occur in ``changes`` are ranked again: the state is split
+    by a semi / anti join on the change keys (NULL-safe, so a NULL key is one
+    key, as in the ranking) whose build side is the change set -- broadcast
+    when it is measured small -- so rows of untouched keys are scanned and
+    passed through, never shuffled. An upsert costs the size of the changes,
+    not of the state."""
+    if state is None:
+        return latest_per_key(changes, keys, order)
+    ck = changes.select(*[F.col(k).alias(f"_ck_{k}") for k in keys])
+    on = [state[k].eqNullSafe(ck[f"_ck_{k}"]) for k in keys]
+    touched = state.join(ck, on, "left_semi")
+    untouched = state.join(ck, on, "left_anti")
+    ranked = latest_per_key(touched.unionByName(changes, allowMissingColumns=True), keys, order)
+    return untouched.unionByName(ranked, allowMissingColumns=True)
 
 
 def resolve_watermark(target: DataFrame | None, col: str, epoch=K.EPOCH):

@@ -173,3 +173,14 @@ def test_running_sums_are_exact_across_buckets(spark):
         acc += v % 3
         want[v] = acc
     assert got == want
+
+
+def test_upsert_touches_only_changed_keys_and_null_key_is_one_key(spark):
+    from dealstream.operators import state as STT
+
+    state = spark.createDataFrame([(1, "a", 1), (2, "b", 1), (None, "n", 1)], "k int, v string, ts int")
+    changes = spark.createDataFrame([(2, "b2", 2), (2, "b_old", 0), (3, "c", 2), (None, "n2", 2)],
+                                    "k int, v string, ts int")
+    out = STT.upsert_latest(state, changes, ("k",), (F.col("ts").desc(),))
+    assert sorted((r.k if r.k is not None else -1, r.v) for r in out.collect()) == \
+        [(-1, "n2"), (1, "a"), (2, "b2"), (3, "c")]
