@@ -19,6 +19,17 @@ def _exact_sum_to_double(x: Column) -> Column:
     return F.sum(x).cast("double")
 
 
+def side_by_side(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """Columns of several one-row aggregates in one row. ``first`` is the row;
+    every other frame becomes one scalar subquery (a struct of its columns)
+    that runs once -- no join and no cartesian product. Each frame must be a
+    global aggregate (exactly one row)."""
+    out = first.select("*", *[o.select(F.struct(*o.columns)).scalar().alias(f"_one{i}")
+                              for i, o in enumerate(others)])
+    return out.select(*[first[c] for c in first.columns],
+                      *[F.col(f"_one{i}.{c}").alias(c) for i, o in enumerate(others) for c in o.columns])
+
+
 # --- P5 / P6 ------------------------------------------------------------------------
 def report_filter(df: DataFrame, traders: Sequence[str] | None = None, books=None, counterparties=None,
                   products=None, currencies=None, statuses=None, trade_range=None,
@@ -92,7 +103,7 @@ def kpis(report: DataFrame, rejected: DataFrame) -> DataFrame:
         F.coalesce(_exact_sum_to_double(S.to_usd_exact("notional", "currency")), F.lit(0.0)).alias("total_notional_usd"),
     )
     r = rejected.agg(F.count(F.lit(1)).alias("rejected_all_time"))
-    return k.crossJoin(r).select(  # two one-row frames
+    return side_by_side(k, r).select(
         "trade_count", "active_count",
         (F.col("trade_count") - F.col("active_count")).alias("expired_count"),
         "total_notional_usd",
@@ -149,7 +160,7 @@ def headline(report: DataFrame, rejected: DataFrame) -> DataFrame:
     c = top_share(report, "currency").select("top_currency", F.col("top_pct").alias("top_currency_pct"))
     r = top_reject_share(rejected).select("top_reason", F.col("top_pct").alias("top_reason_pct"))
     d = busiest_day(report)
-    return (k.crossJoin(p).crossJoin(c).crossJoin(r).crossJoin(d)  # all one-row frames
+    return (side_by_side(k, p, c, r, d)
             .select("trade_count", "total_notional_usd", "active_pct", "top_product_type",
                     "top_product_notional_usd", F.round("top_product_pct", 6).alias("top_product_pct"),
                     "top_currency", F.round("top_currency_pct", 6).alias("top_currency_pct"),

@@ -175,12 +175,11 @@ def union_status(log: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def freshness(maxima: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row with the scalar max of a column in each table
-    (one-row aggregates combined by a cross join of one-row frames)."""
-    out = None
-    for alias, (df, col) in maxima.items():
-        one = df.agg(F.max(col).alias(alias))
-        out = one if out is None else out.crossJoin(one)
-    return out
+    (one-row aggregates placed side by side as scalar subqueries)."""
+    from .report import side_by_side
+
+    ones = [df.agg(F.max(col).alias(alias)) for alias, (df, col) in maxima.items()]
+    return side_by_side(ones[0], *ones[1:])
 
 
 def lag_minutes(raw: DataFrame, raw_col: str, gold: DataFrame, gold_col: str) -> DataFrame:
@@ -222,9 +221,10 @@ def running_sums(df: DataFrame, order_col: str, cols: Sequence[str], buckets: in
     from pyspark.sql import Window
 
     fracs = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(order_col, fracs, 10000).alias("_cuts"))
+    # the cut points: one scalar subquery (an array of buckets - 1 values)
+    cuts = df.agg(F.percentile_approx(order_col, fracs, 10000)).scalar()
     v = F.col(order_col)
-    b = (df.crossJoin(F.broadcast(cuts))  # one row
+    b = (df.select("*", cuts.alias("_cuts"))
          .withColumn("_bucket", F.coalesce(F.size(F.filter("_cuts", lambda c: c < v)), F.lit(0)))
          .drop("_cuts"))
     local_w = (Window.partitionBy("_bucket").orderBy(v.asc_nulls_first())

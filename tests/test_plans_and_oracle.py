@@ -55,6 +55,15 @@ def test_report_filter_reaches_the_plan_as_predicates(spark):
         "in (" in df._jdf.queryExecution().optimizedPlan().toString().lower()
 
 
+def test_one_row_summaries_use_no_cartesian_join(spark):
+    """KPI and headline rows combine their one-row aggregates as scalar
+    subqueries, never as a cross join."""
+    for key in ("kpi_summary", "headline", "freshness"):
+        p = plan(E.queries()[key](spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, key
+        assert "Subquery" in p, key
+
+
 def test_scans_are_pruned(spark):
     df = QS.q_kpi_summary(spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
