@@ -146,12 +146,19 @@ def q_dq_report(spark, sf_dir):
     tables["dim_date"] = ST.dim_date(spark, BOUNDS.start, BOUNDS.end)
     # staging = one row per first-arrived message: exactly the decision log's message columns
     tables["stg"] = dec.withColumnRenamed("source_loaded_at", "loaded_at")
-    tables["fx_rates"] = STT.latest_rate(T.fx_rates_raw(spark, sf_dir))
+    from ..session import unique_dir
+
+    # Tables several checks read are written once, as the build writes them:
+    # the current book (a top-1 window over the log) and the FX state, so no
+    # union branch of the suite recomputes them.
+    tables["fx_rates"] = STT.materialize(STT.latest_rate(T.fx_rates_raw(spark, sf_dir)),
+                                         unique_dir(spark, "tables", "fx_rates"))
     tables["product_reference"] = ST.product_reference(spark)
-    tables["valid_fact"] = valid(spark, sf_dir, dec)
+    vf = STT.materialize(valid(spark, sf_dir, dec), unique_dir(spark, "tables", "valid_fact"))
+    tables["valid_fact"] = vf
     tables["rejected_fact"] = rejected(spark, sf_dir, dec)
-    tables["deal_status"] = status(spark, sf_dir, dec)
-    tables["deal_report"] = report(spark, sf_dir, dec)
+    tables["deal_status"] = ST.build_status(vf, T.REPORT_AS_OF)
+    tables["deal_report"] = ST.build_report(tables["deal_status"], T.REPORT_AS_OF, BOUNDS)
     return Q.run_suite(suite_spec(), tables)
 
 
