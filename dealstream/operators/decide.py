@@ -277,7 +277,7 @@ def decision_counts(decisions: DataFrame) -> DataFrame:
 
 def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
                    loaded_col: str = "loaded_at", evaluated_at: Column | None = None,
-                   state: DataFrame | None = None) -> DataFrame:
+                   state: DataFrame | None = None, dedup: bool = True) -> DataFrame:
     """C1 generalised to one drain that may hold several whole batches.
 
     Messages are reduced to their first arrival and to those not decided
@@ -289,8 +289,9 @@ def evaluate_drain(drained: DataFrame, prior_decisions: DataFrame | None, as_of,
     ``state`` (trade_id, existing_version), when given, replaces the
     aggregation over the whole decision log for the version gate: a compact
     table with one row per trade, kept up to date by :func:`advance_state`.
+    ``dedup=False`` when ``drained`` is already one row per message (staged).
     """
-    msgs = dedup_first(drained, "message_id", (loaded_col, "file_name"))
+    msgs = dedup_first(drained, "message_id", (loaded_col, "file_name")) if dedup else drained
     if prior_decisions is not None:
         msgs = drop_decided(msgs, prior_decisions)
     winners = batch_winners(msgs, "batch_id", loaded_col)

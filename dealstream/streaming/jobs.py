@@ -184,7 +184,8 @@ def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, che
         # is never shuffled for a small drain.
         staged_path = f"{state_root}_staged/epoch={epoch}"
         stage_batch(df).write.mode("overwrite").parquet(staged_path)
-        out = D.evaluate_drain(spark.read.parquet(staged_path), prior, as_of, state=state)
+        # staged rows are already the first arrival per message
+        out = D.evaluate_drain(spark.read.parquet(staged_path), prior, as_of, state=state, dedup=False)
         I.append(out.select(*D.DECISION_COLUMNS), decisions_path)
         written = spark.read.parquet(decisions_path).filter(F.col("batch_id").isin(batches))
         record_state(spark, state_root, epoch, written)
