@@ -221,12 +221,20 @@ def running_sums(df: DataFrame, order_col: str, cols: Sequence[str], buckets: in
     from pyspark.sql import Window
 
     fracs = [i / buckets for i in range(1, buckets)]
-    # the cut points: one scalar subquery (an array of buckets - 1 values)
-    cuts = df.agg(F.percentile_approx(order_col, fracs, 10000)).scalar()
     v = F.col(order_col)
+    if df.schema[order_col].dataType.typeName() == "string":
+        # Strings order by their UTF-8 bytes; the first 7 bytes read as a
+        # number never decrease along that order (ties only share a bucket).
+        head = F.rpad(F.hex(F.substring(F.encode(v, "UTF-8"), 1, 7)), 14, "0")
+        proxy = F.conv(head, 16, 10).cast("bigint")
+    else:
+        proxy = v
+    df = df.withColumn("_proxy", proxy)
+    # the cut points: one scalar subquery (an array of buckets - 1 values)
+    cuts = df.agg(F.percentile_approx("_proxy", fracs, 10000)).scalar()
     b = (df.select("*", cuts.alias("_cuts"))
-         .withColumn("_bucket", F.coalesce(F.size(F.filter("_cuts", lambda c: c < v)), F.lit(0)))
-         .drop("_cuts"))
+         .withColumn("_bucket", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_proxy"))), F.lit(0)))
+         .drop("_cuts", "_proxy"))
     local_w = (Window.partitionBy("_bucket").orderBy(v.asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select(order_col, "_bucket", *[F.sum(c).over(local_w).alias(f"_l_{c}") for c in cols])

@@ -184,3 +184,19 @@ def test_upsert_touches_only_changed_keys_and_null_key_is_one_key(spark):
     out = STT.upsert_latest(state, changes, ("k",), (F.col("ts").desc(),))
     assert sorted((r.k if r.k is not None else -1, r.v) for r in out.collect()) == \
         [(-1, "n2"), (1, "a"), (2, "b2"), (3, "c")]
+
+
+def test_running_sums_on_string_keys(spark):
+    """String keys are bucketed through an order-preserving byte prefix;
+    shared prefixes, short strings and non-ASCII text stay exact."""
+    import random
+
+    from dealstream.operators import runlog as RL
+
+    rnd = random.Random(3)
+    alphabet = ["a", "b", "ab", "é", "z", "zz", "0", " "]
+    vals = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 12))) for _ in range(400)},
+                  key=lambda x: x.encode("utf-8"))
+    df = spark.createDataFrame([(v, 1) for v in vals], "v string, n int")
+    got = {r["v"]: r["n_le"] for r in RL.running_sums(df, "v", ("n",), buckets=8).collect()}
+    assert got == {v: i + 1 for i, v in enumerate(vals)}
