@@ -121,3 +121,25 @@ def test_oracle(spark, duck, key):
     res = duck.sql(E.oracle_sql()[key])
     assert sorted(sdf.columns) == sorted(res.columns)
     assert _rows(sdf.columns, srows) == _rows(res.columns, res.fetchall())
+
+
+def test_small_drain_is_broadcast_against_the_log(spark):
+    """The redelivery check and the version gate build on the (written, small)
+    drain: the decision log and the state are probed by broadcast semi joins."""
+    from pyspark.sql import functions as F
+
+    from dealstream.operators import decide as D
+    from dealstream.session import unique_dir
+    from dealstream.sources import tables as T
+
+    dl = QC.deliveries(spark, SF_SMALL)
+    log_path, drain_path = unique_dir(spark, "test", "log"), unique_dir(spark, "test", "drain")
+    D.evaluate_replay(dl.filter(F.col("batch_id") < 3), T.AS_OF).write.parquet(log_path)
+    D.dedup_first(dl.filter(F.col("batch_id") == 3)).write.parquet(drain_path)
+    log = spark.read.parquet(log_path)
+    out = D.evaluate_drain(spark.read.parquet(drain_path), log, T.AS_OF, state=D.known_state(log), dedup=False)
+    import re
+
+    p = plan(out)
+    semi = re.findall(r"BroadcastHashJoin \[[^\]]*\], \[[^\]]*\], LeftSemi, BuildRight", p)
+    assert len(semi) >= 2, p  # log ids and state trades, each cut by the broadcast drain
