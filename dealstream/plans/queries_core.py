@@ -101,18 +101,19 @@ def q_evaluate_batch(spark, sf_dir):
     deliveries(spark, sf_dir).write.parquet(feed_path)
     feed = spark.read.parquet(feed_path)
     log_path = unique_dir(spark, "tables", "decision_log_batches")
+    from ..streaming import jobs as J
+
     state_path = unique_dir(spark, "tables", "decision_state")
     batch_ids = [r[0] for r in feed.select("batch_id").distinct().orderBy("batch_id").collect()]  # run ids
-    prior = state = None
+    prior = None
     for b in batch_ids:
+        # the version gate: compacted state + per-run deltas of earlier runs
+        # (not re-aggregated from the whole log, not rewritten every run)
+        state = J.state_before(spark, state_path, b)
         out = D.evaluate_batch(feed.filter(F.col("batch_id") == b), prior, T.AS_OF, state=state)
         I.append(out.select(*D.DECISION_COLUMNS), log_path)
         prior = spark.read.parquet(log_path)
-        # the version gate for the next run: one row per trade, advanced by
-        # this run's decisions only (not re-aggregated from the whole log)
-        written = prior.filter(F.col("batch_id") == b)
-        D.advance_state(state, written).write.parquet(f"{state_path}/batch={b}")
-        state = spark.read.parquet(f"{state_path}/batch={b}")
+        J.record_state(spark, state_path, b, prior.filter(F.col("batch_id") == b))
     return prior.select(*[F.col(c).cast("bigint").alias(c) if c == "batch_id" else F.col(c)
                           for c in D.DECISION_COLUMNS])
 
