@@ -5,11 +5,11 @@ QUERIES and ORACLE are read by ``__spark_entry__.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, minhash, mixing
-from .common import table
+from . import ann, decontam, html_text, langid, minhash, mixing, pii, suffix_dedup, toxicity, warc
+from .common import crc_mod, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,72 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_ann")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), crc_mod("doc_id", 3) == 1
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model).select(
+        "doc_id", held.alias("held_out"), "score", F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+@query("op3_warc", """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT p.*, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_warc(table(spark, sf_dir, "pages"))
+    return warc.read_warc(spark, manifest, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_langid")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_mod("doc_id", 5) == 0
+    return langid.identify(table(spark, sf_dir, "documents"), ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def _span_list(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    order = F.create_map(*[F.lit(x) for pair in ((k, i) for i, k in enumerate(pii.KINDS)) for x in pair])
+    both = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        order[s["kind"]].alias("order"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(_span_list(F.col("base")), 256).alias("base_sha256"), _span_list(both).alias("spans"),
+                        F.size("added").cast("long").alias("n_added"))
+
+
+@query("op6_suffix_dedup", """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+g AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM b WHERE n >= 100)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM g) WHERE k > 1),
+e AS (SELECT doc_id, i, i + 100 AS j, max(i + 100) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
+p AS (SELECT *, sum(CASE WHEN reach IS NULL OR i > reach THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM e),
+q AS (SELECT doc_id, span, min(i) AS a, max(j) AS z FROM p GROUP BY 1, 2),
+k AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z FROM q GROUP BY 1),
+o AS (SELECT b.doc_id, n, h, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce([0] || z, [0]) AS f, coalesce(a || [n], [n]) AS t FROM b LEFT JOIN k USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+       sha256(unhex(array_to_string(list_transform(range(1, len(f) + 1), lambda x: substr(h, CAST(2 * f[x] + 1 AS BIGINT), CAST(2 * (t[x] - f[x]) AS BIGINT))), ''))) AS kept_sha256
+FROM o
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op7_decontaminate", r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -88,3 +154,8 @@ FROM s LEFT JOIN c ON list_sort(s.s) = c.s LEFT JOIN k ON c.rep = k.rep
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))

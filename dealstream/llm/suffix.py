@@ -28,9 +28,9 @@ def refine(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, n
         raise ValueError(f"a shard holds at most {LIMIT} symbols")
     if n == 0:
         return np.zeros(0, np.int32), np.zeros(0, np.int32)
-    present = np.unique(symbols)
-    code = (np.searchsorted(present, symbols) + 1).astype(np.uint64)
-    width = int(len(present)).bit_length()
+    used = np.bincount(symbols) > 0
+    code = np.cumsum(used).astype(np.uint64)[symbols]
+    width = int(used.sum()).bit_length()
     h = max(1, 42 // width)
     if depth is not None:
         h = min(h, depth)
@@ -72,32 +72,41 @@ def refine(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, n
     return sa, rank
 
 
-def common_prefixes(data: np.ndarray, sa: np.ndarray, slots: np.ndarray, known: int) -> np.ndarray:
-    """Kasai: length shared by the suffixes in slots s and s-1, for ``slots`` whose pair shares ``known`` >= 1 symbols.
+def packed(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one word (zeros past the end), without copying."""
+    pad = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data),), "<u8", buffer=pad, strides=(1,))
 
-    Going through the text, a suffix shares one symbol less with its neighbour than
-    the suffix before it while both neighbours move together; so only the last
-    suffix of each such run is compared symbol by symbol, past what is known.
+
+def common_prefixes(data: np.ndarray, sa: np.ndarray, slots: np.ndarray, cap: int) -> np.ndarray:
+    """Kasai: bytes shared (counted up to ``cap`` at the end of a run) by the suffixes in slots s and s-1.
+
+    For ``slots`` whose pairs share at least one byte. Going through the text, a suffix shares one byte
+    less with its neighbour than the suffix before it while both neighbours move together; so only the
+    last suffix of each such run is compared byte by byte (eight at a time), and the others follow from it.
     """
-    i = sa[slots].astype(np.int64)
-    j = sa[slots - 1].astype(np.int64)
+    i, j = sa[slots].astype(np.int64), sa[slots - 1].astype(np.int64)
     order = np.argsort(i, kind="stable")
     i, j = i[order], j[order]
-    end = np.ones(len(i), bool)
-    end[:-1] = (i[1:] != i[:-1] + 1) | (j[1:] != j[:-1] + 1)
-    last = np.flatnonzero(end)
-    n = len(data)
-    size = np.full(len(last), known, np.int64)
+    last = np.flatnonzero(np.append((i[1:] != i[:-1] + 1) | (j[1:] != j[:-1] + 1), True)) if len(i) else np.zeros(0, np.int64)
+    n, word = len(data), packed(data)
+    size, a, b = np.zeros(len(last), np.int64), i[last], j[last]
     alive = np.arange(len(last))
-    a, b = i[last], j[last]
-    while len(alive):
+    while len(alive):  # whole words, then the bytes of the first unequal one
+        p, q = a[alive] + size[alive], b[alive] + size[alive]
+        ok = np.maximum(p, q) + 8 <= n
+        ok[ok] = word[p[ok]] == word[q[ok]]
+        alive = alive[ok]
+        size[alive] += 8
+        alive = alive[size[alive] < cap]
+    alive = np.flatnonzero(size < cap)
+    for _ in range(7):
         p, q = a[alive] + size[alive], b[alive] + size[alive]
         ok = np.maximum(p, q) < n
         ok[ok] = data[p[ok]] == data[q[ok]]
         alive = alive[ok]
         size[alive] += 1
     of = np.searchsorted(last, np.arange(len(i)))
-    shared = size[of] + (i[last[of]] - i)
     out = np.empty(len(i), np.int64)
-    out[order] = shared
+    out[order] = size[of] + (i[last[of]] - i) if len(i) else 0
     return out
