@@ -4,13 +4,14 @@ A document is the bag of hashed character n-grams of its words and the words
 themselves. Their embedding vectors are averaged and a two-class softmax reads
 the average; embeddings and softmax are trained together by AdaGrad on the
 driver, on a bounded sample of labelled rows of the training fold (at most about
-``per_class`` of each label, picked by a hash of the id). A misspelling never
-seen shares n-gram vectors with its seen form.
+``toxic_rows`` and ``clean_rows``, picked by a hash of the id). A misspelling
+never seen shares n-gram vectors with its seen form.
 
 As the softmax is linear in the average, a trained n-gram contributes one
 number; whole texts are scored in one narrow pass with that table broadcast
-(``buckets`` floats, whatever the corpus). Held-out rows of the sample fit the
-slope and offset that put the best decision at score 0.7.
+(``buckets`` floats, whatever the corpus). A fifth of the sample, weighted to
+the labels' own shares, fits the slope and offset that put the best decision at
+score 0.7.
 
 Defined results: null, empty or wordless text scores as a zero average, below
 the threshold; an empty or one-sided training set scores 0 everywhere;
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 
 from .common import U64, SpanHash, doc_blocks, string_column, utf8_parts
 
-BUCKETS, DIM, EPOCHS, PER_CLASS, GRAMS = 1 << 18, 8, 12, 4000, (3, 4, 5, 6)
+BUCKETS, DIM, EPOCHS, TOXIC_ROWS, CLEAN_ROWS, GRAMS = 1 << 18, 8, 12, 3000, 6000, (3, 4, 5, 6)
+#: Zero vectors averaged into every bag, so that a few odd n-grams cannot decide a very short text.
+PAD = 50
 THRESHOLD = 0.7
 _SPLIT = bytes(32 if x < 128 and not chr(x).isalpha() else x for x in range(256))
 
@@ -107,22 +110,20 @@ class Model:
     def fit(self, ids: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.3) -> None:
         rng = np.random.default_rng(11)
         ge, gw, gb = np.full_like(self.e, 1e-8), np.full_like(self.w, 1e-8), np.full_like(self.b, 1e-8)
-        freq = np.bincount(y, minlength=2)
-        weight = len(y) / (2 * np.maximum(freq, 1))
         for _ in range(epochs):
             order = rng.permutation(len(y))
             for lo in range(0, len(y), 128):
                 mine = order[lo:lo + 128]
                 i = np.concatenate([ids[x] for x in mine])
                 size = np.array([len(ids[x]) for x in mine])
-                share = np.concatenate([counts[x] / counts[x].sum() for x in mine])
+                share = np.concatenate([counts[x] / (counts[x].sum() + PAD) for x in mine])
                 start = np.concatenate([[0], np.cumsum(size)[:-1]])
                 mean = np.add.reduceat(self.e[i] * share[:, None], start, axis=0)
                 z = mean @ self.w + self.b
                 p = np.exp(z - z.max(1, keepdims=True))
                 p /= p.sum(1, keepdims=True)
                 p[np.arange(len(mine)), y[mine]] -= 1
-                p *= weight[y[mine]][:, None] / len(mine)
+                p /= len(mine)
                 gmean, gw_now, gb_now = p @ self.w.T, mean.T @ p, p.sum(0)
                 u, at = np.unique(i, return_inverse=True)
                 back = np.repeat(gmean, size, axis=0) * share[:, None]
@@ -140,35 +141,37 @@ class Model:
 
     def logits(self, ids: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
         t = self.table
-        return np.array([(t[i] * c).sum() / c.sum() for i, c in zip(ids, counts)])
-
-    def calibrate(self, z: np.ndarray, y: np.ndarray) -> None:
-        """Put the cut with the fewest errors (the middle of the best stretch) at the threshold, scaled by the spread of z."""
-        order = np.argsort(z)
-        z, y = z[order], y[order]
-        wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([[0], np.cumsum(1 - y)])[-1] - np.concatenate([[0], np.cumsum(1 - y)])
-        best = np.flatnonzero(wrong == wrong.min())
+        return np.array([(t[i] * c).sum() / (c.sum() + PAD) for i, c in zip(ids, counts)])
+
+    def calibrate(self, z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+        """Put the cut with the fewest (weighted) errors, in the middle of its stretch, at the threshold; scaled by the spread of z."""
+        order = np.argsort(z, kind="stable")
+        z, y, weight = z[order], y[order], weight[order]
+        missed = np.concatenate([[0], np.cumsum(weight * y)])
+        clean = np.concatenate([[0], np.cumsum(weight * (1 - y))])
+        wrong = missed + clean[-1] - clean
+        best = np.flatnonzero(wrong <= wrong.min() * (1 + 1e-9))
         k = int(best[len(best) // 2])
         edge = np.concatenate([[z[0] - 1], z, [z[-1] + 1]])
         cut = (edge[k] + edge[k + 1]) / 2
-        gap = max(np.abs(z - cut).mean(), 1e-6)
-        self.slope = 4.0 / gap
+        self.slope = 4.0 / max(np.abs(z - cut).mean(), 1e-6)
         self.offset = float(np.log(THRESHOLD / (1 - THRESHOLD)) - self.slope * cut)
 
 
-def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKETS, per_class: int = PER_CLASS) -> Model:
-    """Fit on labelled rows of ``fold`` (a condition on doc_id), at most about ``per_class`` of each label."""
+def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKETS,
+          toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
+    """Fit on labelled rows of ``fold`` (a condition on doc_id), at most about ``toxic_rows`` and ``clean_rows`` of them."""
     of = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic")).filter(fold)
     size = {r["toxic"]: r["count"] for r in of.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / (1 << 20)
     keep = F.lit(False)
-    for label, n in size.items():
-        keep = keep | ((F.col("toxic") == label) & (draw < per_class / n))
+    for label, most in ((0, clean_rows), (1, toxic_rows)):
+        keep = keep | ((F.col("toxic") == label) & (draw < most / size.get(label, 1)))
     model = Model(buckets)
     if not {0, 1} <= set(size):
         return model
-    picked = of.filter(keep).limit(4 * per_class)  # the draw keeps about 2 * per_class rows, so this bounds the broadcast
+    picked = of.filter(keep).limit(2 * (toxic_rows + clean_rows))  # the draw keeps about half of that; this bounds the broadcast
     rows = bags(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(picked), "doc_id"), buckets).toArrow().sort_by("doc_id")
     y = rows.column("toxic").to_numpy().astype(np.int64)
@@ -182,7 +185,8 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKE
     fit = np.flatnonzero(~held)
     model.fit([ids[x] for x in fit], [counts[x] for x in fit], y[fit])
     check = np.flatnonzero(held) if held.any() else fit
-    model.calibrate(model.logits([ids[x] for x in check], [counts[x] for x in check]), y[check])
+    share = np.array([size[0], size[1]]) / np.maximum(np.bincount(y[check], minlength=2), 1)
+    model.calibrate(model.logits([ids[x] for x in check], [counts[x] for x in check]), y[check], share[y[check]])
     return model
 
 
@@ -213,7 +217,7 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
                 some = np.flatnonzero(size)
                 if len(some):
                     sums = np.add.reduceat(lookup([w for ws in each for w in ws]), np.concatenate([[0], np.cumsum(size[some])[:-1]]), axis=0)
-                    z[some] = sums[:, 0] / sums[:, 1]
+                    z[some] = sums[:, 0] / (sums[:, 1] + PAD)
                 p = 1 / (1 + np.exp(-np.clip(slope * z + offset, -60, 60)))
                 cols = [batch.column(x).slice(i, j - i) for x in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(p, pa.float64())], names=[*keep, "score"])
