@@ -13,8 +13,7 @@ number; whole texts are scored in one narrow pass with that table broadcast
 the labels' own shares, fits the slope and offset that put the best decision at
 score 0.7.
 
-Defined results: null, empty or wordless text scores as a zero average, below
-the threshold; an empty or one-sided training set scores 0 everywhere;
+Defined results: null, empty or wordless text scores as padding alone; an empty or one-sided training set scores 0 everywhere;
 conflicting labels of one id count as toxic; rows that repeat a doc_id are
 scored one by one. Extra columns are ignored.
 """
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import U64, SpanHash, doc_blocks, string_column, utf8_parts
 
 BUCKETS, DIM, EPOCHS, TOXIC_ROWS, CLEAN_ROWS, GRAMS = 1 << 18, 8, 12, 3000, 6000, (3, 4, 5, 6)
-#: Zero vectors averaged into every bag, so that a few odd n-grams cannot decide a very short text.
+#: Weight of one trained padding vector in every bag, so that a few odd n-grams cannot decide a very short text.
 PAD = 50
 THRESHOLD = 0.7
 _SPLIT = bytes(32 if x < 128 and not chr(x).isalpha() else x for x in range(256))
@@ -102,12 +101,14 @@ class Model:
 
     def __init__(self, buckets: int = BUCKETS, dim: int = DIM, seed: int = 7):
         rng = np.random.default_rng(seed)
-        self.e = np.zeros((buckets, dim), np.float32)
+        self.e = np.zeros((buckets + 1, dim), np.float32)  # the last is the padding
         self.w = rng.normal(0, 1, (dim, 2)).astype(np.float32)
         self.b = np.zeros(2, np.float32)
         self.slope, self.offset = 0.0, -50.0
 
     def fit(self, ids: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.3) -> None:
+        ids = [np.append(i, len(self.e) - 1) for i in ids]
+        counts = [np.append(c, PAD) / (c.sum() + PAD) for c in counts]
         rng = np.random.default_rng(11)
         ge, gw, gb = np.full_like(self.e, 1e-8), np.full_like(self.w, 1e-8), np.full_like(self.b, 1e-8)
         for _ in range(epochs):
@@ -116,7 +117,7 @@ class Model:
                 mine = order[lo:lo + 128]
                 i = np.concatenate([ids[x] for x in mine])
                 size = np.array([len(ids[x]) for x in mine])
-                share = np.concatenate([counts[x] / (counts[x].sum() + PAD) for x in mine])
+                share = np.concatenate([counts[x] for x in mine]).astype(np.float32)
                 start = np.concatenate([[0], np.cumsum(size)[:-1]])
                 mean = np.add.reduceat(self.e[i] * share[:, None], start, axis=0)
                 z = mean @ self.w + self.b
@@ -141,7 +142,7 @@ class Model:
 
     def logits(self, ids: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
         t = self.table
-        return np.array([(t[i] * c).sum() / (c.sum() + PAD) for i, c in zip(ids, counts)])
+        return np.array([((t[i] * c).sum() + PAD * t[-1]) / (c.sum() + PAD) for i, c in zip(ids, counts)])
 
     def calibrate(self, z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         """Put the cut with the fewest (weighted) errors, in the middle of its stretch, at the threshold; scaled by the spread of z."""
@@ -193,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKE
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus score (0 to 1) of every whole text."""
     small = docs.sparkSession.sparkContext.broadcast((model.table.astype(np.float32), model.slope, model.offset))
-    buckets = len(model.e)
+    buckets = len(model.e) - 1
     source = docs.select(*keep, F.col("text").cast("string").alias("_text"), F.lit(0.0).alias("score"))
     schema = source.drop("_text").schema
 
@@ -213,11 +214,11 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) ->
             for i, j in doc_blocks(utf8_parts(col)[1], 1 << 22):
                 each = [words(t) for t in col.slice(i, j - i).to_pylist()]
                 size = np.array([len(w) for w in each])
-                z = np.zeros(j - i)
+                z = np.full(j - i, float(table[-1]))
                 some = np.flatnonzero(size)
                 if len(some):
                     sums = np.add.reduceat(lookup([w for ws in each for w in ws]), np.concatenate([[0], np.cumsum(size[some])[:-1]]), axis=0)
-                    z[some] = sums[:, 0] / (sums[:, 1] + PAD)
+                    z[some] = (sums[:, 0] + PAD * table[-1]) / (sums[:, 1] + PAD)
                 p = 1 / (1 + np.exp(-np.clip(slope * z + offset, -60, 60)))
                 cols = [batch.column(x).slice(i, j - i) for x in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(p, pa.float64())], names=[*keep, "score"])
