@@ -8,14 +8,17 @@ maxima are banded together. Steps:
    set, and the band keys (written once);
 2. documents with equal sets form a class, named by its smallest doc_id; only
    classes go on, so thousands of copies cost one row;
-3. in each band bucket every class meets the bucket's smallest class (a star,
-   not all pairs); each distinct meeting is confirmed on the full shingle sets;
+3. in each band bucket every class meets a few hubs of the bucket (picked by
+   hash, so one cluster has few hubs), not all others; each distinct meeting of
+   sets of like size is confirmed on the full shingle sets;
 4. components of the confirmed links by alternating large and small stars;
-5. classes that share a bucket but not yet a component meet as well, and only
-   those; their confirmed links are merged.
+5. where a bucket still holds several components, the classes outside its main
+   one are compared with the whole bucket, streamed past them; their links are
+   merged. So every pair that shares a bucket is linked, found unlike, or
+   already in one component.
 
-Recall of the banding: a pair with similarity s shares a bucket with
-probability 1 - (1 - s**rows)**bands, 0.99998 at s = 0.8 with the defaults.
+Recall of the banding: a pair of similarity s shares a band with probability
+1 - (1 - s**rows)**bands, 0.99998 at s = 0.8 with the defaults.
 
 Defined results: null or empty text, or text without words, has an empty set
 and links with nothing; fewer words than a shingle make one shingle; rows that
@@ -34,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, SPACE, U64, SpanHash, doc_blocks, mix64, string_column, to_i64, utf8_parts, word_spans, written
 
-BANDS, ROWS, BLOCK = 36, 6, 1 << 20
+BANDS, ROWS, BLOCK, HUBS, OUTSIDERS = 36, 6, 1 << 20, 3, 256
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +118,7 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
         run, "doc_id long, n_shingles long, k1 long, k2 long, keys array<long>")
 
 
-def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+def _confirm(texts: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union.
 
     Rows of one ``a`` arrive in order, its own text first; a task keeps that one
@@ -124,7 +127,6 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int"))
     need = salted.select("a", "salt", F.col("b").alias("doc_id"), F.lit(1).alias("role")).unionByName(
         salted.select("a", "salt", F.col("a").alias("doc_id"), F.lit(0).alias("role")).distinct())
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = need.join(texts, "doc_id").select("a", "salt", "role", "doc_id", "text")
     ordered = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role", "doc_id")
 
@@ -159,6 +161,69 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     return ordered.mapInArrow(run, "a long, b long")
 
 
+def _outsiders(texts: DataFrame, apart: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links between components inside one bucket (rows key, node, component, main, chunks).
+
+    Every such pair has a class outside the bucket's main component. These outsiders are cut into chunks;
+    a task holds the inverted shingle lists of one chunk and streams the bucket's classes past it, so the rows
+    are the bucket's classes once per chunk, never its pairs.
+    """
+    own = F.pmod(F.xxhash64("node", F.lit(99)), "chunks").cast("int")
+    rows = apart.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumn(
+        "role", F.when((F.col("component") != F.col("main")) & (own == F.col("chunk")), 0).otherwise(1))
+    rows = rows.select("key", "chunk", "role", F.col("node").alias("doc_id"), "component").join(texts, "doc_id").select(
+        "key", "chunk", "role", "doc_id", "component", "text")
+    ordered = rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "role", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, index, links = None, [], None, []
+
+        def meet(doc: int, comp: int, s: np.ndarray) -> None:
+            hashes, owners, ids, comps, sizes = index
+            lo, hi = np.searchsorted(hashes, s), np.searchsorted(hashes, s, side="right")
+            n = hi - lo
+            hit = owners[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            both = np.bincount(hit, minlength=len(ids))
+            for x in np.flatnonzero((100 * both >= percent * (sizes + len(s) - both)) & (comps != comp)):
+                links.append((int(ids[x]), doc))
+
+        def close() -> None:
+            nonlocal index
+            if held and index is None:
+                everything = np.concatenate([h[2] for h in held])
+                owner = np.repeat(np.arange(len(held)), [len(h[2]) for h in held])
+                order = np.argsort(everything, kind="stable")
+                index = (everything[order], owner[order], np.array([h[0] for h in held]), np.array([h[1] for h in held]),
+                         np.array([len(h[2]) for h in held]))
+                for h in held:
+                    meet(*h)
+
+        for batch in batches:
+            data, offsets = utf8_parts(string_column(batch, "text"))
+            key, chunk, role, doc, comp = (batch.column(x).to_numpy(zero_copy_only=False) for x in range(5))
+            for i, j in doc_blocks(offsets, BLOCK):
+                part = offsets[i:j + 1]
+                u, bounds = shingle_hashes(data[part[0]:part[-1]], part - part[0], k)
+                for x in range(i, j):
+                    if (key[x], chunk[x]) != now:
+                        close()
+                        now, held, index = (key[x], chunk[x]), [], None
+                    s = u[bounds[x - i]:bounds[x - i + 1]]
+                    if role[x] == 0:
+                        held.append((int(doc[x]), int(comp[x]), s.copy()))
+                    elif held:
+                        close()
+                        meet(int(doc[x]), int(comp[x]), s)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([y[t] for y in links], pa.int64()) for t in (0, 1)], names=["a", "b"])
+                links.clear()
+        close()
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([y[t] for y in links], pa.int64()) for t in (0, 1)], names=["a", "b"])
+
+    return ordered.mapInArrow(run, "a long, b long").filter("a != b").distinct()
+
+
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(node, component) of every node with an edge, by alternating large and small stars.
 
@@ -194,23 +259,29 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     member = written(live.select("doc_id", "k1", "k2").join(classes, ["k1", "k2"]).select("doc_id", "rep", "k1", "k2").distinct(), "classes")
     # the set key of a class comes with the row of its smallest document
     reps = live.join(member.filter("doc_id = rep").select("doc_id", "k1", "k2"), ["doc_id", "k1", "k2"]).dropDuplicates(["doc_id", "k1", "k2"])
-    meet = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("node"))
-    hubs = meet.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far")).filter("hub < far")
-    bucket = written(meet.join(hubs.select("key", "hub"), "key").select("key", "hub", "node"), "buckets")
-    stars = written(bucket.filter("hub != node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    meet = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
+    shared = meet.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
+    bucket = written(meet.join(shared, "key"), "buckets")
+    nodes = bucket.select(F.col("node").alias("doc_id")).distinct()
+    texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
+        nodes, "doc_id", "left_semi"), "texts")
     same_id = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("a", "b")
     repeated = member.join(same_id.select(F.col("a").alias("low"), "b"), member.rep == F.col("b")).select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(_confirm(docs, stars, shingle_words, percent).unionByName(same_id).unionByName(repeated).distinct(), "links")
+    similar = f"100 * least(x.n, y.n) >= {int(percent)} * greatest(x.n, y.n)"  # sets of unlike size cannot be linked
+    # a few hubs per bucket, picked by hash so that one cluster has few; a bucket of at most HUBS + 1 classes is met in full
+    pick = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(h))) for h in range(HUBS)]
+    hubs = bucket.groupBy("key").agg(F.array_distinct(F.array(*pick)).alias("hubs")).select("key", F.explode("hubs").alias("x")).select("key", "x.*")
+    x, y = hubs.alias("x"), bucket.alias("y")
+    meetings = written(x.join(y, F.expr(f"x.key = y.key AND x.node != y.node AND {similar}")).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "meetings")
+    links = written(same_id.unionByName(repeated).unionByName(_confirm(texts, meetings, shingle_words, percent)).distinct(), "links")
     comp = written(components(links), "components")
-    # classes that share a bucket, not a component, and have not met
     at = bucket.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    left = written(at.join(split, "key").filter("node != hub").select("key", "node", "component"), "apart")
-    x, y = left.alias("x"), left.alias("y")
-    again = (x.join(y, F.expr("x.key = y.key AND x.node < y.node AND x.component != y.component"))
-             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    again = again.join(stars, ["a", "b"], "left_anti")
-    more = written(_confirm(docs, again, shingle_words, percent), "links2")
+    split = at.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
+        F.count("*").alias("parts"), F.sum("c").alias("c"), F.max(F.struct("c", "component")).alias("main")).filter(
+        (F.col("parts") > 1) & (F.col("c") > HUBS + 1)).select(
+        "key", F.col("main.component").alias("main"), F.ceil((F.col("c") - F.col("main.c")) / OUTSIDERS).cast("int").alias("chunks"))
+    more = written(_outsiders(texts, at.join(split, "key"), shingle_words, percent), "links2")
     if not more.isEmpty():
         links = written(links.unionByName(more).distinct(), "links")
         comp = written(components(links), "components")
