@@ -37,17 +37,17 @@ STATIC_RATES_TO_USD = {
 
 # --- fixed values: masking ------------------------------------------------------
 # Roles that see real values; every other role sees masked ones.
-FULL_ACCESS_ROLES = ("TRADE_ANALYTICS_TRANSFORMER", "TRADE_ANALYTICS_COMPLIANCE", "ACCOUNTADMIN")
+FULL_ACCESS_ROLES = ("BUILDER", "COMPLIANCE", "ADMIN")
 PSEUDONYM_PREFIX = "CPTY_"
 PSEUDONYM_HEX_CHARS = 6
 MASK_ROUND_DIGITS = -6
 
 # Which serving objects each role may read.
 ROLE_TABLES = {
-    "TRADE_ANALYTICS_COMPLIANCE": "*",
-    "ACCOUNTADMIN": "*",
-    "TRADE_ANALYTICS_TRANSFORMER": "*",
-    "TRADE_ANALYTICS_ANALYST": ("deal_status", "deal_report"),
+    "COMPLIANCE": "*",
+    "ADMIN": "*",
+    "BUILDER": "*",
+    "ANALYST": ("deal_status", "deal_report"),
 }
 
 # --- fixed values: product reference seed (5 rows) ------------------------------

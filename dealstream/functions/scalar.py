@@ -135,7 +135,7 @@ def age_text(ts, now) -> Column:
     hours = secs / F.lit(3600.0)
     return (F.when(_c(ts).isNull(), F.lit("No data yet"))
              .when(hours < 1, F.concat(F.floor(secs / 60).cast("bigint").cast("string"), F.lit(" min ago")))
-             .otherwise(F.concat(F.format_number(F.round(hours, 1), 1), F.lit(" hours ago"))))
+             .otherwise(F.format_string("%.1f hours ago", F.round(hours, 1))))
 
 
 def minutes_between(a, b) -> Column:

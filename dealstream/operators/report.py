@@ -121,7 +121,7 @@ def count_by(df: DataFrame, col: str, alias: str = "count") -> DataFrame:
 
 
 def by_day(report: DataFrame) -> DataFrame:
-    return (report.groupBy(F.col("trade_date").alias("trade_day"))
+    return (report.filter(F.col("trade_date").isNotNull()).groupBy(F.col("trade_date").alias("trade_day"))
             .agg(F.count(F.lit(1)).alias("trade_count")).orderBy("trade_day"))
 
 

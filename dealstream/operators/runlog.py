@@ -162,15 +162,12 @@ def lineage_neighbours(edges: DataFrame, name: str) -> DataFrame:
 
 
 def union_status(log: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Per-object summaries stacked with UNION ALL (one small aggregate
-    per object, as the health page lists them)."""
-    parts = [log.filter(F.col("object_name") == n).agg(
-        F.lit(n).alias("object_name"), F.max("scheduled_time").alias("last_run"),
-        F.max_by("state", F.struct("scheduled_time", "run_id")).alias("last_state")) for n in names]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """One summary row per listed object, also for one without rows, from a
+    single pass over the log."""
+    last = log.filter(F.col("object_name").isin(list(names))).groupBy("object_name").agg(
+        F.max("scheduled_time").alias("last_run"), F.max_by("state", F.struct("scheduled_time", "run_id")).alias("last_state"))
+    listed = log.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("object_name"))
+    return listed.join(last, "object_name", "left").select("object_name", "last_run", "last_state")
 
 
 def freshness(maxima: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -111,7 +111,7 @@ def q_evaluate_batch(spark, sf_dir):
         # (not re-aggregated from the whole log, not rewritten every run)
         state = J.state_before(spark, state_path, b)
         out = D.evaluate_batch(feed.filter(F.col("batch_id") == b), prior, T.AS_OF, state=state)
-        I.append(out.select(*D.DECISION_COLUMNS), log_path)
+        I.append(out.select(*D.DECISION_COLUMNS), log_path, b)
         prior = spark.read.parquet(log_path)
         J.record_state(spark, state_path, b, prior.filter(F.col("batch_id") == b))
     return prior.select(*[F.col(c).cast("bigint").alias(c) if c == "batch_id" else F.col(c)

@@ -26,7 +26,6 @@ from .queries_star import valid
 
 # --- fixed values: the corrupt-line rule of the event landing ------------------
 BAD_VALUE_OVER = 300.0
-HOURLY_DELAY_MINUTES = 10
 FIRST_DRAIN_BATCHES = (0, 1)
 EVENT_SPLIT = dt.datetime(2024, 1, 15)
 
@@ -108,8 +107,39 @@ def q_raw_csv_ingest(spark, sf_dir):
     fn = F.concat(F.lit("fx_rates_"), F.col("year").cast("string"), F.lit(".csv"))
     la = F.make_date(F.col("year") + 1, F.lit(1), F.lit(1)).cast("timestamp_ntz")
     raw = I.ingest_rates_csv(spark, path, loaded_at=la, file_name=fn)
-    return raw.filter(F.col("_corrupt_record").isNull()).select(
-        "as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at")
+    good, _ = I.split_bad_files(raw, F.col("_corrupt_record").isNotNull())
+    return good.select("as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at")
+
+
+BAD_FX_YEAR = 1995
+
+
+@query("csv_skip_bad_files", O.with_decisions(
+    "SELECT as_of_date, currency, rate_to_usd, 'fx_rates_' || CAST(year(as_of_date) AS VARCHAR) || '.csv' AS file_name "
+    f"FROM fx_raw WHERE year(as_of_date) <> {BAD_FX_YEAR}", O.FX_RAW_CTE))
+def q_csv_skip_bad_files(spark, sf_dir):
+    """One rate of one year's file does not parse: that file is skipped whole, the others load."""
+    path = unique_dir(spark, "landing", "fx_csv_bad")
+    year = F.year("as_of_date")
+    rate = F.when((year == BAD_FX_YEAR) & (F.col("currency") == "EUR"), F.lit("n/a")).otherwise(F.col("rate_to_usd").cast("string"))
+    T.fx_rates_raw(spark, sf_dir).select("as_of_date", "currency", rate.alias("rate_to_usd"), year.alias("year")).write.partitionBy(
+        "year").option("header", True).csv(path)
+    fn = F.concat(F.lit("fx_rates_"), F.col("year").cast("string"), F.lit(".csv"))
+    raw = I.ingest_rates_csv(spark, path, loaded_at=F.lit(EVENT_SPLIT).cast("timestamp_ntz"), file_name=fn)
+    good, _ = I.split_bad_files(raw, F.col("_corrupt_record").isNotNull())
+    return good.select("as_of_date", "currency", "rate_to_usd", "file_name")
+
+
+@query("reference_messages", O.with_decisions(
+    "SELECT 'TRD-' || upper(printf('%010x', trade_id)) AS trade_id, version, message_id, event_timestamp, maturity_date, notional, file_name FROM deliveries"))
+def q_reference_messages(spark, sf_dir):
+    """Messages with text ids and event times in another zone, flattened: ids stay text, times become UTC."""
+    tid = F.concat(F.lit("TRD-"), F.lpad(F.hex("trade_id"), 10, "0"))
+    local = F.concat(F.date_format(F.expr("event_timestamp + INTERVAL '05:30' HOUR TO MINUTE"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+05:30"))
+    dl = deliveries(spark, sf_dir).withColumn("trade_id", tid).withColumn("event_timestamp", local)
+    raw = F.parse_json(F.to_json(F.struct(*[F.col(n) for n, _ in I.MESSAGE_FIELDS])))
+    flat = I.flatten_messages(dl.select(raw.alias("raw"), "file_name"))
+    return flat.select("trade_id", "version", "message_id", "event_timestamp", "maturity_date", "notional", "file_name")
 
 
 @query("raw_passthrough", O.with_decisions("SELECT * FROM deliveries"))
@@ -125,13 +155,14 @@ def _written_decisions(spark, sf_dir):
 
 @query("append_sink", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions"))
 def q_append_sink(spark, sf_dir):
-    """Batches appended one by one, then batch 2 replayed: the replay replaces
-    its own partition only, so the table is unchanged."""
+    """Runs appended one by one (a batch may come in two), then run 2 replayed: the
+    replay replaces its own folder only, so the table is unchanged."""
     dec = _written_decisions(spark, sf_dir)
     path = unique_dir(spark, "tables", "decisions_appended")
-    for b in range(T.N_BATCHES):
-        I.append(dec.filter(F.col("batch_id") == b), path)
-    I.append(dec.filter(F.col("batch_id") == 2), path)
+    half = F.pmod(F.col("trade_id"), F.lit(2))
+    runs = [dec.filter((F.col("batch_id") == b) & (half == h)) for b in range(T.N_BATCHES) for h in (0, 1)]
+    for epoch, part in enumerate([*runs, runs[2]]):
+        I.append(part, path, epoch if epoch < len(runs) else 2)
     out = I.read_appended(spark, path)
     return out.select(*[F.col(c).cast("bigint").alias(c) if c == "batch_id" else F.col(c)
                         for c in D.DECISION_COLUMNS])
@@ -190,7 +221,7 @@ def q_cdc_drain(spark, sf_dir):
     staging = unique_dir(spark, "tables", "stg")
     ckpt = unique_dir(spark, "streams", "cdc_drain")
     _two_drains(spark, sf_dir, lambda landing: J.cdc_drain(spark, landing, staging, ckpt))
-    out = spark.read.parquet(staging)
+    out = I.read_appended(spark, staging)
     return out.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
@@ -198,11 +229,60 @@ def _stream_decisions(spark, sf_dir, reupload):
     out = unique_dir(spark, "tables", "decisions_stream")
     ckpt = unique_dir(spark, "streams", "decisions")
     _two_drains(spark, sf_dir, lambda landing: J.stream_decisions(spark, landing, out, ckpt, T.AS_OF), reupload)
-    d = spark.read.parquet(out)
+    return _decided(spark, out)
+
+
+def _decided(spark, path):
+    d = I.read_appended(spark, path)
     return d.select(*[F.col(c).cast("bigint").alias(c) if c == "batch_id" else F.col(c)
                       for c in D.DECISION_COLUMNS])
 
 
+def _late_sql(late: str, drains: str) -> str:
+    """One-pass decisions when the rows ``late`` are decided in the order ``drains`` instead of by batch."""
+    moved = O.CTE_MESSAGES.replace("OVER (PARTITION BY trade_id ORDER BY batch_id\n", f"OVER (PARTITION BY trade_id ORDER BY {drains}\n").replace(
+        "PARTITION BY trade_id, batch_id\n", f"PARTITION BY trade_id, {drains}\n")
+    return f"WITH {moved}\nSELECT {O.DECISION_COLS} FROM decisions"
+
+
+_LATE = "batch_id = 1 AND trade_id % 2 = 1"
+
+
+def _late_file(spark, sf_dir, max_files=None):
+    """Batch 1 in two files over two drains: the odd trades come with the later batches."""
+    landing, out, ckpt = (unique_dir(spark, *x) for x in (("landing", "late"), ("tables", "late"), ("streams", "late")))
+    feed = unique_dir(spark, "tables", "deliveries")
+    deliveries(spark, sf_dir).write.parquet(feed)
+    dl = spark.read.parquet(feed)
+    late = F.expr(_LATE)
+    for part in (dl.filter((F.col("batch_id") <= 1) & ~late), dl.filter(late | (F.col("batch_id") > 1))):
+        J.land_messages(part, landing)
+        J.stream_decisions(spark, landing, out, ckpt, T.AS_OF, max_files=max_files)
+    return _decided(spark, out)
+
+
+@query("stream_late_file", _late_sql(_LATE, f"(batch_id * 2 + CASE WHEN {_LATE} THEN 1 ELSE 0 END)"))
+def q_stream_late_file(spark, sf_dir):
+    """A batch that arrives in two drains keeps every decision of the first."""
+    return _late_file(spark, sf_dir)
+
+
+BAD_DEAL_FILE = "deals_b1.jsonl"
+
+
+@query("stream_skip_bad_files", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions").replace(
+    "SELECT * FROM deliveries\n", f"SELECT * FROM deliveries WHERE file_name <> '{BAD_DEAL_FILE}'\n"))
+def q_stream_skip_bad_files(spark, sf_dir):
+    """A landed file with malformed lines is skipped whole and put aside; the stream goes on with the others."""
+    landing, out, ckpt, aside = (unique_dir(spark, *x) for x in (
+        ("landing", "bad_deals"), ("tables", "bad_deals"), ("streams", "bad_deals"), ("tables", "quarantine")))
+    dl = deliveries(spark, sf_dir)
+    J.land_messages(dl.filter((F.col("file_name") != BAD_DEAL_FILE) | (F.col("trade_id") % 3 > 0)), landing)
+    J.land_messages(dl.filter((F.col("file_name") == BAD_DEAL_FILE) & (F.col("trade_id") % 3 == 0)), landing, cut=2)
+    J.stream_decisions(spark, landing, out, ckpt, T.AS_OF, quarantine=aside)
+    return _decided(spark, out)
+
+
 @query("stream_decisions", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions"))
 def q_stream_decisions(spark, sf_dir):
     return _stream_decisions(spark, sf_dir, reupload=False)
@@ -229,22 +309,33 @@ def q_stream_fx(spark, sf_dir):
 
 @query("stream_hourly", O.with_log(
     f"""SELECT date_trunc('hour', scheduled_time) AS hour, count(*) AS rows_loaded FROM run_log
-        GROUP BY 1
-        HAVING date_trunc('hour', scheduled_time) + INTERVAL 1 HOUR <=
-               (SELECT max(scheduled_time) FROM run_log) - INTERVAL {HOURLY_DELAY_MINUTES} MINUTE"""))
+        GROUP BY 1"""))
 def q_stream_hourly(spark, sf_dir):
-    """Hourly run counts from a stream of run-log files with a watermark:
-    windows are emitted once closed, so the last still-open hour is absent."""
+    """Hourly run counts from a stream of run-log files; some rows of the first
+    hours arrive a drain late and still count in their hour."""
+    return _streamed_hours(spark, sf_dir)
+
+
+@query("stream_hourly_failures", O.with_log(
+    """SELECT date_trunc('hour', scheduled_time) AS hour, object_name, count(*) AS rows_loaded FROM run_log
+        WHERE state = 'FAILED' GROUP BY ALL"""))
+def q_stream_hourly_failures(spark, sf_dir):
+    """Failures per hour and object, streamed: what the failure alert reads."""
+    return _streamed_hours(spark, sf_dir, ("object_name",), F.col("state") == "FAILED")
+
+
+def _streamed_hours(spark, sf_dir, keys=(), condition=None):
     landing = unique_dir(spark, "landing", "run_log")
     out = unique_dir(spark, "tables", "hourly")
     ckpt = unique_dir(spark, "streams", "hourly")
     lg = T.run_log(spark, sf_dir).select("run_id", "object_name", "state", "scheduled_time")
     split = F.lit(EVENT_SPLIT).cast("timestamp_ntz")
     schema = "run_id bigint, object_name string, state string, scheduled_time timestamp_ntz, part int"
-    for n, part in ((0, lg.filter(F.col("scheduled_time") < split)), (1, lg.filter(F.col("scheduled_time") >= split))):
+    early = (F.col("scheduled_time") < split) & (F.col("run_id") % 7 != 0)
+    for n, part in ((0, lg.filter(early)), (1, lg.filter(~early))):
         part.withColumn("part", F.lit(n)).write.mode("append").partitionBy("part").parquet(landing)
-        J.stream_hourly(spark, landing, schema, "scheduled_time", out, ckpt, f"{HOURLY_DELAY_MINUTES} minutes")
-    return spark.read.parquet(out)
+        J.stream_hourly(spark, landing, schema, "scheduled_time", out, ckpt, keys, condition)
+    return J.read_hourly(spark, out, keys)
 
 
 @query("load_once", O.with_log(

@@ -179,12 +179,12 @@ def _serving(spark, sf_dir):
 
 @query("masked_report", _masked_report_sql())
 def q_masked_report(spark, sf_dir):
-    return SV.serve(_serving(spark, sf_dir), "deal_report", "TRADE_ANALYTICS_ANALYST")
+    return SV.serve(_serving(spark, sf_dir), "deal_report", "ANALYST")
 
 
 @query("full_report", O.with_star("SELECT * FROM report"))
 def q_full_report(spark, sf_dir):
-    return SV.serve(_serving(spark, sf_dir), "deal_report", "TRADE_ANALYTICS_COMPLIANCE")
+    return SV.serve(_serving(spark, sf_dir), "deal_report", "COMPLIANCE")
 
 
 # --- SCD-2 -------------------------------------------------------------------------------------
@@ -294,7 +294,7 @@ def q_incremental_watermark(spark, sf_dir):
     "SELECT * FROM valid_fact_before",
     """latest_before AS (SELECT * FROM decisions WHERE decision = 'ACCEPTED' AND batch_id <= 1
   QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY batch_id DESC, evaluated_at DESC, message_id) = 1)""",
-    "valid_fact_before AS (" + O._fact_select("latest_before", "a.evaluated_at, a.evaluated_at AS processed_at") + ")"))
+    "valid_fact_before AS (" + O._fact_select("latest_before", "evaluated_at, evaluated_at AS processed_at") + ")"))
 def q_state_as_of(spark, sf_dir):
     return ST.build_valid_fact(STT.state_as_of(decisions(spark, sf_dir), batch_id=AS_OF_BATCH), BOUNDS)
 
@@ -303,7 +303,7 @@ def q_state_as_of(spark, sf_dir):
     "SELECT trade_id, version FROM valid_fact EXCEPT SELECT trade_id, version FROM valid_fact_before",
     """latest_before AS (SELECT * FROM decisions WHERE decision = 'ACCEPTED' AND batch_id <= 1
   QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY batch_id DESC, evaluated_at DESC, message_id) = 1)""",
-    "valid_fact_before AS (" + O._fact_select("latest_before", "a.evaluated_at, a.evaluated_at AS processed_at") + ")"))
+    "valid_fact_before AS (" + O._fact_select("latest_before", "evaluated_at, evaluated_at AS processed_at") + ")"))
 def q_state_diff(spark, sf_dir):
     dec = decision_log(spark, sf_dir)
     before = ST.build_valid_fact(STT.state_as_of(dec, batch_id=AS_OF_BATCH), BOUNDS)

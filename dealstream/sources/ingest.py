@@ -13,15 +13,19 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 
-# Typed payload fields of a deal message (path -> Spark type); the
-# producer's ``status`` field is deliberately not carried.
+# Typed payload fields of a deal message (path -> Spark type).
+# Ids are text and the event time carries its own offset; the producer's
+# ``status`` field is deliberately not carried.
 MESSAGE_FIELDS = (
-    ("trade_id", "bigint"), ("version", "bigint"), ("message_id", "string"), ("source_system", "string"),
-    ("event_timestamp", "timestamp_ntz"), ("trade_date", "date"), ("maturity_date", "date"),
+    ("trade_id", "string"), ("version", "bigint"), ("message_id", "string"), ("source_system", "string"),
+    ("event_timestamp", "timestamp"), ("trade_date", "date"), ("maturity_date", "date"),
     ("product_type", "string"), ("counterparty", "string"), ("trader", "string"), ("book", "string"),
     ("currency", "string"), ("notional", "double"), ("price", "double"),
 )
 
+# The feeds derived from the given tables have numeric trade ids.
+ADAPTER_FIELDS = tuple((n, "bigint" if n == "trade_id" else t) for n, t in MESSAGE_FIELDS)
+
 FX_SCHEMA = "as_of_date date, currency string, rate_to_usd double"
 
 
@@ -49,10 +53,22 @@ def flatten(raw: Column, fields, strict: bool = True) -> list[Column]:
     return [get(raw, f"$.{name}", typ).alias(name) for name, typ in fields]
 
 
-def flatten_messages(landing: DataFrame, strict: bool = True, raw_col: str = "raw") -> DataFrame:
-    """The 14 typed message fields plus file name and load time."""
+def flatten_messages(landing: DataFrame, strict: bool = True, raw_col: str = "raw", fields=MESSAGE_FIELDS) -> DataFrame:
+    """The 14 typed message fields plus file name and load time. The event
+    time is converted from its own offset to UTC wall-clock time."""
     extra = [c for c in landing.columns if c not in (raw_col, "line")]
-    return landing.select(*flatten(F.col(raw_col), MESSAGE_FIELDS, strict), *extra)
+    out = landing.select(*flatten(F.col(raw_col), fields, strict), *extra)
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("event_timestamp").cast("timestamp_ntz"))
+    return out.withColumn("event_timestamp", utc)
+
+
+def unreadable(raw: Column, fields=MESSAGE_FIELDS) -> Column:
+    """A record that cannot be loaded: not JSON, or a field that does not cast to its type."""
+    bad = raw.isNull()
+    for name, typ in fields:
+        if typ != "string":
+            bad = bad | (F.try_variant_get(raw, f"$.{name}", "string").isNotNull() & F.try_variant_get(raw, f"$.{name}", typ).isNull())
+    return bad
 
 
 # --- S3 ------------------------------------------------------------------------------
@@ -99,8 +115,10 @@ def ingest_rates_csv(spark: SparkSession, path: str, loaded_at: Column | None =
           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
     fn = file_name if file_name is not None else F.col("_metadata.file_name")
     la = loaded_at if loaded_at is not None else F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+    # the reader refuses a query on the corrupt column alone, so it is read together with the others
+    beside = F.length(F.concat_ws(",", F.col("as_of_date").cast("string"), "currency", F.col("rate_to_usd").cast("string"))) >= 0
     return df.select("as_of_date", "currency", "rate_to_usd", fn.alias("file_name"), la.alias("loaded_at"),
-                     "_corrupt_record", *[c for c in df.columns if c not in
+                     F.when(beside, F.col("_corrupt_record")).alias("_corrupt_record"), *[c for c in df.columns if c not in
                                           ("as_of_date", "currency", "rate_to_usd", "_corrupt_record")])
 
 
@@ -112,43 +130,47 @@ def base_view(df: DataFrame, name: str) -> DataFrame:
 
 
 # --- S8 / S10 / S12 ---------------------------------------------------------------------
-def append(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
-    """Append sink, idempotent per batch: the batch's partition is replaced
-    (dynamic partition overwrite), other batches are untouched; new columns
-    are merged on read."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(batch_col).parquet(path)
-    finally:
-        if prev is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def read_appended(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+def append(df: DataFrame, path: str, epoch: int) -> None:
+    """Append sink: every run (micro-batch) owns one ``epoch=`` folder. A
+    replayed run overwrites its own folder only, so it neither duplicates its
+    rows nor touches those of another run, whatever batches they belong to."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={int(epoch)}")
+
+
+def read_appended(spark: SparkSession, path: str, before: int | None = None, since: int | None = None) -> DataFrame:
+    """All runs (or those with ``since`` <= epoch < ``before``; other folders are pruned), new columns merged."""
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    if before is not None:
+        df = df.filter(F.col("epoch") < before)
+    if since is not None:
+        df = df.filter(F.col("epoch") >= since)
+    return df.drop("epoch")
+
+
+def complete(spark: SparkSession, root: str, prefix: str) -> list[str]:
+    """Sorted names ``prefix...`` under ``root`` whose write has finished, from one listing."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}*/_SUCCESS")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(st.getPath().getParent().getName()[len(prefix):] for st in found or ())
 
 
 def rebuild(df: DataFrame, path: str, version: str | None = None) -> str:
-    """Full rebuild into a new version folder, then switch the pointer file,
-    so readers never see a half-written table."""
+    """Full rebuild into a new version folder. The newest finished folder is
+    the current table, so there is no pointer to lose: a crash leaves either
+    the old version or the new one current."""
     import uuid
 
-    version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f") + "-" + uuid.uuid4().hex[:8]
     target = f"{path.rstrip('/')}/v={version}"
     df.write.mode("overwrite").parquet(target)
-    spark = df.sparkSession
-    spark.createDataFrame([(target,)], "current string").coalesce(1).write.mode("overwrite").text(
-        f"{path.rstrip('/')}/_current")
     return target
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
-    target = spark.read.text(f"{path.rstrip('/')}/_current").first()[0]
-    return spark.read.parquet(target)
+def read_current(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
+    """The newest finished version (before ``before``), None if there is none."""
+    versions = [v for v in complete(spark, path, "v=") if before is None or v < before]
+    return spark.read.parquet(f"{path.rstrip('/')}/v={versions[-1]}") if versions else None
 
 
 def write_clustered(df: DataFrame, path: str, key: str, partitions: int | None = None) -> None:

@@ -3,9 +3,9 @@
 Every job reads a growing landing (files or the landing table's files),
 runs with ``trigger(availableNow=True)`` so one call drains exactly what has
 landed, and keeps its progress in a checkpoint under the cluster's shared
-``spark.checkpoint.dir``. Outputs are written per batch with dynamic
-partition overwrite, so replaying a micro-batch after a lost executor or a
-restarted driver rewrites the same partitions instead of duplicating rows.
+``spark.checkpoint.dir``. Every micro-batch writes one folder of its own, so
+replaying it after a lost executor or a restarted driver rewrites that folder
+and nothing else; a batch may arrive in any number of files and drains.
 """
 
 from __future__ import annotations
@@ -81,56 +81,54 @@ def ingest_stream(spark: SparkSession, path: str, fmt: str = "text", schema: str
 
 
 # --- landing writers -------------------------------------------------------------------
-def land_messages(deliveries: DataFrame, landing: str) -> None:
-    """Write deliveries into the landing table: the message as a JSON text
+def land_messages(deliveries: DataFrame, landing: str, cut: int = 0) -> None:
+    """Write deliveries (``cut``: without the last characters, as a broken transfer leaves them) into the landing table: the message as a JSON text
     (the raw payload), the file it came in and its load time; one partition
     per batch (a drain's unit)."""
-    payload = F.to_json(F.struct(*[F.col(n) for n, _ in I.MESSAGE_FIELDS]))
+    payload = F.to_json(F.struct(*[F.col(n) for n, _ in I.MESSAGE_FIELDS]), {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"})
+    if cut:
+        payload = F.substring(payload, 1, F.length(payload) - cut)
     rows = deliveries.select(payload.alias("raw"), "file_name", "loaded_at", "batch_id")
     rows.write.mode("append").partitionBy("batch_id").parquet(landing)
 
 
 # --- S5: stream -> typed staging -------------------------------------------------------------
-def stage_batch(df: DataFrame) -> DataFrame:
-    """Flatten the raw payload (strict casts) and keep the first arrival per
-    message within the drain."""
-    typed = I.flatten_messages(df.select(F.parse_json("raw").alias("raw"), "file_name", "loaded_at", "batch_id"))
+def stage_batch(df: DataFrame, quarantine: str | None = None, fields=I.ADAPTER_FIELDS) -> DataFrame:
+    """Flatten the raw payload and keep the first arrival per message within
+    the drain. A file with an unreadable record is skipped whole, other files
+    load; with ``quarantine`` the skipped files' rows are written to that folder."""
+    parsed = df.select(F.try_parse_json("raw").alias("raw"), F.col("raw").alias("line"), "file_name", "loaded_at", "batch_id")
+    good, bad_files = I.split_bad_files(parsed, I.unreadable(F.col("raw"), fields))
+    if quarantine:
+        parsed.join(bad_files.select("file_name"), "file_name", "left_semi").drop("raw").write.mode("overwrite").parquet(quarantine)
+    typed = I.flatten_messages(good.drop("line"), fields=fields)
     return D.dedup_first(typed, "message_id", ("loaded_at", "file_name"))
 
 
-def cdc_drain(spark: SparkSession, landing: str, staging: str, checkpoint: str) -> int:
+def cdc_drain(spark: SparkSession, landing: str, staging: str, checkpoint: str, quarantine: str | None = None,
+              max_files: int | None = None) -> int:
     """Drain unconsumed landing rows into the staging table, written
     together with the checkpoint's offset (one micro-batch = one drain)."""
     def process(df, epoch):
-        I.append(stage_batch(df), staging)
-    return drain(landing_stream(spark, landing), checkpoint, process)
+        I.append(stage_batch(df, f"{quarantine}/epoch={epoch}" if quarantine else None), staging, epoch)
+    return drain(landing_stream(spark, landing, max_files=max_files), checkpoint, process)
 
 
 # --- X1 / X2 / X3: decisions ------------------------------------------------------------------
 def _epoch_dirs(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(conf)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    return sorted(map(int, I.complete(spark, root, "epoch=")))
 
 
 COMPACT_EVERY = 8  # deltas folded into a full state table after this many drains
 
 
-def state_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None:
+def state_before(spark: SparkSession, root: str, epoch: int, trades: DataFrame | None = None) -> DataFrame | None:
     """The version-gate state (trade -> highest accepted version) as it stood
     before ``epoch``: the latest compacted full state before it plus the
     per-drain deltas after that (max is associative, so the union reduced by
     ``max`` equals folding them in order). Only completed epochs before
-    ``epoch`` are read, so a replayed epoch never sees its own effect."""
+    ``epoch`` are read, so a replayed epoch never sees its own effect. With
+    ``trades`` every part is cut to these trades before it is aggregated."""
     fulls = [e for e in _epoch_dirs(spark, f"{root}/full") if e < epoch]
     base = fulls[-1] if fulls else -1
     deltas = [e for e in _epoch_dirs(spark, f"{root}/delta") if base < e < epoch]
@@ -138,6 +136,8 @@ def state_before(spark: SparkSession, root: str, epoch: int) -> DataFrame | None
         [spark.read.parquet(f"{root}/delta/epoch={e}") for e in deltas]
     if not parts:
         return None
+    if trades is not None:
+        parts = [p.join(trades, "trade_id", "left_semi") for p in parts]
     if len(parts) == 1:
         return parts[0]
     both = parts[0]
@@ -158,67 +158,69 @@ def record_state(spark: SparkSession, root: str, epoch: int, written: DataFrame)
         state_before(spark, root, epoch + 1).write.mode("overwrite").parquet(f"{root}/full/epoch={epoch}")
 
 
-def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, checkpoint: str, as_of) -> int:
-    """Each drain is decided and appended per batch. The version gate
-    reads a compact state table (trade -> highest accepted version) kept next
-    to the log as per-drain deltas plus periodic compactions, instead of
-    re-aggregating the whole log; the drain's messages already decided in an
-    earlier drain are dropped (X3), so a re-delivered file never changes a
-    decision."""
-    state_root = decisions_path.rstrip("/") + "_state"
+def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, checkpoint: str, as_of,
+                     quarantine: str | None = None, max_files: int | None = None, redelivery_drains: int | None = None) -> int:
+    """Each drain is decided and appended as a run of its own. The version
+    gate (X2) reads a compact state table (trade -> highest accepted version)
+    kept next to the log as per-drain deltas plus periodic compactions, cut to
+    the drain's trades first; messages already decided in an earlier drain,
+    of this batch or another, are dropped (X3), so a re-delivered file never
+    changes a decision. Rows of a batch that arrive late are decided as part
+    of their own drain. ``redelivery_drains`` bounds how many drains back a
+    redelivery is looked for (older folders are pruned); None looks at all."""
+    root = decisions_path.rstrip("/")
+    state_root = root + "_state"
 
     def process(df, epoch):
-        # the batch ids of this drain: a handful of values, read from the raw rows
-        batches = [r[0] for r in df.select("batch_id").distinct().collect()]
-        if not batches:
-            return
-        prior = read_if_exists(spark, decisions_path)
-        if prior is not None:
-            # replaying this epoch must not see its own earlier output
-            prior = prior.filter(~F.col("batch_id").isin(batches))
-        state = state_before(spark, state_root, epoch)
         # The staged drain is written once (a replayed epoch overwrites its own
         # folder) and read back: the lineage is cut, and the planner sees the
         # drain's real file size, so the redelivery check broadcasts the
         # drain's ids only when they are measured small and the decision log
         # is never shuffled for a small drain.
         staged_path = f"{state_root}_staged/epoch={epoch}"
-        stage_batch(df).write.mode("overwrite").parquet(staged_path)
+        stage_batch(df, f"{quarantine}/epoch={epoch}" if quarantine else None).write.mode("overwrite").parquet(staged_path)
+        staged = spark.read.parquet(staged_path)
+        earlier = [e for e in _epoch_dirs(spark, root) if e < epoch]
+        since = None if redelivery_drains is None else epoch - redelivery_drains
+        # replaying this epoch must not see its own earlier output
+        prior = I.read_appended(spark, root, before=epoch, since=since) if earlier else None
+        state = state_before(spark, state_root, epoch, staged.select("trade_id").distinct())
         # staged rows are already the first arrival per message
-        out = D.evaluate_drain(spark.read.parquet(staged_path), prior, as_of, state=state, dedup=False)
-        I.append(out.select(*D.DECISION_COLUMNS), decisions_path)
-        written = spark.read.parquet(decisions_path).filter(F.col("batch_id").isin(batches))
-        record_state(spark, state_root, epoch, written)
-    return drain(landing_stream(spark, landing), checkpoint, process)
-
-
-# --- X4: hourly counts with a watermark ------------------------------------------------------
-def stream_hourly(spark: SparkSession, events_landing: str, schema: str, ts: str, out_path: str,
-                  checkpoint: str, delay: str = "10 minutes", keys: tuple[str, ...] = ()) -> None:
-    """Tumbling one-hour counts over event time, emitted once the
-    watermark (max event time minus ``delay``) passes the window end."""
-    src = spark.readStream.schema(schema).parquet(events_landing)
-    # watermarks need an instant: wall-clock NTZ times are read as UTC
-    src = src.withColumn(ts, F.col(ts).cast("timestamp"))
-    agg = (src.withWatermark(ts, delay)
-           .groupBy(F.window(ts, "1 hour").alias("w"), *keys)
-           .agg(F.count(F.lit(1)).alias("rows_loaded")))
-    out = agg.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), *keys, "rows_loaded")
-    q = (out.writeStream.outputMode("append").format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+        out = D.evaluate_drain(staged, prior, as_of, state=state, dedup=False)
+        I.append(out.select(*D.DECISION_COLUMNS), root, epoch)
+        record_state(spark, state_root, epoch, spark.read.parquet(f"{root}/epoch={epoch}"))
+    return drain(landing_stream(spark, landing, max_files=max_files), checkpoint, process)
+
+
+# --- X4: hourly counts, upserted -------------------------------------------------------------
+def stream_hourly(spark: SparkSession, events_landing: str, schema: str, ts: str, out_path: str, checkpoint: str,
+                  keys: tuple[str, ...] = (), condition=None) -> int:
+    """One-hour counts over event time. Every drain writes its own counts per
+    hour (as small as its hours) to a folder of its own; :func:`read_hourly` adds
+    them up, so a row that arrives any time later still counts in its hour and
+    the newest hour is there at once. ``condition`` keeps e.g. failures only."""
+    def process(df, epoch):
+        rows = df if condition is None else df.filter(condition)
+        counts = rows.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour"), *keys).agg(F.count(F.lit(1)).alias("rows_loaded"))
+        I.append(counts, out_path, epoch)
+    return drain(spark.readStream.schema(schema).parquet(events_landing), checkpoint, process)
+
+
+def read_hourly(spark: SparkSession, out_path: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Counts per hour over all drains so far."""
+    return I.read_appended(spark, out_path).groupBy("hour", *keys).agg(F.sum("rows_loaded").alias("rows_loaded"))
 
 
 # --- X5: FX latest-wins ---------------------------------------------------------------------------
 def stream_fx(spark: SparkSession, fx_landing: str, state_path: str, checkpoint: str) -> int:
     """Each drain of FX loads is deduplicated and upserted into the rate
     state (keyed on date and currency; bounded by calendar x currencies).
-    The new state is written to a fresh version folder and the pointer moved,
-    so a failed write never corrupts the current state."""
+    The new state is a version folder of its own and the newest finished one
+    is current, so a failed write never corrupts the state."""
     def process(df, epoch):
-        prior = I.read_current(spark, state_path) if _exists(spark, f"{state_path}/_current") else None
+        # one version per epoch: a replayed epoch starts again from the version before it
+        version = f"{epoch:012d}"
+        prior = I.read_current(spark, state_path, before=version)
         new = STT.upsert_latest(prior, STT.latest_rate(df), ("as_of_date", "currency"), STT.fx_order())
-        # a fresh version folder per run: a replayed epoch re-reads the
-        # current state and upserts again (latest-wins is idempotent)
-        I.rebuild(new.select("as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at"), state_path)
+        I.rebuild(new.select("as_of_date", "currency", "rate_to_usd", "file_name", "loaded_at"), state_path, version)
     return drain(landing_stream(spark, fx_landing, FX_LANDING_SCHEMA), checkpoint, process)

@@ -57,23 +57,23 @@ def test_masking_roles(spark):
     df = spark.createDataFrame([(1, "ACME", 1_499_999.0, 1_620_000.0, "EUR"), (2, None, 2_500_000.0, None, "XXX")],
                                REPORT_SCHEMA)
     objs = {"deal_report": df, "valid_fact": df}
-    masked = {r.trade_id: r for r in SV.serve(objs, "deal_report", "trade_analytics_analyst").collect()}
+    masked = {r.trade_id: r for r in SV.serve(objs, "deal_report", "analyst").collect()}
     assert masked[1].notional == 1_000_000.0 and masked[1].notional_usd == 2_000_000.0
     assert masked[2].notional == 3_000_000.0  # half away from zero
     assert masked[1].counterparty.startswith("CPTY_") and len(masked[1].counterparty) == 11
     assert masked[2].counterparty is None
-    full = SV.serve(objs, "deal_report", "TRADE_ANALYTICS_COMPLIANCE").collect()
+    full = SV.serve(objs, "deal_report", "COMPLIANCE").collect()
     assert {r.notional for r in full} == {1_499_999.0, 2_500_000.0}
     with pytest.raises(SV.AccessDenied):
-        SV.serve(objs, "valid_fact", "TRADE_ANALYTICS_ANALYST")
+        SV.serve(objs, "valid_fact", "ANALYST")
     with pytest.raises(SV.AccessDenied):
         SV.serve(objs, "deal_report", "SOME_UNKNOWN_ROLE")
 
 
 def test_pseudonym_is_stable_across_views(spark):
     df = spark.createDataFrame([(1, "ACME", 1.0, 1.0, "USD")], REPORT_SCHEMA)
-    a = SV.serve({"deal_status": df}, "deal_status", "TRADE_ANALYTICS_ANALYST").first().counterparty
-    b = SV.serve({"deal_report": df}, "deal_report", "TRADE_ANALYTICS_ANALYST").first().counterparty
+    a = SV.serve({"deal_status": df}, "deal_status", "ANALYST").first().counterparty
+    b = SV.serve({"deal_report": df}, "deal_report", "ANALYST").first().counterparty
     assert a == b
 
 
@@ -200,3 +200,24 @@ def test_running_sums_on_string_keys(spark):
     df = spark.createDataFrame([(v, 1) for v in vals], "v string, n int")
     got = {r["v"]: r["n_le"] for r in RL.running_sums(df, "v", ("n",), buckets=8).collect()}
     assert got == {v: i + 1 for i, v in enumerate(vals)}
+
+
+def test_age_text_has_no_thousands_mark_and_null_days_do_not_count(spark):
+    from dealstream.functions import scalar as S
+    from dealstream.operators import report as R
+
+    now = dt.datetime(2024, 6, 1)
+    df = spark.createDataFrame([(now - dt.timedelta(hours=3648),)], "ts timestamp_ntz")
+    assert df.select(S.age_text("ts", now).alias("t")).first().t == "3648.0 hours ago"
+    days = spark.createDataFrame([(None,), (None,), (dt.date(2024, 1, 2),)], "trade_date date")
+    assert tuple(R.busiest_day(days).first()) == (dt.date(2024, 1, 2), 1, 1)
+
+
+def test_rate_file_with_a_bad_line_is_skipped_whole(spark, tmp_path):
+    from dealstream.sources import ingest as I
+
+    (tmp_path / "good.csv").write_text("d,c,r\n2024-01-01,EUR,1.1\n")
+    (tmp_path / "bad.csv").write_text("d,c,r\n2024-01-01,GBP,1.3\n2024-01-02,GBP,oops\n")
+    raw = I.ingest_rates_csv(spark, f"file://{tmp_path}")
+    good, report = I.split_bad_files(raw, F.col("_corrupt_record").isNotNull())
+    assert [r.currency for r in good.collect()] == ["EUR"] and [r.file_name for r in report.collect()] == ["bad.csv"]
