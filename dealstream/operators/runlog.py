@@ -193,57 +193,36 @@ def has_backlog(landed: DataFrame, processed: DataFrame, key: str = "message_id"
     return pending.agg((F.count(F.lit(1)) > 0).alias("has_backlog"))
 
 
-def load_report(lines: DataFrame, ok_col: str = "parsed_ok", err_col: str = "error") -> DataFrame:
-    """Per file rows, parsed, errors and the first error (by line number),
-    only files not fully loaded."""
-    g = lines.groupBy("file_name").agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(F.col(ok_col)).alias("row_parsed"),
-        F.count_if(~F.col(ok_col)).alias("error_count"),
-        F.min_by(F.col(err_col), F.when(~F.col(ok_col), F.col("line_no"))).alias("first_error_message"),
-        F.max("loaded_at").alias("last_load_time"))
-    return g.filter(F.col("error_count") > 0).withColumn("status", F.lit("LOAD_SKIPPED"))
-
-
-def running_sums(df: DataFrame, order_col: str, cols: Sequence[str], buckets: int = 256) -> DataFrame:
+def running_sums(df: DataFrame, order_col: str, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Inclusive running sums of ``cols`` in ``order_col`` order (distinct
     values), computed without a global window.
 
-    Rows are cut into ``buckets`` order-preserving ranges at approximate
-    percentiles of ``order_col``; each range is summed in its own window
-    partition, and the offset of a range is the running sum of the range
-    totals -- a window over at most ``buckets`` rows (a parameter, not the
-    data size). Percentile cuts only choose the ranges, so the sums are exact.
+    Rows are dealt into ranges of the value itself (one per shuffle partition)
+    and written once with the number of their range; each range is summed in
+    its own window partition, and the offset of a range is the running sum of
+    the range totals -- a window over one row per range.
     """
     from pyspark.sql import Window
 
-    fracs = [i / buckets for i in range(1, buckets)]
-    v = F.col(order_col)
-    if df.schema[order_col].dataType.typeName() == "string":
-        # Strings order by their UTF-8 bytes; the first 7 bytes read as a
-        # number never decrease along that order (ties only share a bucket).
-        head = F.rpad(F.hex(F.substring(F.encode(v, "UTF-8"), 1, 7)), 14, "0")
-        proxy = F.conv(head, 16, 10).cast("bigint")
-    else:
-        proxy = v
-    df = df.withColumn("_proxy", proxy)
-    # the cut points: one scalar subquery (an array of buckets - 1 values)
-    cuts = df.agg(F.percentile_approx("_proxy", fracs, 10000)).scalar()
-    b = (df.select("*", cuts.alias("_cuts"))
-         .withColumn("_bucket", F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_proxy"))), F.lit(0)))
-         .drop("_cuts", "_proxy"))
+    from ..session import unique_dir
+
+    spark, v = df.sparkSession, F.col(order_col)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = unique_dir(spark, "tables", "running_ranges")
+    df.repartitionByRange(n, v).withColumn("_bucket", F.spark_partition_id()).write.parquet(path)
+    b = spark.read.parquet(path)
     local_w = (Window.partitionBy("_bucket").orderBy(v.asc_nulls_first())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = b.select(order_col, "_bucket", *[F.sum(c).over(local_w).alias(f"_l_{c}") for c in cols])
     totals = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    before_w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
+    before_w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(before_w), F.lit(0)).alias(f"_o_{c}")
                                          for c in cols])
-    return local.join(F.broadcast(offsets), "_bucket").select(
+    return local.join(offsets, "_bucket").select(
         order_col, *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"{c}_le") for c in cols])
 
 
-def layout_overlap(df: DataFrame, group: str, key: str, buckets: int = 256) -> DataFrame:
+def layout_overlap(df: DataFrame, group: str, key: str, buckets: int | None = None) -> DataFrame:
     """For every group (file) its key range and how many *other* groups'
     ranges overlap it -- the clustering depth of the layout.
 

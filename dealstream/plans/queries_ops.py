@@ -58,6 +58,18 @@ def q_dq_relationships(spark, sf_dir):
                                 "trader_key")
 
 
+@query("dq_relationships_missing", O.with_star(
+    "SELECT f.trade_id, f.trader FROM valid_fact f WHERE f.trader_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_trader d "
+    "WHERE d.trader_key = f.trader_key AND d.trader_name <> (SELECT min(trader_name) FROM dim_trader))"))
+def q_dq_relationships_missing(spark, sf_dir):
+    """The same check against a dimension that lacks its first trader."""
+    dec = decision_log(spark, sf_dir)
+    dim = ST.build_dim(dec, *ST.DIM_SPECS["trader"])
+    first = dim.agg(F.min("trader_name")).first()[0]
+    return Q.check_relationship(valid(spark, sf_dir, dec), "trader_key", dim.filter(F.col("trader_name") != first),
+                                "trader_key").select("trade_id", "trader")
+
+
 @query("dq_unique_combo", O.with_decisions(
     "SELECT as_of_date, currency, count(*) AS n_records FROM fx_raw GROUP BY as_of_date, currency "
     "HAVING count(*) > 1", O.FX_RAW_CTE))
@@ -255,6 +267,16 @@ def q_deal_history(spark, sf_dir):
     return SCD.deals_history(h, top)
 
 
+@query("deal_lookup", O.with_star(
+    "SELECT trade_id, version, product_type, counterparty, trader, book, currency, notional, price, "
+    "trade_date, maturity_date, valid_from, valid_to FROM scd_history WHERE trade_id = (SELECT max(trade_id) FROM scd_history)",
+    *_scd_sql_ctes()))
+def q_deal_lookup(spark, sf_dir):
+    """Point lookup (P9): the history of one deal given by its id."""
+    h = history(spark, sf_dir)
+    return SCD.deal_history(h, h.agg(F.max("trade_id")).first()[0])
+
+
 # --- keyed state, as-of, diff -------------------------------------------------------------------
 @query("upsert_trades", O.with_star("SELECT * FROM valid_fact"))
 def q_upsert_trades(spark, sf_dir):

@@ -18,7 +18,6 @@ from .queries_core import decision_log, decisions
 BOUNDS = ST.DateBounds(T.DATE_DIM_START, T.DATE_DIM_END)
 
 # Filter values for the report-filter queries (parameters, not data caps).
-FILTER_TRADERS_LIKE = None
 FILTER_CURRENCIES = ("EUR", "GBP", "XXX")
 FILTER_STATUSES = (K.ACTIVE,)
 TRADE_RANGE = (dt.date(1996, 1, 1), dt.date(1997, 12, 31))

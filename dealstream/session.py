@@ -80,11 +80,3 @@ def unique_dir(spark: SparkSession, *parts: str) -> str:
     import uuid
 
     return shared_dir(spark, *parts, uuid.uuid4().hex)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` usable, pointing it at the shared dir."""
-    root = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
