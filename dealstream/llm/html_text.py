@@ -40,21 +40,21 @@ _PARAGRAPH = frozenset("p pre blockquote li td dd".split())
 _SECTION = ("article", "main")
 #: Words in class, id or role that mark boilerplate.
 _BAD = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted banner sidebar menu nav navbar navigation "
-    "breadcrumb breadcrumbs footer masthead comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices "
+    "ad ads adbox adslot adunit adsbygoogle adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted banner sidebar sidenav aside teaser menu submenu mainmenu nav navbar subnav topnav topbar navigation "
+    "breadcrumb breadcrumbs footer masthead comment comments commentlist discussion disqus reply replies respond cookie cookies consent gdpr notice notices "
     "notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "widget toolbar pagination pager skip copyright search contentinfo complementary dialog tooltip outbrain taboola".split())
-_COMMENT = frozenset("comment comments commentlist disqus reply replies respond".split())
+_COMMENT = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 _SPLIT = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "bad", "comment", "hidden", "points", "size", "linked", "holds")
+    __slots__ = ("tag", "parent", "kids", "bad", "comment", "hidden", "points", "size", "linked", "links", "holds")
 
     def __init__(self, tag: str, parent: "_Node | None"):
         self.tag, self.parent, self.kids = tag, parent, []
         self.bad = self.comment = self.hidden = self.holds = False
-        self.points, self.size, self.linked = 0.0, 0, 0
+        self.points, self.size, self.linked, self.links = 0.0, 0, 0, 0
 
 
 def _parse(page: str) -> _Node:
@@ -135,6 +135,7 @@ def _sizes(order: list[_Node]) -> None:
     for x in reversed(order):
         x.size = sum(len(k.strip()) for k in x.kids if type(k) is str) + sum(k.size for k in x.kids if type(k) is not str)
         x.linked = x.size if x.tag == "a" else sum(k.linked for k in x.kids if type(k) is not str)
+        x.links = (x.tag == "a") + sum(k.links for k in x.kids if type(k) is not str)
         x.holds = x.tag in _SECTION or any(k.holds for k in x.kids if type(k) is not str)
 
 
@@ -174,6 +175,7 @@ def main_text(page: str | None) -> str:
         if x_in:
             inside.add(id(x))
         drop = x.hidden or x.tag in _DROP or (x.tag == "header" and not x_in) or x.bad
+        drop = drop or x.tag in ("ul", "ol", "div", "section", "table") and x.links > 2 and x.linked > 0.8 * x.size  # a menu, whatever its name
         if drop and x is not root and x.tag not in _SECTION and not x.holds:
             sure = x.hidden or x.comment or x.tag in ("nav", "footer", "head", "aside", "svg")
             if sure or x.size - x.linked <= 0.5 * all_text:
