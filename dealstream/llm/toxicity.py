@@ -2,8 +2,8 @@
 
 A document is the bag of hashed character n-grams of its words and the words
 themselves. Their embedding vectors are averaged and a two-class softmax reads
-the average; embeddings and softmax are trained together by AdaGrad on the
-driver, on a bounded sample of labelled rows of the training fold (at most about
+the average; embeddings and softmax are trained together by AdaGrad in one
+task, on a bounded sample of labelled rows of the training fold (at most about
 ``toxic_rows`` and ``clean_rows``, picked by a hash of the id). A misspelling
 never seen shares n-gram vectors with its seen form.
 
@@ -21,6 +21,7 @@ scored one by one. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import U64, SpanHash, doc_blocks, string_column, utf8_parts
 
-BUCKETS, DIM, EPOCHS, TOXIC_ROWS, CLEAN_ROWS, GRAMS = 1 << 18, 8, 12, 3000, 6000, (3, 4, 5, 6)
+BUCKETS, DIM, EPOCHS, TOXIC_ROWS, CLEAN_ROWS, GRAMS = 1 << 18, 8, 12, 2000, 4000, (3, 4, 5)
 #: Weight of one trained padding vector in every bag, so that a few odd n-grams cannot decide a very short text.
 PAD = 50
 THRESHOLD = 0.7
@@ -78,7 +79,7 @@ class Vocabulary:
 
 
 def bags(docs: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, toxic, ids, counts: distinct subword ids of each (sampled) document."""
+    """doc_id, toxic, ids, shares: distinct subword ids of each (sampled) document and, last, the padding, with their weights in the average."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,16 +89,24 @@ def bags(docs: DataFrame, buckets: int) -> DataFrame:
                     continue
                 ids, off = subwords(w.tolist(), buckets)
                 u, at = np.unique(ids, return_inverse=True)
-                n = np.bincount(at, weights=np.repeat(times, np.diff(off)))
+                n = np.append(np.bincount(at, weights=np.repeat(times, np.diff(off))), PAD)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(x, 1), batch.column(1).slice(x, 1), pa.array([u.astype(np.int32)], pa.list_(pa.int32())),
-                     pa.array([n.astype(np.float32)], pa.list_(pa.float32()))], names=["doc_id", "toxic", "ids", "counts"])
+                    [batch.column(0).slice(x, 1), batch.column(1).slice(x, 1), pa.array([np.append(u, buckets).astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([(n / n.sum()).astype(np.float32)], pa.list_(pa.float32()))], names=["doc_id", "toxic", "ids", "shares"])
 
-    return docs.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, ids array<int>, counts array<float>")
+    return docs.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, ids array<int>, shares array<float>")
+
+
+class Scorer(NamedTuple):
+    """What scoring needs: the logit each subword adds before averaging (the padding's last), and the calibration."""
+
+    table: np.ndarray
+    slope: float
+    offset: float
 
 
 class Model:
-    """Embedding table and softmax, trained jointly; ``table`` is the logit each subword adds before averaging."""
+    """Embedding table and softmax, trained jointly."""
 
     def __init__(self, buckets: int = BUCKETS, dim: int = DIM, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -106,9 +115,7 @@ class Model:
         self.b = np.zeros(2, np.float32)
         self.slope, self.offset = 0.0, -50.0
 
-    def fit(self, ids: list[np.ndarray], counts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.3) -> None:
-        ids = [np.append(i, len(self.e) - 1) for i in ids]
-        counts = [np.append(c, PAD) / (c.sum() + PAD) for c in counts]
+    def fit(self, ids: list[np.ndarray], shares: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.3) -> None:
         rng = np.random.default_rng(11)
         ge, gw, gb = np.full_like(self.e, 1e-8), np.full_like(self.w, 1e-8), np.full_like(self.b, 1e-8)
         for _ in range(epochs):
@@ -117,7 +124,7 @@ class Model:
                 mine = order[lo:lo + 128]
                 i = np.concatenate([ids[x] for x in mine])
                 size = np.array([len(ids[x]) for x in mine])
-                share = np.concatenate([counts[x] for x in mine]).astype(np.float32)
+                share = np.concatenate([shares[x] for x in mine])
                 start = np.concatenate([[0], np.cumsum(size)[:-1]])
                 mean = np.add.reduceat(self.e[i] * share[:, None], start, axis=0)
                 z = mean @ self.w + self.b
@@ -140,9 +147,9 @@ class Model:
     def table(self) -> np.ndarray:
         return self.e @ (self.w[:, 1] - self.w[:, 0])
 
-    def logits(self, ids: list[np.ndarray], counts: list[np.ndarray]) -> np.ndarray:
+    def logits(self, ids: list[np.ndarray], shares: list[np.ndarray]) -> np.ndarray:
         t = self.table
-        return np.array([((t[i] * c).sum() + PAD * t[-1]) / (c.sum() + PAD) for i, c in zip(ids, counts)])
+        return np.array([t[i] @ s for i, s in zip(ids, shares)])
 
     def calibrate(self, z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         """Put the cut with the fewest (weighted) errors, in the middle of its stretch, at the threshold; scaled by the spread of z."""
@@ -160,7 +167,7 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKETS,
-          toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model:
+          toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Scorer:
     """Fit on labelled rows of ``fold`` (a condition on doc_id), at most about ``toxic_rows`` and ``clean_rows`` of them."""
     of = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max(F.col("toxic").cast("int")).alias("toxic")).filter(fold)
@@ -169,32 +176,45 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKE
     keep = F.lit(False)
     for label, most in ((0, clean_rows), (1, toxic_rows)):
         keep = keep | ((F.col("toxic") == label) & (draw < most / size.get(label, 1)))
-    model = Model(buckets)
+    nothing = Scorer(np.zeros(buckets + 1, np.float32), 0.0, -50.0)
     if not {0, 1} <= set(size):
-        return model
+        return nothing
     picked = of.filter(keep).limit(2 * (toxic_rows + clean_rows))  # the draw keeps about half of that; this bounds the broadcast
     rows = bags(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        F.broadcast(picked), "doc_id"), buckets).toArrow().sort_by("doc_id")
-    y = rows.column("toxic").to_numpy().astype(np.int64)
-    if len(np.unique(y)) < 2:
-        return model
-    ids = [np.asarray(x.values) for x in rows.column("ids")]
-    counts = [np.asarray(x.values) for x in rows.column("counts")]
-    held = np.arange(len(y)) % 5 == 0
-    if len(np.unique(y[held])) < 2 or len(np.unique(y[~held])) < 2:
-        held = np.zeros(len(y), bool)
-    fit = np.flatnonzero(~held)
-    model.fit([ids[x] for x in fit], [counts[x] for x in fit], y[fit])
-    check = np.flatnonzero(held) if held.any() else fit
-    share = np.array([size[0], size[1]]) / np.maximum(np.bincount(y[check], minlength=2), 1)
-    model.calibrate(model.logits([ids[x] for x in check], [counts[x] for x in check]), y[check], share[y[check]])
-    return model
-
-
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+        F.broadcast(picked), "doc_id"), buckets)
+    shares_of = np.array([size[0], size[1]])
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some = [b for b in batches if b.num_rows]
+        if not some:
+            return
+        rows = pa.Table.from_batches(some)
+        order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+        y = rows.column("toxic").to_numpy().astype(np.int64)[order]
+        if len(np.unique(y)) < 2:
+            return
+        ids, shares = ([rows.column(c)[int(x)].values.to_numpy() for x in order] for c in ("ids", "shares"))
+        held = np.arange(len(y)) % 5 == 0
+        if len(np.unique(y[held])) < 2 or len(np.unique(y[~held])) < 2:
+            held = np.zeros(len(y), bool)
+        learn = np.flatnonzero(~held)
+        check = np.flatnonzero(held) if held.any() else learn
+        model = Model(buckets)
+        model.fit([ids[x] for x in learn], [shares[x] for x in learn], y[learn])
+        weight = shares_of / np.maximum(np.bincount(y[check], minlength=2), 1)
+        model.calibrate(model.logits([ids[x] for x in check], [shares[x] for x in check]), y[check], weight[y[check]])
+        yield pa.RecordBatch.from_pydict({"subwords": [model.table.astype(np.float32).tobytes()], "slope": [model.slope], "offset": [model.offset]},
+                                         pa.schema([("subwords", pa.binary()), ("slope", pa.float64()), ("offset", pa.float64())]))
+
+    # the sample is bounded, so one task can hold it; the driver gets the finished table
+    found = rows.repartition(1).mapInArrow(fit, "subwords binary, slope double, offset double").collect()
+    return Scorer(np.frombuffer(bytes(found[0]["subwords"]), np.float32), found[0]["slope"], found[0]["offset"]) if found else nothing
+
+
+def score(docs: DataFrame, model: Scorer, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus score (0 to 1) of every whole text."""
-    small = docs.sparkSession.sparkContext.broadcast((model.table.astype(np.float32), model.slope, model.offset))
-    buckets = len(model.e) - 1
+    small = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    buckets = len(model.table) - 1
     source = docs.select(*keep, F.col("text").cast("string").alias("_text"), F.lit(0.0).alias("score"))
     schema = source.drop("_text").schema
 
