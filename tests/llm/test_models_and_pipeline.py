@@ -172,6 +172,23 @@ def test_added_spans_and_redaction(spark, odd_docs):
     assert pii.train(odd_docs.filter("doc_id = 7"))[0] is None and pii.find(odd_docs.limit(0), model).count() == 0
 
 
+def test_proposals_overlap_beside_other_numbers():
+    for text, kind, want in (("on 2024-01-02 (415) 555-1234", "phone", ["(415) 555-1234"]), ("(415) 555-1234 212.555.9876", "phone", ["(415) 555-1234", "212.555.9876"]),
+                             ("item 3 4111.1111.1111.1111", "card", ["4111.1111.1111.1111"]), ("at 7 1.2.3.4.5", "ip", ["1.2.3.4", "2.3.4.5"]),
+                             ("me at noon dot jane at example.com", "email", ["jane at example.com"]), ("12 0014155552671", "phone", ["0014155552671"])):
+        offered = {text[a:z] for k, a, z in pii.proposals(text) if k == kind}
+        assert set(want) <= offered, text
+
+    class Exact:  # full marks for the two numbers, few for spans across them
+        def score(self, x):
+            return np.where((x[:, 1] == 14) | (x[:, 1] == 12) & (x[:, 6] == 3), 0.9, 0.1)
+
+    text = "(415) 555-1234 212.555.9876 +1 415 555 2671"
+    base = pii.base_spans(text)
+    assert len(base) == 1  # spans that meet it are left out, those beside it are not
+    assert sorted(text[a:z] for _, a, z in pii.added_spans(text, base, Exact(), {"phone": 0.5})) == ["(415) 555-1234", "212.555.9876"]
+
+
 def test_op5_digest(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     for r in QUERIES["op5_pii"](spark, SF).collect():
