@@ -189,6 +189,17 @@ def test_proposals_overlap_beside_other_numbers():
     assert sorted(text[a:z] for _, a, z in pii.added_spans(text, base, Exact(), {"phone": 0.5})) == ["(415) 555-1234", "212.555.9876"]
 
 
+def test_every_text_reaches_the_generators(spark):
+    texts = ["write to JOHN AT EXAMPLE DOT COM", "john at example\ndot com", "john at example.com", "john\tat\texample\u00a0dot com", "nothing", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with_number = docs.withColumn("text", F.concat("text", F.lit(" and 7")))
+    every = pii.BoostedTrees(), {k: 0.5 for k in pii.KINDS}  # without trees all candidates score 0.5
+    for df in (docs, with_number):
+        found = {r["doc_id"]: r["added"] for r in pii.find(df, every).collect()}
+        assert [[(s["kind"], texts[i][s["start"]:s["end"]]) for s in found[i]] for i in range(6)] == [
+            [("email", "JOHN AT EXAMPLE DOT COM")], [("email", texts[1])], [("email", texts[2])], [("email", texts[3])], [], []]
+
+
 def test_op5_digest(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     for r in QUERIES["op5_pii"](spark, SF).collect():
