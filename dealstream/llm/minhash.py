@@ -268,7 +268,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     same_id = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("a", "b")
     repeated = member.join(same_id.select(F.col("a").alias("low"), "b"), member.rep == F.col("b")).select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     similar = f"100 * least(x.n, y.n) >= {int(percent)} * greatest(x.n, y.n)"  # sets of unlike size cannot be linked
-    # a few hubs per bucket, picked by hash so that one cluster has few; a bucket of at most HUBS + 1 classes is met in full
+    # a few hubs per bucket, picked by hash so that one cluster has few; picks may coincide, so only a bucket of two classes is sure to be met in full
     pick = [F.min_by(F.struct("node", "n"), F.xxhash64("node", F.lit(h))) for h in range(HUBS)]
     hubs = bucket.groupBy("key").agg(F.array_distinct(F.array(*pick)).alias("hubs")).select("key", F.explode("hubs").alias("x")).select("key", "x.*")
     x, y = hubs.alias("x"), bucket.alias("y")
@@ -279,7 +279,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     at = bucket.join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = at.groupBy("key", "component").agg(F.count("*").alias("c")).groupBy("key").agg(
         F.count("*").alias("parts"), F.sum("c").alias("c"), F.max(F.struct("c", "component")).alias("main")).filter(
-        (F.col("parts") > 1) & (F.col("c") > HUBS + 1)).select(
+        (F.col("parts") > 1) & (F.col("c") > 2)).select(
         "key", F.col("main.component").alias("main"), F.ceil((F.col("c") - F.col("main.c")) / OUTSIDERS).cast("int").alias("chunks"))
     more = written(_outsiders(texts, at.join(split, "key"), shingle_words, percent), "links2")
     if not more.isEmpty():

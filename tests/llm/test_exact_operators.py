@@ -167,6 +167,32 @@ def test_near_duplicates_equal_brute_force(spark, k):
     assert got == brute_components(docs, k)
 
 
+def test_linked_pair_in_a_small_bucket_without_its_hubs(spark):
+    from pyspark.sql import functions as F
+
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(words), " ".join(words[:-1] + ["other"])]
+
+    def key(text):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        u, bounds = minhash.shingle_hashes(raw, np.array([0, len(raw)]), 1)
+        return int(minhash.band_keys(u, bounds, 1, 2)[0, 0])
+
+    assert key(texts[0]) == key(texts[1])  # the smallest and the largest shingle are common to the pair
+    ends = next((x, y) for i, x in enumerate(words) for y in words[:i] if key(f"{x} {y}") == key(texts[0]))
+    third = next(w for w in words if w not in ends)
+    texts += [" ".join(ends), " ".join([*ends, third])]  # two short texts of the same bucket, linked to nothing
+    assert len(set(map(key, texts))) == 1
+    rows = [tuple(r) for r in spark.range(1, 500).select("id", *[F.xxhash64("id", F.lit(h)) for h in range(minhash.HUBS)]).collect()]
+    hub = min(rows, key=lambda r: max(r[1:]))
+    a, b, d = [r[0] for r in rows if all(x > y for x, y in zip(r[1:], hub[1:]))][:3]  # every pick falls on the hub
+    docs = list(zip((a, b, hub[0], d), texts))
+    for some in (docs, docs[:3]):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(
+            spark.createDataFrame(some, "doc_id long, text string"), 1, bands=1, rows=2).collect()}
+        assert got == brute_components(some, 1) and got[a][1] == got[b][1]
+
+
 def test_near_duplicates_on_odd_rows(spark, odd_docs):
     rows = {(r["doc_id"], r["component_id"], r["kept"], r["n_shingles"]) for r in minhash.near_duplicates(odd_docs, 2).collect()}
     assert (None, None, True, 5) in rows and (1, 1, True, 5) in rows and (2, 2, True, 0) in rows
