@@ -5,7 +5,8 @@ elements are set aside; every paragraph then gives points for its length and
 its commas to its ancestors (all of them to the parent, half to the next, a
 third to the one above), each container's sum is discounted by its link density,
 and the best container is kept with those siblings that score close to it or
-read like text. Text blocks come out in page order.
+read like text; an article or main around it takes its place, and an article
+in main is kept with such siblings on every level up to main. Text blocks come out in page order.
 
 Defined results: null or empty html gives empty text; a page without
 paragraphs falls back to loose text in its body; repeated rows are repeated;
@@ -208,25 +209,45 @@ def main_text(page: str | None) -> str:
     if up is not root:
         best = up
     score = best.points * (1 - (best.linked / best.size if best.size else 0))
+
+    def reads(k: _Node | str) -> bool:
+        """Whether a sibling of the best container scores close to it or reads like text."""
+        if type(k) is str:
+            return len(k.strip()) >= 80
+        if k.bad and k.holds:  # comments or teasers, not set aside only because they hold articles
+            return False
+        density = k.linked / k.size if k.size else 1
+        heading = k.tag in ("h1", "h2", "h3") and density < 0.5
+        prose = k.tag in ("p", *_SECTION) and k.size > 80 and density < 0.25 or k.tag == "p" and 0 < k.size <= 80 and not k.linked and re.search(
+            r"[.!?](\s|$)", _own_text(k))
+        points = k.points - 25 * (k.tag in _SECTION)  # an article is not body text by its name alone
+        return heading or bool(prose) or points * (1 - density) >= max(10, 0.2 * score) and density < 0.5
+
+    main = best
+    while main is not root and main.tag != "main":
+        main = main.parent
+    top = best  # in main, siblings on every level up to it; else those beside the best container
+    while top is not main and top.parent is not None and (main is not root or top is best):
+        top = top.parent
+    path = set()
+    x = best
+    while x is not None:
+        path.add(id(x))
+        x = x.parent
     parts: list[list[str]] = [[]]
-    if best.parent is None or best.tag in _SECTION:
-        _blocks(best, parts)
-    else:
-        for k in best.parent.kids:
-            if k is best:
-                _blocks(k, parts)
-            elif type(k) is str:
-                if len(k.strip()) >= 80:
-                    parts.append([k])
-                    parts.append([])
-            else:
-                density = k.linked / k.size if k.size else 1
-                heading = k.tag in ("h1", "h2", "h3") and density < 0.5
-                prose = k.tag == "p" and (k.size > 80 and density < 0.25 or 0 < k.size <= 80 and not k.linked and re.search(r"[.!?](\s|$)", _own_text(k)))
-                if heading or prose or k.points * (1 - density) >= max(10, 0.2 * score) and density < 0.5:
-                    parts.append([])
-                    _blocks(k, parts)
-                    parts.append([])
+    stack: list = [top]
+    while stack:
+        x = stack.pop()
+        if x is best:
+            parts.append([])
+            _blocks(x, parts)
+            parts.append([])
+        elif type(x) is not str and id(x) in path:
+            stack.extend(reversed(x.kids))
+        elif reads(x):
+            parts.append([])
+            _blocks(x, parts)
+            parts.append([])
     return " ".join(t for t in (" ".join("".join(p).split()) for p in parts) if t)
 
 

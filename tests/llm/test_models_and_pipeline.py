@@ -237,6 +237,17 @@ def test_main_text_of_pages(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_main_text_keeps_parts_beside_the_article():
+    body = f"<p>{ARTICLE} {ARTICLE}</p><p>{ARTICLE}</p>"
+    plain = f"{ARTICLE} {ARTICLE} {ARTICLE}"
+    teasers = "<div class=related><article><h3><a href=1>Other story</a></h3><p>Short.</p></article></div><article><a href=2>Next story</a></article>"
+    for page in (f"<main><article>{body}</article><article>{body}</article>{teasers}</main>", f"<main><div><article>{body}</article></div><section>{body * 3}</section></main>",
+                 f"<body><article>{body}</article><article>{body}</article>", f"<main><article>{body}</article><p>{ARTICLE} {ARTICLE}</p><p>{ARTICLE}</p></main>"):
+        want = plain + f" {plain}" * (3 if "section" in page else 1)
+        assert html_text.main_text(page) == want, page
+    assert html_text.main_text(f"<main><h1>Head</h1><article>{body}</article><section id=comments><article><p>{ARTICLE}</p></article></section></main>") == f"Head {plain}"
+
+
 def test_op10_keeps_the_articles(spark):
     import html
 
