@@ -176,7 +176,8 @@ def main_text(page: str | None) -> str:
         if x_in:
             inside.add(id(x))
         drop = x.hidden or x.tag in _DROP or (x.tag == "header" and not x_in) or x.bad
-        drop = drop or x.tag in ("ul", "ol", "div", "section", "table") and x.links > 2 and x.linked > 0.8 * x.size  # a menu, whatever its name
+        # a menu, whatever its name; inside an article or main it may be a list of sources
+        drop = drop or x.tag in ("ul", "ol", "div", "section", "table") and not x_in and x.links > 2 and x.linked > 0.8 * x.size
         if drop and x is not root and x.tag not in _SECTION and not x.holds:
             sure = x.hidden or x.comment or x.tag in ("nav", "footer", "head", "aside", "svg")
             if sure or x.size - x.linked <= 0.5 * all_text:

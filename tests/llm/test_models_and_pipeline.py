@@ -248,6 +248,13 @@ def test_main_text_keeps_parts_beside_the_article():
     assert html_text.main_text(f"<main><h1>Head</h1><article>{body}</article><section id=comments><article><p>{ARTICLE}</p></article></section></main>") == f"Head {plain}"
 
 
+def test_main_text_keeps_link_lists_of_the_article():
+    links = "<ul{}><li><a href=1>Source one</a><li><a href=2>Source two</a><li><a href=3>Source three</a></ul>"
+    listed = "Source one Source two Source three"
+    for name in ("article", "main"):
+        assert html_text.main_text(f"{links.format('')}<{name}><p>{ARTICLE}</p>{links.format('')}{links.format(' class=menu')}</{name}>") == f"{ARTICLE} {listed}"
+
+
 def test_op10_keeps_the_articles(spark):
     import html
 
