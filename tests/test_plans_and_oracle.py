@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 import __spark_entry__ as E
 from dealstream.plans import queries_core as QC

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 from dealstream.operators import decide as D
 from dealstream.plans.queries_core import deliveries
