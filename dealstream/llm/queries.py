@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, html_text, langid, minhash, mixing, pii, suffix_dedup, toxicity, warc
+from . import ann, decontam, html_text, langid, minhash, mixing, packing, pii, suffix_dedup, toxicity, turns, warc, whitening
 from .common import crc_mod, table
 
 QUERIES: dict = {}
@@ -159,3 +159,88 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_main_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated or given to the user, by a checksum of conv_id and turn."""
+    def known(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    fate = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20
+    text = F.when(F.col("_fate") == 1, "").when(F.col("_fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), fate.alias("_fate")).filter("_fate <> 0").select(
+        "conv_id", "turn", F.when(F.col("_fate") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.explode(F.when(F.col("_fate") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy")).drop("_copy")
+
+
+def _repair_sql() -> str:
+    """Costs and audits of every row from each of the four states, from the last row of a conversation to its first."""
+    step = {0: 2, 1: 2, 2: 3, 3: 2}  # the state after a user or assistant row
+    keep = {0: {"u": 2, "s": 1}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+    def edit(mark: str, cost: str, to: int, line: str | None) -> str:
+        lines = f"list_prepend({line}, p{to}.t)" if line else f"p{to}.t"
+        return f"{{'c': p{to}.c + {cost}, 'a': '{mark}' || p{to}.a, 't': {lines}}}"
+
+    def acts(s: int) -> str:
+        role = "user" if step[s] == 2 else "assistant"
+        found = [edit("D", "3", s, None), f"CASE WHEN stays THEN {edit('R', '2 + cut', step[s], repr(role + ':') + ' || text')} END"]
+        found += [f"CASE WHEN stays AND role[1] = '{c}' THEN {edit('K', 'cut', to, chr(39) + chr(39) + ' || role || ' + repr(':') + ' || text')} END" for c, to in keep[s].items()]
+        return f"list_min([{', '.join(found)}])"
+
+    def put(s: int) -> str:
+        role = "user" if step[s] == 2 else "assistant"
+        first = f"{{'c': b{step[s]}.c + 2, 'a': 'I' || b{step[s]}.a, 't': list_prepend('{role}:', b{step[s]}.t)}}"
+        s2 = step[step[s]]
+        role2 = "user" if step[step[s]] == 2 else "assistant"
+        second = f"{{'c': b{s2}.c + 4, 'a': 'II' || b{s2}.a, 't': list_prepend('{role}:', list_prepend('{role2}:', b{s2}.t))}}"
+        return f"list_min([b{s}, {first}, {second}])"
+
+    ends = {0: (0, "", []), 1: (4, "II", ["user:", "assistant:"]), 2: (2, "I", ["assistant:"]), 3: (0, "", [])}
+    base = ", ".join(f"{{'c': {c}::BIGINT, 'a': '{a}', 't': {t}::VARCHAR[]}} AS p{s}" for s, (c, a, t) in ends.items())
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT k.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen(key)), lambda j: ord(key[j + 1])::BIGINT)),
+                                  lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 20 AS f FROM k, tab),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM h, range(2) AS x(copy) WHERE f <> 0 AND (copy = 0 OR f = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, NOT regexp_matches(text, '[^ 	-]') AS blank FROM d),
+q AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
+e AS (SELECT *, NOT blank AND NOT seen AS stays, CASE WHEN NOT blank AND NOT seen AND NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 1 ELSE 0 END AS cut FROM q),
+s AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (seen AND NOT blank) AS duplicate,
+             sum(cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM e GROUP BY conv_id),
+r AS (SELECT conv_id, n + 1 AS i, {base} FROM s
+      UNION ALL
+      SELECT conv_id, i, {", ".join(f"{put(s)} AS p{s}" for s in range(4))}
+      FROM (SELECT r.conv_id, e.i, {", ".join(f"{acts(s)} AS b{s}" for s in range(4))} FROM r JOIN e ON r.conv_id IS NOT DISTINCT FROM e.conv_id AND e.i = r.i - 1)),
+v AS (SELECT conv_id, p0 FROM r WHERE i = 1),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(p0.c, 0) AS BIGINT) AS cost,
+       coalesce(p0.a, '') AS audit, sha256(coalesce(array_to_string(p0.t, chr(10)), '')) AS repaired_sha256
+FROM c LEFT JOIN s ON c.conv_id IS NOT DISTINCT FROM s.conv_id LEFT JOIN v ON c.conv_id IS NOT DISTINCT FROM v.conv_id
+"""
+
+
+@query("op11_conversation_repair", _repair_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return turns.audit(damaged(rows), rows)
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``deviation`` is null where it exceeds a long."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def tokenizer(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op13_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
