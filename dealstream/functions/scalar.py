@@ -29,10 +29,16 @@ def lit_date(d) -> Column:
 
 
 def lit_ts(t) -> Column:
-    """TIMESTAMP_NTZ literal (inputs carry NTZ timestamps)."""
+    """TIMESTAMP_NTZ literal (inputs carry NTZ timestamps), the same in every session zone."""
     if isinstance(t, Column):
         return t
-    return F.lit(t).cast("timestamp_ntz")
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def instant(ntz) -> Column:
+    """The TIMESTAMP of a TIMESTAMP_NTZ that holds UTC wall-clock time, whatever the session's zone."""
+    c = _c(ntz)
+    return F.make_timestamp_ltz(F.year(c), F.month(c), F.day(c), F.hour(c), F.minute(c), F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
 
 
 # --- F6 -----------------------------------------------------------------------

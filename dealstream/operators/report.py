@@ -36,8 +36,9 @@ def report_filter(df: DataFrame, traders: Sequence[str] | None = None, books=Non
                   maturity_range=None) -> DataFrame:
     """AND of optional IN-lists (an empty or missing list = no filter) and two
     inclusive date ranges, each applied only when both ends are set.
-    Filters are plain predicates, so they reach the Parquet scan through the
-    report's projections."""
+    Filters are plain predicates: on the stored fact they pass the report's
+    projections and reach the Parquet scan, whose files are sorted by maturity
+    date; on a report derived from the replay they sit above its joins."""
     cond = F.lit(True)
     for col, values in (("trader", traders), ("book", books), ("counterparty", counterparties),
                         ("product_type", products), ("currency", currencies), ("trade_status", statuses)):

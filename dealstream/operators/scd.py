@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -93,6 +93,61 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, now: Column) -> Da
             .unionByName(kept_open.select(*HISTORY_COLUMNS)).unionByName(inserts.select(*HISTORY_COLUMNS)))
 
 
+class HistoryLog:
+    """C6 as a log that is only appended to, merged when it is read.
+
+    A run compares the current book with the open rows in one join and appends
+    the records of that run: the new open row of every new or changed trade, and
+    for a changed one its old row again with ``valid_to`` set. No record is ever
+    rewritten; of records with one ``scd_id`` the newest run's counts. The open
+    rows are a keyed table beside the log, whose merge rewrites the buckets of
+    the changed trades only. Both carry the run's number, so a run that is
+    repeated after a failure writes the same folders again."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
+        from ..sources.keyed import KeyedTable
+
+        self.spark, self.log = spark, f"{path.rstrip('/')}/log"
+        self.open = KeyedTable(spark, f"{path.rstrip('/')}/open", ("trade_id",), (F.col("valid_from").desc(),), buckets)
+
+    def run(self, current: DataFrame, now: Column, number: int) -> None:
+        """Snapshot run ``number`` (rising): ``current`` has one row per trade."""
+        from ..sources import ingest as I
+
+        cur = current.select(*SNAPSHOT_COLUMNS)
+        stamp = now_type(cur, now)
+        fresh = F.struct(*[F.col(f"c.{c}").alias(c) for c in SNAPSHOT_COLUMNS], now.alias("valid_from"), F.lit(None).cast(stamp).alias("valid_to"),
+                         _scd_id(F.col("c.trade_id"), now).alias("scd_id"), now.alias("updated_at"))
+        before = self.open.current(before=number)
+        if before is None:
+            changes = cur.alias("c").select(F.array(fresh).alias("r"))
+        else:
+            o = self.open.read(before)
+            j = cur.alias("c").join(o.alias("o"), F.col("c.trade_id") == F.col("o.trade_id"), "left")
+            same = F.col("o.trade_id").isNotNull() & _check_struct("o.").eqNullSafe(_check_struct("c."))
+            closed = F.struct(*[now.alias(c) if c == "valid_to" else F.col(f"o.{c}").alias(c) for c in HISTORY_COLUMNS])
+            changes = j.filter(~same).select(F.when(F.col("o.trade_id").isNull(), F.array(fresh)).otherwise(F.array(closed, fresh)).alias("r"))
+        I.append(changes.select(F.inline("r")).select(*HISTORY_COLUMNS, F.lit(number).alias("run")), self.log, number)
+        mine = I.read_appended(self.spark, self.log, since=number, before=number + 1)
+        self.open.merge(mine.filter(F.col("valid_to").isNull()).select(*HISTORY_COLUMNS), number=number)
+
+    def read(self) -> DataFrame:
+        """The history: the newest record of every row."""
+        from ..sources import ingest as I
+
+        rows = I.read_appended(self.spark, self.log)
+        newest = F.max_by(F.struct(*[c for c in HISTORY_COLUMNS if c != "scd_id"]), "run").alias("r")
+        return rows.groupBy("scd_id").agg(newest).select("scd_id", "r.*").select(*HISTORY_COLUMNS)
+
+    def deal(self, trade_id) -> DataFrame:
+        """One deal's history; the log's row groups of other deals are skipped where their statistics allow."""
+        from ..sources import ingest as I
+
+        rows = I.read_appended(self.spark, self.log).filter(F.col("trade_id") == trade_id)
+        newest = Window.partitionBy("scd_id").orderBy(F.col("run").desc())
+        return deal_history(rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn"), trade_id)
+
+
 def now_type(df: DataFrame, now: Column) -> str:
     return df.select(now.alias("_n")).schema["_n"].dataType.simpleString()
 

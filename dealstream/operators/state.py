@@ -81,7 +81,7 @@ def materialize(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
     """Write ``df`` to ``path`` (a shared folder) and return the written table,
     cutting the lineage."""
     df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # --- FX state (W2, C11) ---------------------------------------------------------------

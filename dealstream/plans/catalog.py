@@ -27,4 +27,4 @@ def query(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from . import queries_core, queries_io, queries_ops, queries_runlog, queries_star  # noqa: F401
+    from . import queries_core, queries_gold, queries_io, queries_ops, queries_runlog, queries_star  # noqa: F401

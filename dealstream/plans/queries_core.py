@@ -26,15 +26,11 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decision_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The decision log written once to the shared checkpoint folder and read
-    back, for queries that consume it several times (the log is a table in
-    its own right; this also cuts the lineage, so a lost executor re-reads
-    files instead of replaying the whole derivation)."""
-    from ..session import unique_dir
+    """The stored decision log (a table in its own right; a lost executor
+    re-reads files instead of replaying the whole derivation)."""
+    from .store import log
 
-    path = unique_dir(spark, "tables", "decision_log")
-    decisions(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
+    return log(spark, sf_dir)
 
 
 @query("evaluate_replay", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions"))
@@ -78,10 +74,9 @@ def _prior_and_batch(spark, sf_dir):
 
 
 @query("existing_version_join", O.with_decisions(
-    f"SELECT s.message_id, s.trade_id, s.version, k.existing_version "
-    f"FROM staged s LEFT JOIN (SELECT trade_id, max(version) AS existing_version FROM decisions "
-    f"WHERE decision = 'ACCEPTED' AND batch_id < {EVAL_BATCH} GROUP BY trade_id) k "
-    f"ON s.trade_id = k.trade_id WHERE s.batch_id = {EVAL_BATCH}"))
+    f"SELECT message_id, trade_id, version, known AS existing_version FROM (SELECT message_id, trade_id, version, batch_id, "
+    f"max(CASE WHEN decision = 'ACCEPTED' AND batch_id < {EVAL_BATCH} THEN version END) OVER (PARTITION BY trade_id) AS known "
+    f"FROM decisions) WHERE batch_id = {EVAL_BATCH}"))
 def q_existing_version_join(spark, sf_dir):
     prior, batch = _prior_and_batch(spark, sf_dir)
     msgs = D.dedup_first(batch)
@@ -105,17 +100,17 @@ def q_evaluate_batch(spark, sf_dir):
 
     state_path = unique_dir(spark, "tables", "decision_state")
     batch_ids = [r[0] for r in feed.select("batch_id").distinct().orderBy("batch_id").collect()]  # run ids
-    prior = None
+    gate, ids = J.version_gate(spark, state_path), J.decided_ids(spark, state_path)
     for b in batch_ids:
-        # the version gate: compacted state + per-run deltas of earlier runs
-        # (not re-aggregated from the whole log, not rewritten every run)
-        state = J.state_before(spark, state_path, b)
-        out = D.evaluate_batch(feed.filter(F.col("batch_id") == b), prior, T.AS_OF, state=state)
+        # version gate and decided ids: runs in levels, of which a run reads the
+        # buckets it needs (the log is neither aggregated nor scanned)
+        batch = feed.filter(F.col("batch_id") == b)
+        out = D.evaluate_batch(batch, ids.lookup(b, batch.select("message_id")), T.AS_OF, state=gate.lookup(b, batch.select("trade_id")))
         I.append(out.select(*D.DECISION_COLUMNS), log_path, b)
-        prior = spark.read.parquet(log_path)
-        J.record_state(spark, state_path, b, prior.filter(F.col("batch_id") == b))
-    return prior.select(*[F.col(c).cast("bigint").alias(c) if c == "batch_id" else F.col(c)
-                          for c in D.DECISION_COLUMNS])
+        done = I.read_appended(spark, log_path, since=b, before=b + 1)
+        gate.add(D.known_state(done), b)
+        ids.add(done.select("message_id"), b)
+    return I.read_appended(spark, log_path)
 
 
 @query("accepted_messages", O.with_decisions(

@@ -270,19 +270,34 @@ def q_stream_late_file(spark, sf_dir):
 BAD_DEAL_FILE = "deals_b1.jsonl"
 
 
-@query("stream_skip_bad_files", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions").replace(
-    "SELECT * FROM deliveries\n", f"SELECT * FROM deliveries WHERE file_name <> '{BAD_DEAL_FILE}'\n"))
-def q_stream_skip_bad_files(spark, sf_dir):
-    """A landed file with malformed lines is skipped whole and put aside; the stream goes on with the others."""
+_SKIP_SQL = O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions").replace(
+    "SELECT * FROM deliveries\n", f"SELECT * FROM deliveries WHERE file_name <> '{BAD_DEAL_FILE}'\n")
+
+
+def _bad_file(spark, sf_dir, max_files=None):
     landing, out, ckpt, aside = (unique_dir(spark, *x) for x in (
         ("landing", "bad_deals"), ("tables", "bad_deals"), ("streams", "bad_deals"), ("tables", "quarantine")))
-    dl = deliveries(spark, sf_dir)
+    feed = unique_dir(spark, "tables", "deliveries")
+    deliveries(spark, sf_dir).write.parquet(feed)
+    dl = spark.read.parquet(feed)
     J.land_messages(dl.filter((F.col("file_name") != BAD_DEAL_FILE) | (F.col("trade_id") % 3 > 0)), landing)
     J.land_messages(dl.filter((F.col("file_name") == BAD_DEAL_FILE) & (F.col("trade_id") % 3 == 0)), landing, cut=2)
-    J.stream_decisions(spark, landing, out, ckpt, T.AS_OF, quarantine=aside)
+    J.stream_decisions(spark, landing, out, ckpt, T.AS_OF, quarantine=aside, max_files=max_files)
     return _decided(spark, out)
 
 
+@query("stream_skip_bad_files", _SKIP_SQL)
+def q_stream_skip_bad_files(spark, sf_dir):
+    """A landed file with malformed lines is skipped whole and put aside; the stream goes on with the others."""
+    return _bad_file(spark, sf_dir)
+
+
+@query("stream_skip_bad_parts", _SKIP_SQL)
+def q_stream_skip_bad_parts(spark, sf_dir):
+    """The same file in parts that reach the stream one a micro-batch, the bad ones last: rows already staged are withdrawn."""
+    return _bad_file(spark, sf_dir, max_files=1)
+
+
 @query("stream_decisions", O.with_decisions(f"SELECT {O.DECISION_COLS} FROM decisions"))
 def q_stream_decisions(spark, sf_dir):
     return _stream_decisions(spark, sf_dir, reupload=False)
@@ -331,11 +346,12 @@ def _streamed_hours(spark, sf_dir, keys=(), condition=None):
     lg = T.run_log(spark, sf_dir).select("run_id", "object_name", "state", "scheduled_time")
     split = F.lit(EVENT_SPLIT).cast("timestamp_ntz")
     schema = "run_id bigint, object_name string, state string, scheduled_time timestamp_ntz, part int"
+    # a seventh of the early rows comes with the second drain, when their hours are closed
     early = (F.col("scheduled_time") < split) & (F.col("run_id") % 7 != 0)
     for n, part in ((0, lg.filter(early)), (1, lg.filter(~early))):
         part.withColumn("part", F.lit(n)).write.mode("append").partitionBy("part").parquet(landing)
         J.stream_hourly(spark, landing, schema, "scheduled_time", out, ckpt, keys, condition)
-    return J.read_hourly(spark, out, keys)
+    return J.read_hourly(spark, out, ckpt, keys)
 
 
 @query("load_once", O.with_log(

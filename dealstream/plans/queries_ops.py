@@ -14,6 +14,7 @@ from ..operators import scd as SCD
 from ..operators import serve as SV
 from ..operators import star as ST
 from ..operators import state as STT
+from ..session import unique_dir
 from ..sources import tables as T
 from . import oracle as O
 from .catalog import query
@@ -54,7 +55,7 @@ def q_dq_accepted_values(spark, sf_dir):
     "AND NOT EXISTS (SELECT 1 FROM dim_trader d WHERE d.trader_key = f.trader_key)"))
 def q_dq_relationships(spark, sf_dir):
     dec = decision_log(spark, sf_dir)
-    return Q.check_relationship(valid(spark, sf_dir, dec), "trader_key", ST.build_dim(dec, *ST.DIM_SPECS["trader"]),
+    return Q.check_relationship(valid(spark, sf_dir), "trader_key", ST.build_dim(dec, *ST.DIM_SPECS["trader"]),
                                 "trader_key")
 
 
@@ -66,7 +67,7 @@ def q_dq_relationships_missing(spark, sf_dir):
     dec = decision_log(spark, sf_dir)
     dim = ST.build_dim(dec, *ST.DIM_SPECS["trader"])
     first = dim.agg(F.min("trader_name")).first()[0]
-    return Q.check_relationship(valid(spark, sf_dir, dec), "trader_key", dim.filter(F.col("trader_name") != first),
+    return Q.check_relationship(valid(spark, sf_dir), "trader_key", dim.filter(F.col("trader_name") != first),
                                 "trader_key").select("trade_id", "trader")
 
 
@@ -86,8 +87,7 @@ _STALE = "'STALE_VERSION_LOWER_THAN_EXISTING'"
     f"FROM valid_fact v JOIN rejected_fact r ON v.trade_id = r.trade_id "
     f"WHERE r.reject_reason = {_STALE} AND r.version >= v.version"))
 def q_invariant_stale_reject(spark, sf_dir):
-    dec = decision_log(spark, sf_dir)
-    return Q.stale_reject_violations(valid(spark, sf_dir, dec), rejected(spark, sf_dir, dec), ">=")
+    return Q.stale_reject_violations(valid(spark, sf_dir), rejected(spark, sf_dir), ">=")
 
 
 @query("theta_join_versions", O.with_star(
@@ -95,8 +95,7 @@ def q_invariant_stale_reject(spark, sf_dir):
     f"FROM valid_fact v JOIN rejected_fact r ON v.trade_id = r.trade_id "
     f"WHERE r.reject_reason = {_STALE} AND r.version < v.version"))
 def q_theta_join_versions(spark, sf_dir):
-    dec = decision_log(spark, sf_dir)
-    return Q.stale_reject_violations(valid(spark, sf_dir, dec), rejected(spark, sf_dir, dec), "<")
+    return Q.stale_reject_violations(valid(spark, sf_dir), rejected(spark, sf_dir), "<")
 
 
 def suite_spec():
@@ -158,19 +157,14 @@ def q_dq_report(spark, sf_dir):
     tables["dim_date"] = ST.dim_date(spark, BOUNDS.start, BOUNDS.end)
     # staging = one row per first-arrived message: exactly the decision log's message columns
     tables["stg"] = dec.withColumnRenamed("source_loaded_at", "loaded_at")
-    from ..session import unique_dir
-
-    # Tables several checks read are written once, as the build writes them:
-    # the current book (a top-1 window over the log) and the FX state, so no
-    # union branch of the suite recomputes them.
+    # The FX state, which several checks read, is written once; the facts are stored tables.
     tables["fx_rates"] = STT.materialize(STT.latest_rate(T.fx_rates_raw(spark, sf_dir)),
                                          unique_dir(spark, "tables", "fx_rates"))
     tables["product_reference"] = ST.product_reference(spark)
-    vf = STT.materialize(valid(spark, sf_dir, dec), unique_dir(spark, "tables", "valid_fact"))
-    tables["valid_fact"] = vf
-    tables["rejected_fact"] = rejected(spark, sf_dir, dec)
-    tables["deal_status"] = ST.build_status(vf, T.REPORT_AS_OF)
-    tables["deal_report"] = ST.build_report(tables["deal_status"], T.REPORT_AS_OF, BOUNDS)
+    tables["valid_fact"] = valid(spark, sf_dir)
+    tables["rejected_fact"] = rejected(spark, sf_dir)
+    tables["deal_status"] = status(spark, sf_dir)
+    tables["deal_report"] = report(spark, sf_dir)
     return Q.run_suite(suite_spec(), tables)
 
 
@@ -237,13 +231,12 @@ def q_scd2_history(spark, sf_dir):
 
 @query("scd2_snapshot", O.with_star("SELECT * FROM scd_history", *_scd_sql_ctes()))
 def q_scd2_snapshot(spark, sf_dir):
-    """Two snapshot runs applied one after the other (C6); equals the one-pass history."""
+    """Two snapshot runs appended to the change log (C6), merged when read; equals the one-pass history."""
     dec = decision_log(spark, sf_dir)
-    hist = None
+    hist = SCD.HistoryLog(spark, unique_dir(spark, "tables", "scd_log"))
     for b, t in SNAPSHOTS:
-        cur = ST.build_valid_fact(STT.state_as_of(dec, batch_id=b), BOUNDS)
-        hist = SCD.scd2_apply(hist, cur, S.lit_ts(t))
-    return hist
+        hist.run(ST.build_valid_fact(STT.state_as_of(dec, batch_id=b), BOUNDS), S.lit_ts(t), b)
+    return hist.read()
 
 
 @query("amendment_counts", O.with_star(
@@ -329,7 +322,7 @@ def q_state_as_of(spark, sf_dir):
 def q_state_diff(spark, sf_dir):
     dec = decision_log(spark, sf_dir)
     before = ST.build_valid_fact(STT.state_as_of(dec, batch_id=AS_OF_BATCH), BOUNDS)
-    return STT.state_diff(valid(spark, sf_dir, dec), before, ("trade_id", "version"))
+    return STT.state_diff(valid(spark, sf_dir), before, ("trade_id", "version"))
 
 
 # --- scratch extract (S13 / A4) --------------------------------------------------------------------

@@ -14,8 +14,7 @@ from ..sources import tables as T
 from . import oracle as O
 from .catalog import query
 from .queries_core import decision_log, decisions
-
-BOUNDS = ST.DateBounds(T.DATE_DIM_START, T.DATE_DIM_END)
+from .store import BOUNDS, store
 
 # Filter values for the report-filter queries (parameters, not data caps).
 FILTER_CURRENCIES = ("EUR", "GBP", "XXX")
@@ -24,30 +23,28 @@ TRADE_RANGE = (dt.date(1996, 1, 1), dt.date(1997, 12, 31))
 MATURITY_RANGE = (dt.date(1998, 7, 1), dt.date(1999, 6, 30))
 
 
-def _dec(spark, sf_dir, dec):
-    return dec if dec is not None else decisions(spark, sf_dir)
-
-
-def valid(spark, sf_dir, dec=None):
-    return ST.build_valid_fact(_dec(spark, sf_dir, dec), BOUNDS)
+def valid(spark, sf_dir):
+    """The stored book of valid deals, sorted by maturity date inside its files."""
+    return store(spark, sf_dir).valid()
 
 
-def rejected(spark, sf_dir, dec=None):
-    return ST.build_rejected_fact(_dec(spark, sf_dir, dec), BOUNDS)
+def rejected(spark, sf_dir):
+    """The stored reject log."""
+    return store(spark, sf_dir).rejected()
 
 
-def status(spark, sf_dir, dec=None):
-    return ST.build_status(valid(spark, sf_dir, dec), T.REPORT_AS_OF)
+def status(spark, sf_dir):
+    return store(spark, sf_dir).status(T.REPORT_AS_OF)
 
 
-def report(spark, sf_dir, dec=None):
-    return ST.build_report(status(spark, sf_dir, dec), T.REPORT_AS_OF, BOUNDS)
+def report(spark, sf_dir):
+    return store(spark, sf_dir).report(T.REPORT_AS_OF)
 
 
 for _name, (_nat, _key, _label) in ST.DIM_SPECS.items():
     def _make(nat=_nat, key=_key, label=_label):
         def fn(spark, sf_dir):
-            return ST.build_dim(decisions(spark, sf_dir), nat, key, label)
+            return ST.build_dim(decision_log(spark, sf_dir), nat, key, label)
         return fn
     query(f"dim_{_name}", O.with_star(f"SELECT * FROM dim_{_name}"))(_make())
 
@@ -60,7 +57,7 @@ def q_dim_product(spark, sf_dir):
 
     seed = unique_dir(spark, "seeds", "product_reference")
     ST.product_reference(spark).coalesce(1).write.option("header", True).csv(seed)
-    return ST.build_dim_product(decisions(spark, sf_dir), ST.load_reference(spark, seed))
+    return ST.build_dim_product(decision_log(spark, sf_dir), ST.load_reference(spark, seed))
 
 
 @query("dim_date", O.with_decisions(
@@ -75,12 +72,13 @@ def q_dim_product(spark, sf_dir):
               FROM decisions))"""))
 def q_dim_date(spark, sf_dir):
     """Calendar of whole years spanning every trade and maturity date of the feed."""
-    return ST.dim_date_for(decisions(spark, sf_dir), ("trade_date", "maturity_date"))
+    return ST.dim_date_for(decision_log(spark, sf_dir), ("trade_date", "maturity_date"))
 
 
 @query("valid_fact", O.with_star("SELECT * FROM valid_fact"))
 def q_valid_fact(spark, sf_dir):
-    return valid(spark, sf_dir)
+    """Full build from the replay (S11); ``valid_fact_incremental`` merges it run by run."""
+    return ST.build_valid_fact(decisions(spark, sf_dir), BOUNDS)
 
 
 @query("valid_fact_lookup", O.with_star("SELECT * FROM valid_fact"))
@@ -94,7 +92,7 @@ def q_valid_fact_lookup(spark, sf_dir):
 
 @query("rejected_fact", O.with_star("SELECT * FROM rejected_fact"))
 def q_rejected_fact(spark, sf_dir):
-    return rejected(spark, sf_dir)
+    return ST.build_rejected_fact(decisions(spark, sf_dir), BOUNDS)
 
 
 @query("deal_status", O.with_star("SELECT * FROM status"))
@@ -197,8 +195,7 @@ FROM (SELECT count(*) AS trade_count, count_if(trade_status = 'ACTIVE') AS activ
 
 @query("kpi_summary", O.with_star(KPI_SQL))
 def q_kpi_summary(spark, sf_dir):
-    dec = decision_log(spark, sf_dir)
-    return R.kpis(report(spark, sf_dir, dec), rejected(spark, sf_dir, dec))
+    return R.kpis(report(spark, sf_dir), rejected(spark, sf_dir))
 
 
 @query("status_counts", O.with_star(
@@ -268,8 +265,7 @@ def q_report_filter_range(spark, sf_dir):
        FROM (SELECT reject_reason, count(*) AS n FROM rejected_fact GROUP BY reject_reason))""",
     "busiest AS (" + BUSIEST_SQL + ")"))
 def q_headline(spark, sf_dir):
-    dec = decision_log(spark, sf_dir)
-    return R.headline(report(spark, sf_dir, dec), rejected(spark, sf_dir, dec))
+    return R.headline(report(spark, sf_dir), rejected(spark, sf_dir))
 
 
 @query("format_money", O.with_star(

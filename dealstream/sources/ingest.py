@@ -1,17 +1,21 @@
 """Landing: files -> raw tables, typed flatten, bad-file handling, sinks.
 
 S1 ingest_json, S2 ingest_rates_csv, S3 split_bad_files, S6 base views,
-S8 append, S10 rebuild, S12 write_clustered, P1 flatten_messages, O5 report.
+S8 append (schema kept beside the table), S10 rebuild, S12 write_clustered and
+land_by_date, P1 flatten_messages, O5 report.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalar as S
+from . import files
 
 # Typed payload fields of a deal message (path -> Spark type).
 # Ids are text and the event time carries its own offset; the producer's
@@ -58,8 +62,26 @@ def flatten_messages(landing: DataFrame, strict: bool = True, raw_col: str = "ra
     time is converted from its own offset to UTC wall-clock time."""
     extra = [c for c in landing.columns if c not in (raw_col, "line")]
     out = landing.select(*flatten(F.col(raw_col), fields, strict), *extra)
-    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("event_timestamp").cast("timestamp_ntz"))
-    return out.withColumn("event_timestamp", utc)
+    return out.withColumn("event_timestamp", utc_time("event_timestamp"))
+
+
+def utc_time(instant: str) -> Column:
+    """Wall-clock time in UTC of an instant, whatever the session's zone (no hour of it is doubled or skipped)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), S.lit_ts(dt.datetime(1970, 1, 1)))
+
+
+def flagged_messages(landing: DataFrame, raw_col: str = "raw", fields=MESSAGE_FIELDS) -> DataFrame:
+    """P1 and the record test of S3 in one parse: every line typed, with ``bad`` set where it is not JSON or a field
+    does not cast to its type (a typed field is NULL although the payload has a value for it)."""
+    extra = [c for c in landing.columns if c != raw_col]
+    parsed = landing.withColumn("_v", F.try_parse_json(raw_col)).drop(raw_col)
+    typed = parsed.select("_v", *flatten(F.col("_v"), fields, strict=False), *extra)
+    bad = F.col("_v").isNull()
+    for name, typ in fields:
+        if typ != "string":
+            bad = bad | (F.col(name).isNull() & F.try_variant_get("_v", f"$.{name}", "string").isNotNull())
+    out = typed.withColumn("bad", bad).drop("_v")
+    return out.withColumn("event_timestamp", utc_time("event_timestamp"))
 
 
 def unreadable(raw: Column, fields=MESSAGE_FIELDS) -> Column:
@@ -130,16 +152,46 @@ def base_view(df: DataFrame, name: str) -> DataFrame:
 
 
 # --- S8 / S10 / S12 ---------------------------------------------------------------------
-def append(df: DataFrame, path: str, epoch: int) -> None:
+def append(df: DataFrame, path: str, epoch: int, options: dict | None = None) -> None:
     """Append sink: every run (micro-batch) owns one ``epoch=`` folder. A
     replayed run overwrites its own folder only, so it neither duplicates its
-    rows nor touches those of another run, whatever batches they belong to."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/epoch={int(epoch)}")
+    rows nor touches those of another run, whatever batches they belong to.
+
+    The schema is kept beside the table, one small file a change: a run may
+    bring new columns (older rows read NULL in them) or lack known ones, but
+    not change a column's type."""
+    spark, root = df.sparkSession, path.rstrip("/")
+    known = stored_schema(spark, root)
+    merged = list(known.fields) if known else []
+    types = {f.name: f.dataType for f in merged}
+    for f in df.schema.fields:
+        if f.name not in types:
+            merged.append(T.StructField(f.name, f.dataType, True))
+        elif types[f.name] != f.dataType:
+            raise ValueError(f"column {f.name} is {types[f.name].simpleString()} in {root}, not {f.dataType.simpleString()}")
+    if not known or len(merged) > len(known.fields):
+        version = len(files.finished(spark, f"{root}/_schema", "v="))
+        text = spark.createDataFrame([(T.StructType(merged).json(),)], "value string")
+        text.coalesce(1).write.mode("overwrite").text(f"{root}/_schema/v={version:06d}")
+    df.write.mode("overwrite").options(**(options or {})).parquet(f"{root}/epoch={int(epoch)}")
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept beside an appended table, None before its first run."""
+    versions = files.finished(spark, f"{path.rstrip('/')}/_schema", "v=")
+    if not versions:
+        return None
+    return T.StructType.fromJson(json.loads(spark.read.text(f"{path.rstrip('/')}/_schema/{versions[-1]}").first()[0]))
+
+
+def epochs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished runs of an appended table."""
+    return sorted(map(int, complete(spark, path, "epoch=")))
 
 
 def read_appended(spark: SparkSession, path: str, before: int | None = None, since: int | None = None) -> DataFrame:
-    """All runs (or those with ``since`` <= epoch < ``before``; other folders are pruned), new columns merged."""
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    """All runs (or those with ``since`` <= epoch < ``before``; other folders are pruned), read with the stored schema: no footer is opened to learn it."""
+    df = spark.read.schema(stored_schema(spark, path).add("epoch", T.IntegerType())).parquet(path)
     if before is not None:
         df = df.filter(F.col("epoch") < before)
     if since is not None:
@@ -149,21 +201,21 @@ def read_appended(spark: SparkSession, path: str, before: int | None = None, sin
 
 def complete(spark: SparkSession, root: str, prefix: str) -> list[str]:
     """Sorted names ``prefix...`` under ``root`` whose write has finished, from one listing."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{prefix}*/_SUCCESS")
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
-    return sorted(st.getPath().getParent().getName()[len(prefix):] for st in found or ())
+    return [n[len(prefix):] for n in files.finished(spark, root, prefix)]
 
 
-def rebuild(df: DataFrame, path: str, version: str | None = None) -> str:
+def rebuild(df: DataFrame, path: str, version: str | None = None, keep: int = 3) -> str:
     """Full rebuild into a new version folder. The newest finished folder is
     the current table, so there is no pointer to lose: a crash leaves either
-    the old version or the new one current."""
+    the old version or the new one current. The ``keep`` newest stay, for
+    readers that have begun and for a replay of the last run."""
     import uuid
 
     version = version or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f") + "-" + uuid.uuid4().hex[:8]
     target = f"{path.rstrip('/')}/v={version}"
     df.write.mode("overwrite").parquet(target)
+    for old in complete(df.sparkSession, path, "v=")[:-keep]:
+        files.remove(df.sparkSession, f"{path.rstrip('/')}/v={old}")
     return target
 
 
@@ -180,6 +232,22 @@ def write_clustered(df: DataFrame, path: str, key: str, partitions: int | None =
     df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
+# --- raw landing by load date (S12) ------------------------------------------------------
+def land_by_date(df: DataFrame, path: str, loaded: str = "loaded_at") -> None:
+    """Raw rows appended to a landing with one folder a load date, so that a day is read, kept or removed as a whole."""
+    df.withColumn("load_date", F.to_date(loaded)).write.mode("append").partitionBy("load_date").parquet(path)
+
+
+def read_landed(spark: SparkSession, path: str, schema: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Rows loaded from ``first`` to ``last``: a filter on the folders, none else is opened."""
+    df = spark.read.schema(schema + ", load_date date").parquet(path)
+    if first is not None:
+        df = df.filter(F.col("load_date") >= F.lit(first))
+    if last is not None:
+        df = df.filter(F.col("load_date") <= F.lit(last))
+    return df
+
+
 # --- landing writers (feed the given tables through the file path) ---------------------
 def write_json_lines(df: DataFrame, path: str, line: Column, partition_cols=()) -> None:
     """Write one text line per row (the JSON-lines form of a landing)."""

@@ -46,7 +46,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ts_ntz(value: dt.datetime) -> Column:
     """A TIMESTAMP_NTZ literal (the given tables carry NTZ timestamps)."""
-    return F.lit(value).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _currency(suppkey: Column) -> Column:

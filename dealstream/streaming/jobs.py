@@ -3,9 +3,9 @@
 Every job reads a growing landing (files or the landing table's files),
 runs with ``trigger(availableNow=True)`` so one call drains exactly what has
 landed, and keeps its progress in a checkpoint under the cluster's shared
-``spark.checkpoint.dir``. Every micro-batch writes one folder of its own, so
-replaying it after a lost executor or a restarted driver rewrites that folder
-and nothing else; a batch may arrive in any number of files and drains.
+``spark.checkpoint.dir``. Every micro-batch and every drain writes one folder
+of its own, so replaying it after a lost executor or a restarted driver rewrites
+that folder and nothing else; a batch may arrive in any number of files and drains.
 """
 
 from __future__ import annotations
@@ -16,23 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import decide as D
+from ..functions import scalar as S
 from ..operators import state as STT
+from ..sources import committed as C
+from ..sources import files
 from ..sources import ingest as I
+from .tiers import Tiers
 
 LANDING_SCHEMA = "raw string, file_name string, loaded_at timestamp_ntz, batch_id bigint"
 FX_LANDING_SCHEMA = ("as_of_date date, currency string, rate_to_usd double, file_name string, "
                      "loaded_at timestamp_ntz, load_no bigint")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
 def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
-    if not _exists(spark, path):
+    if not files.exists(spark, path):
         return None
     r = spark.read
     if schema:
@@ -94,121 +91,188 @@ def land_messages(deliveries: DataFrame, landing: str, cut: int = 0) -> None:
 
 # --- S5: stream -> typed staging -------------------------------------------------------------
 def stage_batch(df: DataFrame, quarantine: str | None = None, fields=I.ADAPTER_FIELDS) -> DataFrame:
-    """Flatten the raw payload and keep the first arrival per message within
-    the drain. A file with an unreadable record is skipped whole, other files
-    load; with ``quarantine`` the skipped files' rows are written to that folder."""
-    parsed = df.select(F.try_parse_json("raw").alias("raw"), F.col("raw").alias("line"), "file_name", "loaded_at", "batch_id")
-    good, bad_files = I.split_bad_files(parsed, I.unreadable(F.col("raw"), fields))
+    """Raw rows read as one batch: typed, files with an unreadable record skipped whole, first arrival per message kept."""
+    typed = _typed(df, fields, quarantine is not None)
+    return D.dedup_first(_without(typed, _bad_names(typed), quarantine), "message_id", ("loaded_at", "file_name"))
+
+
+def _typed(df: DataFrame, fields=I.ADAPTER_FIELDS, keep_line: bool = False) -> DataFrame:
+    """One parse a line: typed fields, ``bad``, and the line itself where a quarantine wants it."""
+    rows = df.select("raw", *([F.col("raw").alias("line")] if keep_line else []), "file_name", "loaded_at", "batch_id")
+    return I.flagged_messages(rows, fields=fields)
+
+
+def _bad_names(typed: DataFrame) -> DataFrame:
+    return typed.filter("bad").select("file_name").distinct()
+
+
+def _without(typed: DataFrame, bad: DataFrame | None, quarantine: str | None) -> DataFrame:
+    """Rows of files not in ``bad``; with ``quarantine`` the rows of the others are written to that folder."""
+    if bad is None:
+        return typed.drop("bad", "line")
     if quarantine:
-        parsed.join(bad_files.select("file_name"), "file_name", "left_semi").drop("raw").write.mode("overwrite").parquet(quarantine)
-    typed = I.flatten_messages(good.drop("line"), fields=fields)
-    return D.dedup_first(typed, "message_id", ("loaded_at", "file_name"))
+        aside = typed.join(bad, "file_name", "left_semi")
+        aside.select("line", "file_name", "loaded_at", "batch_id").write.mode("overwrite").parquet(quarantine)
+    return typed.join(bad, "file_name", "left_anti").drop("bad", "line")
+
+
+class Staging:
+    """Typed rows of a stream, one folder a micro-batch, taken over drain by drain.
+
+    A file may land in several parts and reach the stream in several
+    micro-batches, and its bad record may be in the last. So micro-batches only
+    parse and stage, which shuffles nothing, and a file counts as loaded when the
+    drain that took it is over: then the ledger of bad files (those flagged in
+    this drain or any before) withdraws all staged rows of such files. The test
+    reads one flag column whose statistics skip row groups without a bad record,
+    and only if there is one are the rows joined with it."""
+
+    def __init__(self, spark: SparkSession, root: str, quarantine: str | None = None):
+        self.spark, self.root, self.quarantine = spark, root.rstrip("/"), quarantine
+
+    def stage(self, df: DataFrame, epoch: int) -> None:
+        I.append(_typed(df, keep_line=self.quarantine is not None), f"{self.root}/rows", epoch)
+
+    def pending(self, last: int) -> list[int]:
+        """Staged micro-batches after ``last``."""
+        return [e for e in I.epochs(self.spark, f"{self.root}/rows") if e > last]
+
+    def take(self, epochs: list[int]) -> DataFrame:
+        """Rows of these micro-batches without bad files (not yet first arrivals only)."""
+        first, last = epochs[0], epochs[-1]
+        typed = I.read_appended(self.spark, f"{self.root}/rows", before=last + 1, since=first)
+        ledger, known = f"{self.root}/bad_files", None
+        new = _bad_names(typed)
+        if [e for e in I.epochs(self.spark, ledger) if e < first]:
+            known = I.read_appended(self.spark, ledger, before=first)
+            new = new.join(known, "file_name", "left_anti")
+        if not typed.filter("bad").isEmpty():
+            I.append(new, ledger, last)
+        bad = I.read_appended(self.spark, ledger, before=last + 1).distinct() if I.epochs(self.spark, ledger) else None
+        return _without(typed, bad, f"{self.quarantine}/epoch={last}" if self.quarantine else None)
+
+    def trim(self, before: int) -> int:
+        """Remove staged micro-batches below ``before``, all of which have been taken and written on."""
+        old = [e for e in I.epochs(self.spark, f"{self.root}/rows") if e < before]
+        for e in old:
+            files.remove(self.spark, f"{self.root}/rows/epoch={e}")
+        return len(old)
 
 
 def cdc_drain(spark: SparkSession, landing: str, staging: str, checkpoint: str, quarantine: str | None = None,
               max_files: int | None = None) -> int:
-    """Drain unconsumed landing rows into the staging table, written
-    together with the checkpoint's offset (one micro-batch = one drain)."""
-    def process(df, epoch):
-        I.append(stage_batch(df, f"{quarantine}/epoch={epoch}" if quarantine else None), staging, epoch)
-    return drain(landing_stream(spark, landing, max_files=max_files), checkpoint, process)
+    """Drain unconsumed landing rows into the staging table, one run a
+    drain: first arrivals of the drain, without files that hold a bad record."""
+    held = Staging(spark, f"{staging.rstrip('/')}_landed", quarantine)
+    n = drain(landing_stream(spark, landing, max_files=max_files), checkpoint, held.stage)
+    done = I.epochs(spark, staging)
+    todo = held.pending(done[-1] if done else -1)
+    if todo:
+        I.append(D.dedup_first(held.take(todo), "message_id", ("loaded_at", "file_name")), staging, todo[-1])
+        held.trim(todo[0])
+    return n
 
 
 # --- X1 / X2 / X3: decisions ------------------------------------------------------------------
-def _epoch_dirs(spark: SparkSession, root: str) -> list[int]:
-    return sorted(map(int, I.complete(spark, root, "epoch=")))
-
-
-COMPACT_EVERY = 8  # deltas folded into a full state table after this many drains
-
-
-def state_before(spark: SparkSession, root: str, epoch: int, trades: DataFrame | None = None) -> DataFrame | None:
-    """The version-gate state (trade -> highest accepted version) as it stood
-    before ``epoch``: the latest compacted full state before it plus the
-    per-drain deltas after that (max is associative, so the union reduced by
-    ``max`` equals folding them in order). Only completed epochs before
-    ``epoch`` are read, so a replayed epoch never sees its own effect. With
-    ``trades`` every part is cut to these trades before it is aggregated."""
-    fulls = [e for e in _epoch_dirs(spark, f"{root}/full") if e < epoch]
-    base = fulls[-1] if fulls else -1
-    deltas = [e for e in _epoch_dirs(spark, f"{root}/delta") if base < e < epoch]
-    parts = ([spark.read.parquet(f"{root}/full/epoch={base}")] if fulls else []) + \
-        [spark.read.parquet(f"{root}/delta/epoch={e}") for e in deltas]
-    if not parts:
-        return None
-    if trades is not None:
-        parts = [p.join(trades, "trade_id", "left_semi") for p in parts]
-    if len(parts) == 1:
-        return parts[0]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
-    return both.groupBy("trade_id").agg(F.max("existing_version").alias("existing_version"))
+def version_gate(spark: SparkSession, root: str, fanout: int | None = None) -> Tiers:
+    """Trade -> highest accepted version, as runs in levels."""
+    return Tiers(spark, f"{root.rstrip('/')}/versions", "trade_id",
+                 lambda d: d.groupBy("trade_id").agg(F.max("existing_version").alias("existing_version")), fanout)
 
 
-def record_state(spark: SparkSession, root: str, epoch: int, written: DataFrame) -> None:
-    """Write the drain's delta (its highest accepted version per trade: as
-    small as the drain) and, every ``COMPACT_EVERY`` deltas, a compacted full
-    state, so a drain never rewrites the state of every trade ever seen."""
-    D.known_state(written).write.mode("overwrite").parquet(f"{root}/delta/epoch={epoch}")
-    fulls = [e for e in _epoch_dirs(spark, f"{root}/full") if e < epoch]
-    base = fulls[-1] if fulls else -1
-    pending = [e for e in _epoch_dirs(spark, f"{root}/delta") if base < e <= epoch]
-    if len(pending) >= COMPACT_EVERY:
-        state_before(spark, root, epoch + 1).write.mode("overwrite").parquet(f"{root}/full/epoch={epoch}")
+def decided_ids(spark: SparkSession, root: str, fanout: int | None = None) -> Tiers:
+    """Ids of the messages decided so far, as runs in levels. An id is decided once, so runs share none."""
+    return Tiers(spark, f"{root.rstrip('/')}/ids", "message_id", lambda d: d.select("message_id"), fanout)
 
 
 def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, checkpoint: str, as_of,
-                     quarantine: str | None = None, max_files: int | None = None, redelivery_drains: int | None = None) -> int:
-    """Each drain is decided and appended as a run of its own. The version
-    gate (X2) reads a compact state table (trade -> highest accepted version)
-    kept next to the log as per-drain deltas plus periodic compactions, cut to
-    the drain's trades first; messages already decided in an earlier drain,
-    of this batch or another, are dropped (X3), so a re-delivered file never
-    changes a decision. Rows of a batch that arrive late are decided as part
-    of their own drain. ``redelivery_drains`` bounds how many drains back a
-    redelivery is looked for (older folders are pruned); None looks at all."""
+                     quarantine: str | None = None, max_files: int | None = None, fanout: int | None = None) -> int:
+    """What has landed is staged by the stream and decided as one drain, in
+    a run of its own. The version gate (X2) and the ids of decided messages
+    (X3) are kept beside the log as runs in levels (:class:`Tiers`): a drain
+    reads the buckets that its trades and ids fall in and never the log, and
+    messages decided in an earlier drain, of this batch or another, are dropped,
+    so a re-delivered file never changes a decision. Rows of a batch that arrive
+    late are decided as part of their own drain. A file with an unreadable record
+    is skipped whole, in however many micro-batches its parts came (:class:`Staging`).
+
+    After a failure the stream replays its last micro-batch into the same folder
+    and the drain that was not finished is decided anew, together with what
+    landed since; its unfinished run, delta and ids are overwritten or ignored."""
     root = decisions_path.rstrip("/")
-    state_root = root + "_state"
-
-    def process(df, epoch):
-        # The staged drain is written once (a replayed epoch overwrites its own
-        # folder) and read back: the lineage is cut, and the planner sees the
-        # drain's real file size, so the redelivery check broadcasts the
-        # drain's ids only when they are measured small and the decision log
-        # is never shuffled for a small drain.
-        staged_path = f"{state_root}_staged/epoch={epoch}"
-        stage_batch(df, f"{quarantine}/epoch={epoch}" if quarantine else None).write.mode("overwrite").parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        earlier = [e for e in _epoch_dirs(spark, root) if e < epoch]
-        since = None if redelivery_drains is None else epoch - redelivery_drains
-        # replaying this epoch must not see its own earlier output
-        prior = I.read_appended(spark, root, before=epoch, since=since) if earlier else None
-        state = state_before(spark, state_root, epoch, staged.select("trade_id").distinct())
-        # staged rows are already the first arrival per message
-        out = D.evaluate_drain(staged, prior, as_of, state=state, dedup=False)
-        I.append(out.select(*D.DECISION_COLUMNS), root, epoch)
-        record_state(spark, state_root, epoch, spark.read.parquet(f"{root}/epoch={epoch}"))
-    return drain(landing_stream(spark, landing, max_files=max_files), checkpoint, process)
-
-
-# --- X4: hourly counts, upserted -------------------------------------------------------------
+    held = Staging(spark, f"{root}_staged", quarantine)
+    n = drain(landing_stream(spark, landing, max_files=max_files), checkpoint, held.stage)
+    done = I.epochs(spark, root)
+    todo = held.pending(done[-1] if done else -1)
+    if todo:
+        _decide(spark, root, held.take(todo), todo[-1], len(done), as_of, fanout)
+        held.trim(todo[0])  # the micro-batches of the drains before
+    return n
+
+
+def _decide(spark: SparkSession, root: str, rows: DataFrame, epoch: int, number: int, as_of, fanout: int | None) -> None:
+    """Decide drain ``number`` and append it as run ``epoch``.
+
+    The run of the log is written last, after gate and ids have their runs: until
+    it is there, the drain counts as not decided, and gate and ids of a drain are
+    only read by later ones."""
+    gate, ids = (f(spark, f"{root}_state", fanout) for f in (version_gate, decided_ids))
+    gate.trim(number), ids.trim(number)
+    drained, decided = f"{root}_state/drain/epoch={epoch}", f"{root}_state/decided/epoch={epoch}"
+    # written, as the file's size decides the joins with the state
+    staged = STT.materialize(D.dedup_first(rows, "message_id", ("loaded_at", "file_name")), drained)
+    seen = ids.lookup(number, staged.select("message_id"))
+    state = gate.lookup(number, staged.select("trade_id"))
+    new = staged.join(seen, "message_id", "left_anti") if seen is not None else staged
+    out = STT.materialize(D.evaluate_drain(new, None, as_of, state=state, dedup=False).select(*D.DECISION_COLUMNS), decided)
+    gate.add(D.known_state(out), number)
+    ids.add(out.select("message_id"), number)
+    I.append(out, root, epoch)
+    files.remove(spark, drained), files.remove(spark, decided)
+
+
+# --- X4: hourly counts in event time ---------------------------------------------------------
 def stream_hourly(spark: SparkSession, events_landing: str, schema: str, ts: str, out_path: str, checkpoint: str,
-                  keys: tuple[str, ...] = (), condition=None) -> int:
-    """One-hour counts over event time. Every drain writes its own counts per
-    hour (as small as its hours) to a folder of its own; :func:`read_hourly` adds
-    them up, so a row that arrives any time later still counts in its hour and
-    the newest hour is there at once. ``condition`` keeps e.g. failures only."""
-    def process(df, epoch):
-        rows = df if condition is None else df.filter(condition)
-        counts = rows.groupBy(F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour"), *keys).agg(F.count(F.lit(1)).alias("rows_loaded"))
-        I.append(counts, out_path, epoch)
-    return drain(spark.readStream.schema(schema).parquet(events_landing), checkpoint, process)
-
-
-def read_hourly(spark: SparkSession, out_path: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Counts per hour over all drains so far."""
-    return I.read_appended(spark, out_path).groupBy("hour", *keys).agg(F.sum("rows_loaded").alias("rows_loaded"))
+                  keys: tuple[str, ...] = (), condition=None, delay: str = "1 hour") -> int:
+    """One-hour counts over event time ``ts`` (wall-clock time in UTC), in the stream's own state. The
+    watermark follows ``delay`` behind the newest event; an hour it has passed is
+    closed, appended once to ``closed`` and leaves the state. Rows for a closed
+    hour, which the window drops, are counted into ``late``: the checkpoint says
+    which files a batch takes and where the watermark stood, so exactly the dropped
+    rows are read again (row groups of newer events are skipped).
+    :func:`read_hourly` adds closed, late and still open hours."""
+    root = out_path.rstrip("/")
+
+    def kept(df: DataFrame) -> DataFrame:
+        return df if condition is None else df.filter(condition)
+
+    source = kept(spark.readStream.schema(schema).parquet(events_landing)).select(S.instant(ts).alias("_at"), *keys)  # a watermark wants an instant
+    counts = source.withWatermark("_at", delay).groupBy(F.window("_at", "1 hour").alias("w"), *keys).agg(F.count(F.lit(1)).alias("rows_loaded"))
+
+    def process(df: DataFrame, epoch: int) -> None:
+        I.append(df.select(I.utc_time("w.start").alias("hour"), *keys, "rows_loaded"), f"{root}/closed", epoch)
+        mark = C.closed_before(spark, checkpoint, epoch).replace(minute=0, second=0, microsecond=0)
+        taken = C.batch_files(spark, checkpoint, epoch)
+        if taken:
+            late = kept(spark.read.schema(schema).option("basePath", events_landing).parquet(*taken)).filter(F.col(ts) < S.lit_ts(mark))
+            at = F.date_trunc("hour", ts).cast("timestamp_ntz").alias("hour")
+            I.append(late.groupBy(at, *keys).agg(F.count(F.lit(1)).alias("rows_loaded")), f"{root}/late", epoch)
+
+    return drain(counts, checkpoint, process)
+
+
+def read_hourly(spark: SparkSession, out_path: str, checkpoint: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Counts per hour over all drains so far: closed hours, rows that came late for them, and hours still open in the stream's state."""
+    root = out_path.rstrip("/")
+    parts = [I.read_appended(spark, f"{root}/{p}") for p in ("closed", "late") if I.epochs(spark, f"{root}/{p}")]
+    if C.committed_epochs(spark, checkpoint) >= 0:
+        state = spark.read.format("statestore").load(checkpoint)
+        parts.append(state.select(I.utc_time("key.window.start").alias("hour"), *[F.col(f"key.{k}").alias(k) for k in keys],
+                                  F.col("value.count").alias("rows_loaded")))
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    return both.groupBy("hour", *keys).agg(F.sum("rows_loaded").alias("rows_loaded"))
 
 
 # --- X5: FX latest-wins ---------------------------------------------------------------------------
