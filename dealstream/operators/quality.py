@@ -69,71 +69,57 @@ class TableChecks:
     unique_combos: Sequence[Sequence[str]] = ()
 
 
-def _stack(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column_name, value as text) for every listed column: one pass that lets
-    several checks of a table share one shuffle."""
+def _stack(df: DataFrame, table: str, values: Sequence[tuple[str, str, Column]], given: int) -> DataFrame:
+    """(table, rule, column, value as text, given) for every listed value of every row."""
     return df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols
-    ])).alias("s")).select("s.*")
+        F.struct(F.lit(table).alias("table_name"), F.lit(rule).alias("check_name"), F.lit(c).alias("column_name"), v.cast("string").alias("v"))
+        for rule, c, v in values])).alias("s")).select("s.*", F.lit(given).alias("given")).filter(F.col("v").isNotNull())
 
 
-def _with_zeros(spark, table: str, check: str, cols: Sequence[str], counts: DataFrame) -> DataFrame:
-    """One row per listed column, 0 where ``counts`` has none."""
-    names = spark.createDataFrame([(c,) for c in cols], "column_name string")
-    return names.join(counts, "column_name", "left").select(
-        F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), "column_name",
-        F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
+def _values(t: TableChecks) -> list[tuple[str, str, Column]]:
+    """The values of a table that its unique, relationship and combination checks count."""
+    return ([("unique", c, F.col(c)) for c in t.unique] + [("relationships", c, F.col(c)) for c in t.relationships]
+            + [("unique_combination", ",".join(cols), F.to_json(F.struct(*cols))) for cols in t.unique_combos])
 
 
 def run_suite(spec: Sequence[TableChecks], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: (table_name, check_name, column_name, failures).
 
-    Per table: all not_null and accepted_values checks fold into a single
-    aggregation (``count_if`` per check, then unpivoted); all unique checks
-    share one shuffle (values stacked as (column, value), counted, with
-    partial aggregation); all relationship checks share one anti join
-    against the stacked parent keys.
+    All unique, combination and relationship checks of all tables are one
+    aggregation: their values are stacked as (table, rule, column, value) and
+    counted, with partial aggregation, so a hot value is one row a map task; the
+    parents' keys of a relationship stand beside them as given rows, so a value
+    without one is an orphan and no join is needed. The not_null and
+    accepted_values checks of a table are one ``count_if`` each in a single row.
     """
-    parts: list[DataFrame] = []
+    spark = next(iter(tables.values())).sparkSession
+    parts, stacked, names = [], [], []
     for t in spec:
         df = tables[t.table]
-        spark = df.sparkSession
-        folded = []
-        for c in t.not_null:
-            folded.append(("not_null", c, F.count_if(F.col(c).isNull())))
-        for c, values in t.accepted.items():
-            folded.append(("accepted_values", c, F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(values)))))
+        folded = [("not_null", c, F.count_if(F.col(c).isNull())) for c in t.not_null] + [
+            ("accepted_values", c, F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(values)))) for c, values in t.accepted.items()]
         if folded:
             agg = df.agg(*[e.alias(f"f{i}") for i, (_, _, e) in enumerate(folded)])
-            stack = F.explode(F.array(*[
-                F.struct(F.lit(t.table).alias("table_name"), F.lit(chk).alias("check_name"),
-                         F.lit(c).alias("column_name"), F.col(f"f{i}").cast("bigint").alias("failures"))
-                for i, (chk, c, _) in enumerate(folded)]))
-            parts.append(agg.select(stack.alias("r")).select("r.*"))
-        if t.unique:
-            dup = (_stack(df, t.unique).filter(F.col("v").isNotNull())
-                   .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-                   .filter(F.col("n") > 1).groupBy("column_name").agg(F.count(F.lit(1)).alias("failures")))
-            parts.append(_with_zeros(spark, t.table, "unique", t.unique, dup))
-        if t.relationships:
-            fks = list(t.relationships)
-            # Count each (column, value) first: a hot foreign key collapses to
-            # one row per map task, and the anti join sees distinct values only.
-            child = (_stack(df, fks).filter(F.col("v").isNotNull())
-                     .groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n")))
-            parent = None
-            for c, (ptable, pk) in t.relationships.items():
-                keys = tables[ptable].select(F.lit(c).alias("column_name"), F.col(pk).cast("string").alias("v"))
-                parent = keys if parent is None else parent.unionByName(keys)
-            parent = parent.filter(F.col("v").isNotNull()).distinct()
-            orphans = (child.join(parent, ["column_name", "v"], "left_anti")
-                       .groupBy("column_name").agg(F.sum("n").alias("failures")))
-            parts.append(_with_zeros(spark, t.table, "relationships", fks, orphans))
-        for cols in t.unique_combos:
-            n = check_unique_combo(df, cols).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-            parts.append(n.select(F.lit(t.table).alias("table_name"),
-                                  F.lit("unique_combination").alias("check_name"),
-                                  F.lit(",".join(cols)).alias("column_name"), "failures"))
+            parts.append(agg.select(F.inline(F.array(*[
+                F.struct(F.lit(t.table).alias("table_name"), F.lit(check).alias("check_name"), F.lit(c).alias("column_name"),
+                         F.col(f"f{i}").cast("bigint").alias("failures")) for i, (check, c, _) in enumerate(folded)]))))
+        values = _values(t)
+        if values:
+            names += [(t.table, rule, c) for rule, c, _ in values]
+            stacked.append(_stack(df, t.table, values, 0))
+        stacked += [_stack(tables[parent], t.table, [("relationships", c, F.col(pk))], 1) for c, (parent, pk) in t.relationships.items()]
+    if stacked:
+        every = stacked[0]
+        for x in stacked[1:]:
+            every = every.unionByName(x)
+        key = ["table_name", "check_name", "column_name"]
+        found = every.groupBy(*key, "v").agg(F.count_if(F.col("given") == 0).alias("n"), F.max("given").alias("given"))
+        wrong = F.when(F.col("check_name") == "relationships", F.when(F.col("given") == 0, F.col("n")).otherwise(0)).otherwise(
+            F.when(F.col("n") > 1, 1).otherwise(0))
+        counts = found.groupBy(*key).agg(F.sum(wrong).cast("bigint").alias("failures"))
+        # a check without a value has no failure; the list of checks is fixed
+        listed = spark.createDataFrame(names, "table_name string, check_name string, column_name string")
+        parts.append(listed.join(counts, key, "left").select(*key, F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -169,10 +169,10 @@ def headline(report: DataFrame, rejected: DataFrame) -> DataFrame:
                     "days_in_view", "busiest_day", "busiest_count"))
 
 
-def collect_report(df: DataFrame, limit: int = 10000):
-    """Bring an already-aggregated result to the driver, refusing more
-    than ``limit`` rows instead of silently truncating."""
-    rows = df.limit(limit + 1).toPandas()
+def collect_report(df: DataFrame, limit: int = 10000) -> list:
+    """The rows of an already-aggregated result, refusing more than
+    ``limit`` instead of silently truncating."""
+    rows = df.limit(limit + 1).collect()
     if len(rows) > limit:
         raise ValueError(f"result has more than {limit} rows; aggregate further before collecting")
     return rows

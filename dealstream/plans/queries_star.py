@@ -220,6 +220,13 @@ def q_busiest_day(spark, sf_dir):
     return R.busiest_day(report(spark, sf_dir))
 
 
+@query("collected_totals", _by_sql("product_type"))
+def q_collected_totals(spark, sf_dir):
+    """The totals by product brought to the driver under a stated bound, as a page of the report does."""
+    totals = R.notional_by(report(spark, sf_dir), "product_type")
+    return spark.createDataFrame(R.collect_report(totals, limit=1000), totals.schema)
+
+
 @query("filter_options", O.with_star(
     " UNION ".join(f"SELECT '{c}' AS filter_column, CAST({c} AS VARCHAR) AS option FROM report WHERE {c} IS NOT NULL"
                    for c in R.FILTER_COLUMNS)))

@@ -67,8 +67,8 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="dealstream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(root)  # found by getCheckpointDir from now on
+        root = spark.sparkContext.getCheckpointDir()
     path = root.rstrip("/")
     for p in parts:
         path = f"{path}/{p}"

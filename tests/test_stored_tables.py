@@ -322,3 +322,9 @@ def test_event_times_keep_their_instant_in_a_zone_with_summer_time(spark):
         assert [r[0] for r in got] == ["11-03 05:30", "11-03 06:30", "03-10 02:30"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_collecting_refuses_what_is_not_small(spark):
+    assert [r[0] for r in R.collect_report(spark.range(3), limit=3)] == [0, 1, 2]
+    with pytest.raises(ValueError, match="more than 2 rows"):
+        R.collect_report(spark.range(3), limit=2)
