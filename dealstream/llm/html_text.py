@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import doc_blocks, string_column, utf8_parts
 
-_TAG = re.compile(r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))|\b(hidden)\b""")
+_MARK = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_PLAIN = re.compile(r"""[^>"']*+""")
+_ATTR = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))|\b(hidden)\b""")
 _RAW = {t: re.compile(rf"</{t}[\s/>]", re.I) for t in ("script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp", "noembed")}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -47,43 +48,103 @@ _BAD = frozenset(
     "widget toolbar pagination pager skip copyright search contentinfo complementary dialog tooltip outbrain taboola".split())
 _COMMENT = frozenset("comment comments commentlist discussion disqus reply replies respond".split())
 _SPLIT = re.compile(r"[a-z]+|[A-Z][a-z]*")
+_TRACKED = frozenset(("p", *_SELF))
+
+
+class _Tags:
+    """The tags of a page in one forward pass: (start, end, closing, name, attributes); name is None in comments and declarations.
+
+    A tag ends at the first ``>`` outside quotes or, where a quote never closes, at the first ``>`` at all.
+    Opening quotes that led to no end are remembered, so that no stretch is read through twice."""
+
+    def __init__(self, page: str):
+        self.page, self.doomed = page, set()
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+
+    def _end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose attributes begin at ``at`` (some ``>`` follows)."""
+        page, i, opened = self.page, at, []
+        while True:
+            i = _PLAIN.match(page, i).end()
+            if i < len(page) and page[i] == ">":
+                return i
+            if i >= len(page) or i in self.doomed:
+                break
+            opened.append(i)
+            if i >= self.last[page[i]]:
+                break
+            i = page.index(page[i], i + 1) + 1
+        self.doomed.update(opened)
+        return page.index(">", at)
+
+    def after(self, at: int) -> tuple[int, int, str, str | None, str] | None:
+        """The first tag from ``at`` on."""
+        page = self.page
+        while True:
+            m = _MARK.search(page, at)
+            if not m:
+                return None
+            if m[0] == "<!--":
+                end = page.find("-->", m.end())
+                return m.start(), end + 3 if end >= 0 else len(page), "", None, ""
+            if m.end() <= self.last[">"]:
+                end = page.index(">", m.end()) if m[2] is None else self._end(m.end())
+                return m.start(), end + 1, m[1] or "", m[2], page[m.end():end]
+            at = page.find("<!--", m.end())  # no tag ends any more
+            if at < 0:
+                return None
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "bad", "comment", "hidden", "points", "size", "linked", "links", "holds")
+    __slots__ = ("tag", "parent", "kids", "bad", "comment", "hidden", "points", "size", "linked", "links", "holds", "ink", "commas", "gone", "scope")
 
     def __init__(self, tag: str, parent: "_Node | None"):
         self.tag, self.parent, self.kids = tag, parent, []
-        self.bad = self.comment = self.hidden = self.holds = False
-        self.points, self.size, self.linked, self.links = 0.0, 0, 0, 0
+        self.bad = self.comment = self.hidden = self.holds = self.gone = False
+        self.points, self.size, self.linked, self.links, self.ink, self.commas = 0.0, 0, 0, 0, 0, 0
+        #: open tags by name since the nearest element that ends a search for them
+        self.scope: dict[str, int] = {} if parent is None or tag in _STOP else parent.scope
 
 
 def _parse(page: str) -> _Node:
     """Element tree; a kid is a node or a string (character references decoded)."""
     root = top = _Node("html", None)
     at, n = 0, len(page)
+    tags, opened = _Tags(page), {}
+
+    def close(x: _Node) -> None:
+        """``x`` and all open elements in it end."""
+        nonlocal top
+        while top is not x.parent:
+            opened[top.tag] -= 1
+            if top.tag in _TRACKED:
+                top.scope[top.tag] -= 1
+            top = top.parent
+
+    def inside(names: tuple[str, ...]) -> bool:
+        return any(top.scope.get(t) for t in names)
 
     def text(s: str) -> None:
         if s:
             top.kids.append(_html.unescape(s) if "&" in s else s)
 
     while at < n:
-        m = _TAG.search(page, at)
+        m = tags.after(at)
         if not m:
             text(page[at:])
             break
-        text(page[at:m.start()])
-        at = m.end()
-        tag = m[2] or m[5]
+        start, end, closing, tag, attrs = m
+        text(page[at:start])
+        at = end
         if not tag:
             continue
         tag = tag.lower()
-        if m[1] or m[4]:
-            x = top
-            while x is not root and x.tag != tag:
-                x = x.parent
-            if x is not root:
-                top = x.parent
+        if closing:
+            if opened.get(tag):
+                x = top
+                while x.tag != tag:
+                    x = x.parent
+                close(x)
             continue
         if tag in _RAW:
             end = _RAW[tag].search(page, at)
@@ -92,21 +153,20 @@ def _parse(page: str) -> _Node:
             continue
         if tag in ("html", "body"):
             continue
-        if tag in _CLOSES_P:
+        if tag in _CLOSES_P and inside(("p",)):
             x = top
-            while x is not root and x.tag != "p" and x.tag not in _STOP:
+            while x.tag != "p":
                 x = x.parent
-            if x.tag == "p":
-                top = x.parent
-        if tag in _SELF:
+            close(x)
+        if tag in _SELF and inside(_SELF[tag]):
             x = top
-            while x is not root and x.tag not in _SELF[tag] and x.tag not in _STOP:
+            while x.tag not in _SELF[tag]:
                 x = x.parent
             while x.tag in _SELF[tag]:
-                top = x = x.parent
+                close(x)
+                x = top
         node = _Node(tag, top)
         top.kids.append(node)
-        attrs = m[3] or m[6] or ""
         if "=" in attrs or "hidden" in attrs:
             for a in _ATTR.finditer(attrs):
                 name, value = (a[1] or a[5]).lower(), a[2] or a[3] or a[4] or ""
@@ -116,10 +176,11 @@ def _parse(page: str) -> _Node:
                     node.comment |= bool(found & _COMMENT)
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                     node.hidden = True
-        if tag not in _VOID and not attrs.endswith("/"):
-            top = node
-        elif tag not in _VOID and tag in _BLOCK:
+        if tag not in _VOID and (not attrs.endswith("/") or tag in _BLOCK):
             top = node
+            opened[tag] = opened.get(tag, 0) + 1
+            if tag in _TRACKED:
+                node.scope[tag] = node.scope.get(tag, 0) + 1
     return root
 
 
@@ -137,6 +198,8 @@ def _sizes(order: list[_Node]) -> None:
         x.size = sum(len(k.strip()) for k in x.kids if type(k) is str) + sum(k.size for k in x.kids if type(k) is not str)
         x.linked = x.size if x.tag == "a" else sum(k.linked for k in x.kids if type(k) is not str)
         x.links = (x.tag == "a") + sum(k.links for k in x.kids if type(k) is not str)
+        x.ink = sum(len("".join(k.split())) if type(k) is str else k.ink for k in x.kids)
+        x.commas = sum(k.count(",") + k.count("،") + k.count("、") if type(k) is str else k.commas for k in x.kids)
         x.holds = x.tag in _SECTION or any(k.holds for k in x.kids if type(k) is not str)
 
 
@@ -181,10 +244,9 @@ def main_text(page: str | None) -> str:
         if drop and x is not root and x.tag not in _SECTION and not x.holds:
             sure = x.hidden or x.comment or x.tag in ("nav", "footer", "head", "aside", "svg")
             if sure or x.size - x.linked <= 0.5 * all_text:
-                x.parent.kids[next(i for i, k in enumerate(x.parent.kids) if k is x)] = None
+                x.gone = True
     for x in order:
-        if None in x.kids:
-            x.kids = [k for k in x.kids if k is not None]
+        x.kids = [k for k in x.kids if type(k) is str or not k.gone]
     order = _walk(root)
     _sizes(order)
     for x in order:
@@ -192,11 +254,15 @@ def main_text(page: str | None) -> str:
             x.points += 25
         loose = x.tag not in _PARAGRAPH and x.tag in _BLOCK and any(type(k) is str and len(k.strip()) >= 20 for k in x.kids)
         if (x.tag in _PARAGRAPH and not any(type(k) is not str and k.tag in _PARAGRAPH for k in x.kids)) or loose:
-            s = _own_text(x) if not loose else " ".join(k.strip() for k in x.kids if type(k) is str)
-            if not s:
+            if loose:
+                s = " ".join(k.strip() for k in x.kids if type(k) is str)
+                length, commas = len(s), s.count(",") + s.count("،") + s.count("、")
+            else:  # from 300 signs on the length has no more weight
+                length, commas = x.ink if x.ink >= 300 or not x.ink else len(_own_text(x)), x.commas
+            if not length:
                 continue
             plain = 1 - (x.linked / x.size if x.size else 0)
-            points = (min(1, len(s) / 25) + s.count(",") + s.count("،") + s.count("、") + min(len(s) / 100, 3)) * plain
+            points = (min(1, length / 25) + commas + min(length / 100, 3)) * plain
             up, share = (x if loose else x.parent), 1
             while up is not None and share <= 3:
                 up.points += points / share
