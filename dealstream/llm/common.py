@@ -25,6 +25,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rebuilt(kind: type, state: dict):
+    """An object of ``kind`` from its ``vars``. Broadcasts carry these plain values: unlike task
+    functions they are pickled by reference, and executors hold no copy of the package."""
+    out = object.__new__(kind)
+    vars(out).update(state)
+    return out
+
+
 def crc_mod(column: str, m: int) -> Column:
     """crc32(column as text) mod m; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % F.lit(m)

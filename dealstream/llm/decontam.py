@@ -8,8 +8,9 @@ all windows are searched backwards at once, their places located through the
 samples, and the covered words merged into removal spans. The pass is narrow:
 no text is shuffled.
 
-The benchmark travels in blocks of at most ``block_bytes`` (measured before
-it is fetched); further blocks are further narrow passes over the documents.
+The benchmark travels in blocks of about ``block_words`` words, counted before they
+are fetched: a block's broadcast arrays hold one row of ``window`` ids a word, some
+30 MB by default. Further blocks are further narrow passes over the documents.
 
 Defined results: null or empty text has no words; an item with no words has no
 window; repeated benchmark rows count once; an item with a null id still marks
@@ -19,17 +20,18 @@ a doc_id are judged one by one. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_blocks, string_column, utf8_parts
+from .common import doc_blocks, rebuilt, string_column, utf8_parts
 from .suffix import LIMIT, refine
 
-WINDOW, BLOCK_BYTES, SLICE_BYTES, SAMPLE = 13, 16 << 20, 8 << 20, 16
+WINDOW, BLOCK_WORDS, SLICE_BYTES, SAMPLE = 13, 1 << 18, 8 << 20, 16
 
 #: \x00-\x2F, \x3A-\x60 and \x7B-\x7F separate words, after A-Z became a-z.
 _FOLD = bytes(x + 32 if 65 <= x <= 90 else 32 if x < 0x30 or 0x3A <= x <= 0x60 or 0x7B <= x <= 0x7F else x for x in range(256))
@@ -204,45 +206,83 @@ def _join(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def phrase_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Phrases]:
-    """The benchmark in blocks whose measured size is at most ``block_bytes`` (or one item)."""
-    b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    per = b.groupBy(F.col("item_id"), F.xxhash64("text").alias("h")).agg(F.max(F.octet_length("text")).alias("size"))
-    place = F.sum(F.coalesce("size", F.lit(0)) + 64).over(Window.orderBy("item_id", "h"))
-    marks = per.select("item_id", "h", F.floor(place / block_bytes).alias("block"))
-    for x in marks.groupBy("block").count().orderBy("block").toLocalIterator():
-        rows = b.withColumn("h", F.xxhash64("text")).join(
-            marks.filter(F.col("block") == x["block"]).withColumnRenamed("item_id", "i").withColumnRenamed("h", "g"),
-            F.expr("item_id <=> i AND h = g")).select("item_id", "text").distinct().collect()
-        yield Phrases([(r["item_id"], r["text"]) for r in rows], window)
+def _item_type(benchmark: DataFrame) -> str:
+    """Whole-numbered ids stay numbers, others are text."""
+    return "bigint" if benchmark.schema["item_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint") else "string"
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+def phrase_blocks(benchmark: DataFrame, window: int, block_words: int) -> Iterator[Phrases]:
+    """The benchmark dealt by a hash of its items into blocks of about ``block_words`` words (or one item): their number
+    of windows, and so the size of their arrays, is at most that."""
+    b = benchmark.select(F.col("item_id").cast(_item_type(benchmark)).alias("item_id"), F.col("text").cast("string").alias("text"))
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    total = b.distinct().agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    blocks = max(1, -(-total // block_words))
+    for x in range(blocks if total else 0):
+        yield Phrases([(r["item_id"], r["text"]) for r in b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == x).distinct().collect()], window)
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
                   keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus n_words, n_hit, items (distinct item ids), spans (merged removal spans in words)."""
-    spark = docs.sparkSession
     out = docs.select(*keep, F.col("text").cast("string").alias("_text"), F.lit(0).cast("long").alias("n_words"),
-                      F.expr("CAST(array() AS array<bigint>)").alias("items"),
+                      F.expr(f"CAST(array() AS array<{_item_type(benchmark)}>)").alias("items"),
                       F.expr("CAST(array() AS array<array<bigint>>)").alias("spans"))
     schema = out.schema
-    blocks = [spark.sparkContext.broadcast(x) for x in phrase_blocks(benchmark, window, block_bytes)]
-    for phrases in blocks or [spark.sparkContext.broadcast(Phrases([], window))]:
+    for phrases in _broadcast_blocks(docs, benchmark, window, block_words):
         def run(batches: Iterator[pa.RecordBatch], phrases=phrases) -> Iterator[pa.RecordBatch]:
+            of = _hits(phrases.value)
             for batch in batches:
                 for i, j in doc_blocks(utf8_parts(string_column(batch, "_text"))[1], SLICE_BYTES):
                     part = batch.slice(i, j - i)
-                    w = [words(t) for t in string_column(part, "_text").to_pylist()]
-                    found = find_hits(w, phrases.value)
                     cols = {name: part.column(i) for i, name in enumerate(part.schema.names)}
-                    cols["n_words"] = pa.array([len(t) for t in w], pa.int64())
-                    cols["items"] = pa.array([sorted({*a, *b[1]}) for a, b in zip(cols["items"].to_pylist(), found)], pa.list_(pa.int64()))
-                    cols["spans"] = pa.array([_join([*map(list, a), *b[0]]) for a, b in zip(cols["spans"].to_pylist(), found)],
-                                             pa.list_(pa.list_(pa.int64())))
+                    cols["n_words"], cols["items"], cols["spans"] = of(string_column(part, "_text"), cols["items"], cols["spans"])
                     yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
         out = out.mapInArrow(run, schema)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    return out.withColumn("n_hit", hit).select(*keep, "n_words", "n_hit", "items", "spans")
+    return out.withColumn("n_hit", _n_hit("spans")).select(*keep, "n_words", "n_hit", "items", "spans")
+
+
+def _n_hit(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
+
+
+def _broadcast_blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> list:
+    share = docs.sparkSession.sparkContext.broadcast
+    return [share(vars(x)) for x in phrase_blocks(benchmark, window, block_words)] or [share(vars(Phrases([], window)))]
+
+
+def _hits(state: dict) -> Callable[[pa.Array, pa.Array, pa.Array], tuple[pa.Array, pa.Array, pa.Array]]:
+    """A function from texts, and the items and spans found before, to n_words, items and spans."""
+    phrases = rebuilt(Phrases, state)
+
+    def of(texts: pa.Array, items: pa.Array, spans: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+        w = [words(t) for t in texts.to_pylist()]
+        found = find_hits(w, phrases)
+        return (pa.array([len(t) for t in w], pa.int64()),
+                pa.array([sorted({*a, *b[1]}) for a, b in zip(items.to_pylist(), found)], items.type),
+                pa.array([_join([*map(list, a), *b[0]]) for a, b in zip(spans.to_pylist(), found)], pa.list_(pa.list_(pa.int64()))))
+
+    return of
+
+
+def hit_columns(docs: DataFrame, text: str, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, into: str = "_found") -> DataFrame:
+    """``docs`` plus struct ``into`` (n_words, n_hit, items, spans): only the text goes to Python, and only the hits come back."""
+    names = ["n_words", "items", "spans"]
+    out = docs.withColumn(into, F.struct(F.lit(0).cast("long").alias("n_words"), F.expr(f"CAST(array() AS array<{_item_type(benchmark)}>)").alias("items"),
+                                         F.expr("CAST(array() AS array<array<bigint>>)").alias("spans")))
+    for phrases in _broadcast_blocks(docs, benchmark, window, block_words):
+        @F.arrow_udf(f"struct<n_words:bigint,items:array<{_item_type(benchmark)}>,spans:array<array<bigint>>>")
+        def run(cols: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            of = _hits(phrases.value)
+            for texts, items, spans in cols:
+                texts = pc.fill_null(texts, "")
+                parts = [of(texts.slice(i, j - i), items.slice(i, j - i), spans.slice(i, j - i))
+                         for i, j in doc_blocks(utf8_parts(texts)[1], SLICE_BYTES) or [(0, 0)]]
+                yield pa.StructArray.from_arrays([pa.concat_arrays([p[x] for p in parts]) for x in range(3)], names)
+
+        out = out.withColumn(into, run(F.col(text).cast("string"), F.col(f"{into}.items"), F.col(f"{into}.spans")))
+    return out.withColumn(into, F.col(into).withField("n_hit", _n_hit(f"{into}.spans")))
 
 
 def contaminated(n_hit: str = "n_hit", n_words: str = "n_words") -> Column:

@@ -92,7 +92,7 @@ def brute_hits(text, items, window=13):
     return len(w), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block", [1 << 24, 200])
+@pytest.mark.parametrize("block", [1 << 18, 40])
 def test_contamination_equals_brute_force(spark, block):
     rng = random.Random(4)
     vocab = [f"v{i}" for i in range(9)] + ["Été", "x7"]
@@ -101,7 +101,7 @@ def test_contamination_equals_brute_force(spark, block):
     texts += ["pre " + (items[k][1] or "") + " post " + (items[k][1] or "").upper() for k in range(14)] + [None, ""]
     docs = list(enumerate(texts))
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    got = {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in decontam.contamination(df, bench, block_bytes=block).collect()}
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], list(r["items"])) for r in decontam.contamination(df, bench, block_words=block).collect()}
     assert got == {d: brute_hits(t, items) for d, t in docs}
 
 
