@@ -60,6 +60,7 @@ def _span_list(spans: Column) -> Column:
 
 @query("op5_pii")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_email, n_ip, n_card and n_phone count base spans; n_added counts those that the method adds."""
     docs = table(spark, sf_dir, "documents")
     found = pii.find(docs, pii.train(docs))
     order = F.create_map(*[F.lit(x) for pair in ((k, i) for i, k in enumerate(pii.KINDS)) for x in pair])
@@ -205,9 +206,11 @@ h AS (SELECT k.*, xor(list_reduce(list_prepend(4294967295, list_transform(range(
                                   lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295) % 20 AS f FROM k, tab),
 d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
       FROM h, range(2) AS x(copy) WHERE f <> 0 AND (copy = 0 OR f = 3)),
-o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, NOT regexp_matches(text, '[^ 	-]') AS blank FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i, NOT regexp_matches(text, '[^ 	-
+]') AS blank FROM d),
 q AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o),
-e AS (SELECT *, NOT blank AND NOT seen AS stays, CASE WHEN NOT blank AND NOT seen AND NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 1 ELSE 0 END AS cut FROM q),
+e AS (SELECT *, NOT blank AND NOT seen AS stays, CASE WHEN NOT blank AND NOT seen AND NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 1 ELSE 0 END AS cut FROM q),
 s AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (seen AND NOT blank) AS duplicate,
              sum(cut) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM e GROUP BY conv_id),
 r AS (SELECT conv_id, n + 1 AS i, {base} FROM s
