@@ -4,9 +4,10 @@ Vectors are cut in two halves, each half quantised by its own k-means; the pair
 of nearest centroids is a vector's cell. A query walks the cells in order of the
 summed distances of its two halves to their centroids with a heap, until the
 cells it has met hold ``candidates`` vectors or ``share`` of all, whichever is
-more, and all their entries are reranked by exact distance. The default share
-reaches recall 0.9 on vectors without any cluster structure (uniform on a
-sphere in 64 dimensions); clustered vectors need far less.
+more, and all their entries are reranked by exact distance. The share is the least
+that meets ``recall`` of the neighbours inside the training sample: about 0.4 on
+vectors without any cluster structure (uniform on a sphere in 64 dimensions), a few
+hundredths on clustered ones.
 
 The codebooks are fitted on a bounded sample (``train_rows``); every row is
 indexed. The driver holds codebooks and cell sizes only (cells = centroids
@@ -33,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, written
+from .common import mix64, rebuilt, written
 
-CENTROIDS, TRAIN_ROWS, CANDIDATES, SHARE, BLOCK, K = 64, 8192, 6000, 0.4, 2048, 10
+CENTROIDS, TRAIN_ROWS, CANDIDATES, RECALL, BLOCK, K = 64, 8192, 640, 0.95, 2048, 10
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -117,14 +118,36 @@ class MultiIndex:
         return out
 
 
+def needed_share(index: MultiIndex, sample: np.ndarray, k: int, recall: float, queries: int = 256) -> float:
+    """The share of all vectors that must be visited so that ``recall`` of the k nearest are met, measured inside the sample.
+
+    Neighbours in the whole table are nearer than those in the sample and so lie in nearer cells: the share is on the safe side."""
+    q = sample[:: max(1, len(sample) // queries)][:queries]
+    cell = index.cell(sample)
+    size = np.bincount(cell, minlength=len(index.size))
+    a, b = index.distances(q)
+    d = (q * q).sum(1)[:, None] - 2 * q @ sample.T + (sample * sample).sum(1)
+    near = np.argpartition(d, min(k, len(sample) - 1), axis=1)[:, :k + 1]
+    need = []
+    for x in range(len(q)):
+        order = np.argsort((a[x][:, None] + b[x][None, :]).ravel(), kind="stable")
+        met = np.empty(len(order))
+        met[order] = np.cumsum(size[order])
+        mine = near[x][np.argsort(d[x][near[x]], kind="stable")][1:]  # without itself
+        need.append(met[cell[mine]])
+    return float(min(1.0, np.quantile(np.concatenate(need), recall) / len(sample))) if need and len(sample) > 1 else 1.0
+
+
 def _matrix(col: pa.Array) -> np.ndarray:
     flat = col.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(col), -1) if len(col) else np.zeros((0, 0))
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = K, centroids: int = CENTROIDS, candidates: int = CANDIDATES,
-            share: float = SHARE, train_rows: int = TRAIN_ROWS, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score (Euclidean distance) of each query's k nearest found."""
+            share: float | None = None, recall: float = RECALL, train_rows: int = TRAIN_ROWS, block: int = BLOCK) -> DataFrame:
+    """query_id, rank, vec_id, score (Euclidean distance) of each query's k nearest found.
+
+    ``share`` of all vectors are visited for a query, by default the least that meets ``recall`` in the sample."""
     spark = rows.sparkSession
     data = usable(rows)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -135,31 +158,35 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, centroids: int = CENT
     sample = data.filter(draw < 1.2 * train_rows / total).limit(2 * train_rows).toArrow().sort_by("vec_id")
     if not sample.num_rows:
         sample = data.orderBy("vec_id").limit(train_rows).toArrow()
-    index = MultiIndex(_matrix(sample.column("v").combine_chunks()), centroids)
-    books = spark.sparkContext.broadcast(index)
+    points = _matrix(sample.column("v").combine_chunks())
+    index = MultiIndex(points, centroids)
+    share = needed_share(index, points, k, recall) if share is None else share
+    books = spark.sparkContext.broadcast(dict(vars(index)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = rebuilt(MultiIndex, books.value)
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(books.value.cell(_matrix(b.column(1))).astype(np.int32))],
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(index.cell(_matrix(b.column(1))).astype(np.int32))],
                                                  names=["vec_id", "v", "cell"])
 
     entries = written(data.mapInArrow(assign, "vec_id long, v array<double>, cell int"), "entries")
     for r in entries.groupBy("cell").count().collect():
         index.size[r["cell"]] = r["count"]
     index.cut(block)
-    sized = spark.sparkContext.broadcast(index)
+    sized = spark.sparkContext.broadcast(dict(vars(index)))
     wanted = max(candidates, int(share * total))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = rebuilt(MultiIndex, sized.value)
         for b in batches:
             cell = b.column(2).to_numpy()
             spread = (mix64(b.column(0).to_numpy().view(np.uint64)) >> np.uint64(33)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sized.value.first[cell] + spread % sized.value.parts[cell])],
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(index.first[cell] + spread % index.parts[cell])],
                                              names=["vec_id", "v", "cell", "part"])
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = sized.value
+        index = rebuilt(MultiIndex, sized.value)
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
@@ -174,6 +201,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = K, centroids: int = CENT
                      pa.array([r[2] for r in rows], pa.list_(pa.int32()))], names=["query_id", "v", "part", "cells"])
 
     asked = data.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))  # an id asked twice is one query
+    # by count, not by bytes: a query is few bytes but much probing
+    asked = asked.repartition(max(1, -(-data.filter(is_query).count() // 64)))
     met = written(asked.mapInArrow(probes, "query_id long, v array<double>, part long, cells array<int>"), "probes")
     # queries on a block are cut into chunks of about ``block`` too; every chunk meets the whole block
     grid = written(met.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks")), "grid")
