@@ -5,7 +5,8 @@ themselves. Their embedding vectors are averaged and a two-class softmax reads
 the average; embeddings and softmax are trained together by AdaGrad in one
 task, on a bounded sample of labelled rows of the training fold (at most about
 ``toxic_rows`` and ``clean_rows``, picked by a hash of the id). A misspelling
-never seen shares n-gram vectors with its seen form.
+never seen shares n-gram vectors with its seen form; digits and signs between
+letters (``id1ot``, ``st*pid``) stay in the word, read as the letter they look like.
 
 As the softmax is linear in the average, a trained n-gram contributes one
 number; whole texts are scored in one narrow pass with that table broadcast
@@ -20,11 +21,13 @@ scored one by one. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +37,17 @@ BUCKETS, DIM, EPOCHS, TOXIC_ROWS, CLEAN_ROWS, GRAMS = 1 << 18, 8, 12, 2000, 4000
 #: Weight of one trained padding vector in every bag, so that a few odd n-grams cannot decide a very short text.
 PAD = 50
 THRESHOLD = 0.7
-_SPLIT = bytes(32 if x < 128 and not chr(x).isalpha() else x for x in range(256))
+#: Digits and signs between letters that stand for a letter; others separate words.
+_LIKE = {b"0": b"o", b"1": b"i", b"3": b"e", b"4": b"a", b"5": b"s", b"7": b"t", b"@": b"a", b"$": b"s", b"!": b"i", b"*": b"_"}
+_INSIDE = re.compile(rb"(?<=[a-z\x80-\xff])[013457@$!*](?=[a-z\x80-\xff])")
+_SPLIT = bytes(32 if x < 128 and not chr(x).isalpha() and x != ord("_") else x for x in range(256))
 
 
 def words(text: str | None) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").translate(_SPLIT).split() if text else []
+    if not text:
+        return []
+    raw = text.lower().replace("_", " ").encode("utf-8", "replace")
+    return _INSIDE.sub(lambda m: _LIKE[m[0]], raw).translate(_SPLIT).split()
 
 
 def subwords(vocab: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +88,7 @@ class Vocabulary:
 
 
 def bags(docs: DataFrame, buckets: int) -> DataFrame:
-    """doc_id, toxic, ids, shares: distinct subword ids of each (sampled) document and, last, the padding, with their weights in the average."""
+    """doc_id, toxic, h (hash of the text), ids, shares: distinct subword ids of each (sampled) document and, last, the padding, with their weights in the average."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,10 +100,11 @@ def bags(docs: DataFrame, buckets: int) -> DataFrame:
                 u, at = np.unique(ids, return_inverse=True)
                 n = np.append(np.bincount(at, weights=np.repeat(times, np.diff(off))), PAD)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(x, 1), batch.column(1).slice(x, 1), pa.array([np.append(u, buckets).astype(np.int32)], pa.list_(pa.int32())),
-                     pa.array([(n / n.sum()).astype(np.float32)], pa.list_(pa.float32()))], names=["doc_id", "toxic", "ids", "shares"])
+                    [batch.column(0).slice(x, 1), batch.column(1).slice(x, 1), batch.column(3).slice(x, 1), pa.array([np.append(u, buckets).astype(np.int32)], pa.list_(pa.int32())),
+                     pa.array([(n / n.sum()).astype(np.float32)], pa.list_(pa.float32()))], names=["doc_id", "toxic", "h", "ids", "shares"])
 
-    return docs.select("doc_id", "toxic", "text").mapInArrow(run, "doc_id long, toxic int, ids array<int>, shares array<float>")
+    return docs.select("doc_id", "toxic", "text", F.xxhash64("text").alias("h")).mapInArrow(
+        run, "doc_id long, toxic int, h long, ids array<int>, shares array<float>")
 
 
 class Scorer(NamedTuple):
@@ -182,6 +192,8 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKE
     picked = of.filter(keep).limit(2 * (toxic_rows + clean_rows))  # the draw keeps about half of that; this bounds the broadcast
     rows = bags(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(picked), "doc_id"), buckets)
+    # an id may be on many rows: its copies count once, and the limit bounds the rows too
+    rows = rows.dropDuplicates(["doc_id", "h"]).limit(2 * (toxic_rows + clean_rows))
     shares_of = np.array([size[0], size[1]])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKE
         if not some:
             return
         rows = pa.Table.from_batches(some)
-        order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+        order = np.lexsort((rows.column("h").to_numpy(), rows.column("doc_id").to_numpy()))
         y = rows.column("toxic").to_numpy().astype(np.int64)[order]
         if len(np.unique(y)) < 2:
             return
@@ -211,36 +223,59 @@ def train(docs: DataFrame, labels: DataFrame, fold: Column, buckets: int = BUCKE
     return Scorer(np.frombuffer(bytes(found[0]["subwords"]), np.float32), found[0]["slope"], found[0]["offset"]) if found else nothing
 
 
+def _scores(state: tuple) -> Callable[[pa.Array], np.ndarray]:
+    """A function that scores an array of texts; words it has met are looked up."""
+    table, slope, offset = state
+    buckets = len(table) - 1
+
+    def of_words(vocab: list[bytes]) -> np.ndarray:
+        out = []
+        for x in range(0, len(vocab), 20_000):
+            ids, off = subwords(vocab[x:x + 20_000], buckets)
+            out.append(np.stack([np.add.reduceat(table[ids].astype(np.float64), off[:-1]), np.diff(off)], 1))
+        return np.concatenate(out)
+
+    lookup = Vocabulary(of_words)
+
+    def of(col: pa.Array) -> np.ndarray:
+        found = [np.zeros(0)]
+        for i, j in doc_blocks(utf8_parts(col)[1], 1 << 22):
+            each = [words(t) for t in col.slice(i, j - i).to_pylist()]
+            size = np.array([len(w) for w in each])
+            z = np.full(j - i, float(table[-1]))
+            some = np.flatnonzero(size)
+            if len(some):
+                sums = np.add.reduceat(lookup([w for ws in each for w in ws]), np.concatenate([[0], np.cumsum(size[some])[:-1]]), axis=0)
+                z[some] = (sums[:, 0] + PAD * table[-1]) / (sums[:, 1] + PAD)
+            found.append(1 / (1 + np.exp(-np.clip(slope * z + offset, -60, 60))))
+        return np.concatenate(found)
+
+    return of
+
+
 def score(docs: DataFrame, model: Scorer, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus score (0 to 1) of every whole text."""
     small = docs.sparkSession.sparkContext.broadcast(tuple(model))
-    buckets = len(model.table) - 1
     source = docs.select(*keep, F.col("text").cast("string").alias("_text"), F.lit(0.0).alias("score"))
     schema = source.drop("_text").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, slope, offset = small.value
-
-        def of_words(vocab: list[bytes]) -> np.ndarray:
-            out = []
-            for x in range(0, len(vocab), 20_000):
-                ids, off = subwords(vocab[x:x + 20_000], buckets)
-                out.append(np.stack([np.add.reduceat(table[ids].astype(np.float64), off[:-1]), np.diff(off)], 1))
-            return np.concatenate(out)
-
-        lookup = Vocabulary(of_words)
+        of = _scores(small.value)
         for batch in batches:
-            col = string_column(batch, "_text")
-            for i, j in doc_blocks(utf8_parts(col)[1], 1 << 22):
-                each = [words(t) for t in col.slice(i, j - i).to_pylist()]
-                size = np.array([len(w) for w in each])
-                z = np.full(j - i, float(table[-1]))
-                some = np.flatnonzero(size)
-                if len(some):
-                    sums = np.add.reduceat(lookup([w for ws in each for w in ws]), np.concatenate([[0], np.cumsum(size[some])[:-1]]), axis=0)
-                    z[some] = (sums[:, 0] + PAD * table[-1]) / (sums[:, 1] + PAD)
-                p = 1 / (1 + np.exp(-np.clip(slope * z + offset, -60, 60)))
-                cols = [batch.column(x).slice(i, j - i) for x in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(p, pa.float64())], names=[*keep, "score"])
+            cols = [batch.column(x) for x in range(len(keep))]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(of(string_column(batch, "_text")), pa.float64())], names=[*keep, "score"])
 
     return source.mapInArrow(run, schema)
+
+
+def score_column(docs: DataFrame, text: Column, model: Scorer) -> Column:
+    """The score as a column: only the text goes to Python, and only the score comes back."""
+    small = docs.sparkSession.sparkContext.broadcast(tuple(model))
+
+    @F.arrow_udf("double")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of = _scores(small.value)
+        for col in texts:
+            yield pa.array(of(pc.fill_null(col, "") if col.null_count else col), pa.float64())
+
+    return run(text.cast("string"))

@@ -51,6 +51,27 @@ def test_index_recall_and_exact_scores(spark):
     assert len(ann.nearest(twice, F.col("vec_id") % 100 == 0).collect()) == 6
 
 
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_recall_where_the_index_prunes(spark, clusters):
+    """Far fewer vectors are visited than there are, and nine tenths of the neighbours are found."""
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(12_000, 24))
+    if clusters:
+        v = rng.normal(size=(clusters, 24))[rng.integers(0, clusters, 12_000)] * 3 + v * 0.3
+    share = ann.needed_share(ann.MultiIndex(v[:4000], 32), v[:4000], 10, ann.RECALL)
+    assert share < (0.15 if clusters else 0.75)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    by = {}
+    for r in ann.nearest(rows, F.col("vec_id") % 400 == 0, centroids=32, train_rows=4000, block=512).collect():
+        by.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = 0
+    for q, found in by.items():
+        d = ((v - v[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hit += len(found & set(np.argsort(d)[:10].tolist()))
+    assert len(by) == 30 and hit >= 0.9 * 300
+
+
 def test_heap_walks_cells_by_summed_distance():
     rng = np.random.default_rng(0)
     index = ann.MultiIndex(rng.normal(size=(400, 6)), 7)
@@ -124,6 +145,18 @@ def test_toxicity_on_held_out_rows(spark, insults, odd_docs):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_signs_inside_words_stay_in_them():
+    assert toxicity.words("You id1ot, st*pid l0ser! a1 1b 3 $5 x_y M1X") == [b"you", b"idiot", b"st_pid", b"loser", b"a", b"b", b"x", b"y", b"mix"]
+
+
+def test_copies_of_one_id_do_not_fill_the_sample(spark, insults):
+    """A third of all rows repeat one labelled document: the model is that of the table without the copies."""
+    docs, labels = insults[0], insults[1]
+    one = docs.limit(1).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.lit(500))).alias("_n")).drop("_n")
+    plain, heavy = (toxicity.train(d, labels, F.lit(True)) for d in (docs, docs.unionByName(one)))
+    assert np.array_equal(plain.table, heavy.table)
+
+
 # --- personal data ---------------------------------------------------------------------------
 
 def plain_spans(text):
@@ -200,6 +233,42 @@ def test_every_text_reaches_the_generators(spark):
             [("email", "JOHN AT EXAMPLE DOT COM")], [("email", texts[1])], [("email", texts[2])], [("email", texts[3])], [], []]
 
 
+def test_unseen_formats_and_names_are_found(spark):
+    """Recall and precision of added spans by kind, on names, numbers and frames that no training row has."""
+    model = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rng = random.Random(77)
+    n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    frames = ["my {} ok", "please use {} if you can", "{}", "contact: {}, thanks", "we wrote {} down. Then left", "(see {})"]
+
+    def made(kind):
+        if kind == "email":
+            at, dot = rng.choice([" [at] ", "[at]", " (at) ", " at ", " @ ", "{at}"]), rng.choice([" [dot] ", ".", " dot ", "(dot)"])
+            return rng.choice(["ortrud.venkman", "mia_98", "qux", "j.p.doyle", "hello-there"]) + at + rng.choice(
+                ["zyx.co", "mail.blorp.net", "q-site.org", "uni.ab.edu"]).replace(".", dot)
+        if kind == "ip":
+            return rng.choice(["[.]", " . ", "(dot)"]).join(str(rng.randint(1, 255)) for _ in range(4))
+        if kind == "card":
+            d = n(15)
+            d = next(d + c for c in "0123456789" if pii.luhn(d + c))
+            return rng.choice([".", "_", "/", " - "]).join(d[i:i + 4] for i in range(0, 16, 4))
+        a, b, c = str(rng.randint(2, 9)) + n(2), n(3), n(4)
+        return rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"1-{a}-{b}-{c}", f"({a}) {b} {c}"])
+
+    for kind in pii.KINDS:
+        found = wrong = 0
+        for _ in range(200):
+            span, frame = made(kind), rng.choice(frames)
+            text, at = frame.format(span), frame.index("{}")
+            base = pii.base_spans(text)
+            got = [(k, a, z) for k, a, z in base + pii.added_spans(text, base, *model)]
+            found += any(k == kind and a <= at and z >= at + len(span) for k, a, z in got)
+            wrong += sum(z <= at or a >= at + len(span) or k != kind for k, a, z in got)
+        assert found >= 180 and wrong <= 10, (kind, found, wrong)
+    calm = ["look at this. And so on", "meet at noon. Then left", "version 3.14.15 of 2021-03-14", "order 12345678 costs $1,234.50", "ISBN 978-3-1234-5678-9",
+            "ratio 0.123456", "on 2024-05-06 10:11:12.123456", "id=8812739921", "score 3:2, page 77", "1,000,000 rows in 2020", "total 2020 2021 2022 2023"]
+    assert sum(bool(pii.added_spans(f.format(c), [], *model)) for c in calm for f in frames) <= 2
+
+
 def test_op5_digest(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     for r in QUERIES["op5_pii"](spark, SF).collect():
@@ -273,7 +342,7 @@ def test_query_equals_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     cols = sorted(df.columns)
@@ -286,7 +355,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stages(spark, odd_docs):
