@@ -9,14 +9,12 @@ but the last return the columns of documents.
 4. personal data: spans are replaced by their kind in brackets, documents stay;
 5. mixing: how many words the mix takes from each document.
 
-There is no SQL for the trained stages, so ORACLE_SQL is None; tests hold every
-stage against a brute-force version.
+There is no SQL for the trained stages, so ORACLE_SQL is None; tests run the whole
+pipeline and hold each stage's decisions against its operator's brute-force version.
 """
 
 from __future__ import annotations
 
-
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +25,14 @@ ORACLE_SQL = None
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """The text beside the whole row, so that no column of the documents can clash with one of an operator."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return docs.select(row.alias("_row"), F.col("text"))
+    """The whole row as one struct, so that no column of the documents can clash with one of an operator."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_mod("doc_id", 3) != 1)
-    return toxicity.score(_packed(docs), model, keep=("_row",)).filter(F.col("score") < toxicity.THRESHOLD).select("_row.*")
+    rows = _packed(docs)
+    return rows.filter(toxicity.score_column(rows, F.col("_row.text"), model) < toxicity.THRESHOLD).select("_row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,17 +42,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontam.contamination(_packed(docs), table(spark, sf_dir, "benchmark"), keep=("_row",))
-    return found.filter(~decontam.contaminated()).select("_row.*")
+    found = decontam.hit_columns(_packed(docs), "_row.text", table(spark, sf_dir, "benchmark"))
+    return found.filter(~decontam.contaminated("_found.n_hit", "_found.n_words")).select("_row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = pii.find(_packed(docs), pii.train(docs), keep=("_row",))
-    clean = pii.redacted(F.col("_row.text"))
+    rows = _packed(docs)
+    found = rows.withColumn("_found", pii.span_column(rows, F.col("_row.text"), pii.train(docs)))
+    clean = found.withColumn("_clean", pii.redacted(F.col("_row.text"), "_found.base", "_found.added"))
     size = F.length("_clean").cast(docs.schema["n_chars"].dataType)
-    new = found.withColumn("_clean", clean).withColumn("_row", F.when(F.size("base") + F.size("added") > 0, F.col("_row").withField(
-        "text", F.col("_clean")).withField("n_chars", size)).otherwise(F.col("_row")))
-    return new.select("_row.*")
+    new = F.when(F.size("_found.base") + F.size("_found.added") > 0, F.col("_row").withField("text", F.col("_clean")).withField("n_chars", size))
+    return clean.withColumn("_row", new.otherwise(F.col("_row"))).select("_row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
