@@ -28,6 +28,12 @@ def names(spark: SparkSession, root: str, pattern: str = "*") -> list[str]:
     return sorted(st.getPath().getName() for st in fs.globStatus(p) or ())
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, as a mark that something is done."""
+    p, fs = _path(spark, path)
+    fs.create(p, True).close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove one folder and what is in it."""
     p, fs = _path(spark, path)

@@ -196,39 +196,41 @@ def stream_decisions(spark: SparkSession, landing: str, decisions_path: str, che
     late are decided as part of their own drain. A file with an unreadable record
     is skipped whole, in however many micro-batches its parts came (:class:`Staging`).
 
-    After a failure the stream replays its last micro-batch into the same folder
-    and the drain that was not finished is decided anew, together with what
-    landed since; its unfinished run, delta and ids are overwritten or ignored."""
+    After a failure the stream replays its last micro-batch into the same folder.
+    A drain is done when its mark is there, after its run, gate and ids; one whose
+    run was written without the mark is decided again from the same staged rows,
+    which gives the same run, before what has landed since is decided as the next."""
     root = decisions_path.rstrip("/")
     held = Staging(spark, f"{root}_staged", quarantine)
     n = drain(landing_stream(spark, landing, max_files=max_files), checkpoint, held.stage)
-    done = I.epochs(spark, root)
-    todo = held.pending(done[-1] if done else -1)
-    if todo:
-        _decide(spark, root, held.take(todo), todo[-1], len(done), as_of, fanout)
-        held.trim(todo[0])  # the micro-batches of the drains before
+    done = sorted(int(x) for x in files.names(spark, f"{root}_state/done") if x.isdigit())
+    last = done[-1] if done else -1
+    cut_short = [e for e in I.epochs(spark, root) if e > last]
+    todo = held.pending(last)
+    for part in ([e for e in todo if e <= cut_short[-1]], [e for e in todo if e > cut_short[-1]]) if cut_short else (todo,):
+        if part:
+            _decide(spark, root, held.take(part), part[-1], len(done), as_of, fanout)
+            held.trim(part[0])  # the micro-batches of the drains before
+            done.append(part[-1])
     return n
 
 
 def _decide(spark: SparkSession, root: str, rows: DataFrame, epoch: int, number: int, as_of, fanout: int | None) -> None:
-    """Decide drain ``number`` and append it as run ``epoch``.
+    """Decide drain ``number`` from its staged rows, append it as run ``epoch`` and take it into gate and ids.
 
-    The run of the log is written last, after gate and ids have their runs: until
-    it is there, the drain counts as not decided, and gate and ids of a drain are
-    only read by later ones."""
+    The staged rows are on file, so their size decides the joins with the state. Gate and ids of a drain are only
+    read by later ones; what a failed attempt left of them is written anew."""
     gate, ids = (f(spark, f"{root}_state", fanout) for f in (version_gate, decided_ids))
     gate.trim(number), ids.trim(number)
-    drained, decided = f"{root}_state/drain/epoch={epoch}", f"{root}_state/decided/epoch={epoch}"
-    # written, as the file's size decides the joins with the state
-    staged = STT.materialize(D.dedup_first(rows, "message_id", ("loaded_at", "file_name")), drained)
-    seen = ids.lookup(number, staged.select("message_id"))
-    state = gate.lookup(number, staged.select("trade_id"))
-    new = staged.join(seen, "message_id", "left_anti") if seen is not None else staged
-    out = STT.materialize(D.evaluate_drain(new, None, as_of, state=state, dedup=False).select(*D.DECISION_COLUMNS), decided)
+    seen = ids.lookup(number, rows.select("message_id"))
+    state = gate.lookup(number, rows.select("trade_id"))
+    first = D.dedup_first(rows, "message_id", ("loaded_at", "file_name"))
+    new = first.join(seen, "message_id", "left_anti") if seen is not None else first
+    I.append(D.evaluate_drain(new, None, as_of, state=state, dedup=False).select(*D.DECISION_COLUMNS), root, epoch)
+    out = I.read_appended(spark, root, since=epoch, before=epoch + 1)
     gate.add(D.known_state(out), number)
     ids.add(out.select("message_id"), number)
-    I.append(out, root, epoch)
-    files.remove(spark, drained), files.remove(spark, decided)
+    files.touch(spark, f"{root}_state/done/{epoch}")
 
 
 # --- X4: hourly counts in event time ---------------------------------------------------------

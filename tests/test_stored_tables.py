@@ -208,6 +208,23 @@ def test_drain_that_was_cut_short_is_decided_again(spark, monkeypatch):
     assert sorted(map(str, got.collect())) == want
 
 
+def test_run_without_its_mark_is_written_again_alike(spark, monkeypatch):
+    """The run of a drain is on file, its ids are not: the next call decides the same rows as the same run, then the new ones."""
+    landing, out, ckpt = (unique_dir(spark, "test", n) for n in ("landing", "log", "ckpt"))
+    dl = deliveries(spark, SF_SMALL).filter("batch_id < 2")
+    J.land_messages(dl.filter("batch_id = 0"), landing)
+    with monkeypatch.context() as m:
+        m.setattr(J, "decided_ids", lambda *a: type("Broken", (), {"trim": lambda *_: 0, "lookup": lambda *_: None, "add": lambda *_: 1 / 0})())
+        with pytest.raises(ZeroDivisionError):
+            J.stream_decisions(spark, landing, out, ckpt, T.AS_OF)
+    first = sorted(map(str, I.read_appended(spark, out).collect()))
+    J.land_messages(dl.filter("batch_id = 1"), landing)
+    J.stream_decisions(spark, landing, out, ckpt, T.AS_OF)
+    assert I.epochs(spark, out) == [0, 1]
+    assert sorted(map(str, I.read_appended(spark, out, before=1).collect())) == first
+    assert I.read_appended(spark, out).count() == dl.select("message_id").distinct().count()
+
+
 def test_bad_file_is_skipped_in_later_drains_too(spark):
     landing, out, ckpt, aside = (unique_dir(spark, "test", n) for n in ("landing", "log", "ckpt", "aside"))
     dl = deliveries(spark, SF_SMALL).filter("batch_id = 1")
