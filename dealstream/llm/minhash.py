@@ -265,6 +265,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     nodes = bucket.select(F.col("node").alias("doc_id")).distinct()
     texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         nodes, "doc_id", "left_semi"), "texts")
+    # rows that repeat an id and a text are one set to compare; without repeated ids nothing is shuffled for it
+    often = written(live.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "often")
+    if not often.isEmpty():
+        texts = written(texts.join(often, "doc_id", "left_anti").unionByName(
+            texts.join(often, "doc_id", "left_semi").withColumn("h", F.sha2("text", 256)).dropDuplicates(["doc_id", "h"]).drop("h")), "texts")
     same_id = member.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a != b").select("a", "b")
     repeated = member.join(same_id.select(F.col("a").alias("low"), "b"), member.rep == F.col("b")).select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
     similar = f"100 * least(x.n, y.n) >= {int(percent)} * greatest(x.n, y.n)"  # sets of unlike size cannot be linked
