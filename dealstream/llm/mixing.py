@@ -75,8 +75,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repea
     live = queue.filter("target > 0")
     entries = live.withColumn("e", F.explode(F.sequence(F.lit(1), F.lit(max_repeats)))).select("size", entry(F.col("e")).alias("entry"))
     entries = entries.withColumn("slot", F.floor(F.col("entry.time") * buckets))
-    run = entries.groupBy("slot").agg(F.sum("size").alias("words")).withColumn("until", F.sum("words").over(Window.orderBy("slot")))
-    cut = run.filter(F.col("until") > budget).orderBy("slot").first()
+    # two levels: the window over all time sees one row per ``buckets`` slots, the other only the slots of one of them
+    run = entries.groupBy("slot").agg(F.sum("size").alias("words")).withColumn("span", F.floor(F.col("slot") / buckets))
+    spans = run.groupBy("span").agg(F.sum("words").alias("words")).withColumn("until", F.sum("words").over(Window.orderBy("span")))
+    wide = spans.filter(F.col("until") > budget).orderBy("span").first()
+    cut = None
+    if wide is not None:
+        slots = run.filter(F.col("span") == wide["span"]).withColumn(
+            "until", F.sum("words").over(Window.orderBy("slot")) + F.lit(wide["until"] - wide["words"]))
+        cut = slots.filter(F.col("until") > budget).orderBy("slot").first()
     admitted = F.lit(max_repeats)
     if cut is not None:
         inside = F.sum("size").over(Window.partitionBy("slot").orderBy("entry").rowsBetween(Window.unboundedPreceding, Window.currentRow))
