@@ -143,6 +143,7 @@ def _member(w: _Window, at: int) -> tuple[bytes, int]:
     """The member at ``at`` in full, and the place after it."""
     z, out = zlib.decompressobj(31), []
     while not z.eof:
+        w.drop(at)  # what is read of a long record is not kept as bytes of the file too
         if not w.need(at + 1):
             raise ValueError("archive ends inside a record")
         piece = w.data[at - w.base:]
