@@ -100,10 +100,15 @@ def train_counts(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
         run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
+LANGUAGES = 1024  # 128 MB of log-probabilities
+
+
 def identify(docs: DataFrame, train: Column, buckets: int = BUCKETS, smooth: float = SMOOTH) -> DataFrame:
     """doc_id, lang_pred, score for every row; ``train`` marks the rows that may be learned from."""
     counted = train_counts(docs.filter(train & F.col("lang").isNotNull() & F.col("text").isNotNull()), buckets).toArrow()
     langs = sorted(set(counted.column("lang").to_pylist()))
+    if len(langs) > LANGUAGES:
+        raise ValueError(f"{len(langs)} languages; the matrix is broadcast and made for at most {LANGUAGES}")
     matrix = np.zeros((buckets, len(langs)), np.float64)
     prior = np.zeros(len(langs))
     if langs:
