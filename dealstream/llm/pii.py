@@ -9,36 +9,42 @@ its context (neighbouring characters, nearby key words), scored by boosted
 trees, and kept if it reaches its kind's threshold; of overlapping ones the best
 stays, and none may touch a base span.
 
-There are no hand labels: the trees learn from a bounded sample (``sample_rows``
-rows, ``excerpts`` excerpts) in which base spans, rewritten in unusual formats and
-with made-up names, in their own sentences or among other words, are positive,
-and both rejected look-alikes and digits with the same shapes but no personal
-meaning (dates, prices, versions, codes) are negative. One task fits the trees. A
+There are no hand labels: the trees learn from the excerpts around every span of
+every row. Base spans, rewritten in unusual formats and with made-up names, in
+their own sentences or among other words, are positive, and both rejected
+look-alikes and digits with the same shapes but no personal meaning (dates,
+prices, versions, codes) are negative. Trees are grown level by level: tasks count
+histograms of their share of the examples, the driver adds them up and splits. A
 fifth of the excerpts, with all that was made of them, sets each kind's threshold
 at ``precision``; a kind that cannot reach it adds nothing.
 
 Offsets are code points. Defined results: null text is empty and has no spans;
-with no base span in the sample nothing is added; repeated rows are judged one by
+with no base span in any row nothing is added; repeated rows are judged one by
 one; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import json
 import random
 import re
+import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_blocks, rebuilt, string_column, utf8_parts
+from .common import doc_blocks, rebuilt, string_column, utf8_parts, written
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_ROWS, EXCERPTS, PER_ROW, PRECISION, CHUNK = 6000, 4000, 20, 0.98, 4096
+PRECISION, CHUNK = 0.98, 4096
+FEATURES, RATIO = 30, 21  # the feature RATIO is a share, the others are counts and flags
+A_TASK, A_BLOCK, A_REDUCE = 1024, 1 << 16, 32  # excerpts a task rewrites, examples a task counts, partial sums the driver adds up itself
+STEPS, UNIT = 4096, float(1 << 20)  # of a score, for the thresholds; of a gradient: whole numbers, whose sums are the same in any order
 
 # The base patterns. A dotted quad cannot start inside a digit run (the rest of the run would
 # fail or match from its start), so the look-behind changes no match and keeps long runs linear.
@@ -163,6 +169,22 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
             float(before in "+(" and before != ""), float(bool(_MORE.match(text, end)))]
 
 
+class _OneBlock:
+    """A single block inside a task, with the steps of an RDD that training takes."""
+
+    def __init__(self, block):
+        self.block = block
+
+    def map(self, f: Callable) -> "_OneBlock":
+        return _OneBlock(f(self.block))
+
+    def persist(self, _level) -> "_OneBlock":
+        return self
+
+    def unpersist(self) -> None:
+        pass
+
+
 class BoostedTrees:
     """Gradient boosting of shallow regression trees on binned features, logistic loss."""
 
@@ -170,46 +192,56 @@ class BoostedTrees:
         self.rounds, self.depth, self.rate, self.bins, self.smallest = rounds, depth, rate, bins, smallest
         self.trees: list[list] = []
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> "BoostedTrees":
-        cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(x.shape[1])]
-        binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], 1)
-        f = np.zeros(len(y))
+    def fit(self, examples: RDD) -> "BoostedTrees":
+        """From blocks of (codes, labels, counts), a job for each level of each tree; of a single block, a task fits the same trees."""
+        if examples.getNumPartitions() > 1:
+            return self._fit(examples)
+        settings = dict(vars(self))
+        self.trees = examples.map(lambda block: rebuilt(BoostedTrees, settings)._fit(_OneBlock(block)).trees).first()
+        return self
+
+    def _fit(self, examples: RDD | _OneBlock) -> "BoostedTrees":
+        cuts = _cuts(_added_up(examples.map(_value_counts)), self.bins)
+        bins = _bin_table(cuts)
+        binned = examples.map(lambda block: (bins[np.arange(FEATURES), block[0]], *block[1:])).persist(StorageLevel.MEMORY_AND_DISK)
+        grown: list[list] = []  # the same trees on bins
         for _ in range(self.rounds):
-            p = 1 / (1 + np.exp(-f))
-            g, h = y - p, p * (1 - p)
-            tree: list = []
-            self._grow(tree, binned, cuts, g, h, np.arange(len(y)), 0, f)
-            self.trees.append(tree)
+            state = binned.map(_gradients(grown, self.depth)).persist(StorageLevel.MEMORY_AND_DISK)
+            grown.append(self._grow(state, cuts))
+            state.unpersist()
+        binned.unpersist()
+        scale = [256 if j == RATIO else 1 for j in range(FEATURES)]
+        self.trees = [[(j, float(cuts[j][v]) / scale[j], a, z) if j >= 0 else (j, v, a, z) for j, v, a, z in tree] for tree in grown]
         return self
 
-    def _grow(self, tree: list, b: np.ndarray, cuts: list, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int, f: np.ndarray) -> int:
-        node = len(tree)
-        tree.append(None)
-        gs, hs = g[rows].sum(), h[rows].sum()
-        best = (1e-6, None, None)
-        if depth < self.depth and len(rows) >= 2 * self.smallest:
-            for j, c in enumerate(cuts):
-                if not len(c):
-                    continue
-                n = len(c) + 1
-                gl, hl = (np.cumsum(np.bincount(b[rows, j], weights=w[rows], minlength=n))[:-1] for w in (g, h))
-                k = np.cumsum(np.bincount(b[rows, j], minlength=n))[:-1]
+    def _grow(self, state: RDD | _OneBlock, cuts: list) -> list:
+        """One tree, a level a job; inner nodes hold the bin they split after."""
+        tree: list = [None]
+        level = [0]
+        for depth in range(self.depth):
+            sums = _added_up(state.map(_histograms(list(tree), level, self.bins)))
+            below: list[int] = []
+            for at, (g, h, k) in zip(level, (sums[:, i] for i in range(len(level)))):
+                g, h = g / UNIT, h / UNIT
+                gs, hs, n = g[0].sum(), h[0].sum(), k[0].sum()
+                gl, hl, kl = (np.cumsum(v, 1)[:, :-1] for v in (g, h, k))
                 gain = gl**2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs**2 / (hs + 1)
-                gain[(k < self.smallest) | (len(rows) - k < self.smallest)] = 0
-                t = int(gain.argmax())
-                if gain[t] > best[0]:
-                    best = (gain[t], j, t)
-        if best[1] is None:
-            value = self.rate * gs / (hs + 1)
-            f[rows] += value
-            tree[node] = (-1, value, 0, 0)
-            return node
-        j, t = best[1], best[2]
-        left = b[rows, j] <= t
-        a = self._grow(tree, b, cuts, g, h, rows[left], depth + 1, f)
-        z = self._grow(tree, b, cuts, g, h, rows[~left], depth + 1, f)
-        tree[node] = (j, float(cuts[j][t]), a, z)
-        return node
+                gain[(kl < self.smallest) | (n - kl < self.smallest)] = 0
+                for j, c in enumerate(cuts):
+                    gain[j, len(c):] = 0
+                j, t = divmod(int(gain.argmax()), gain.shape[1])
+                if n < 2 * self.smallest or gain[j, t] <= 1e-6:
+                    tree[at] = (-1, self.rate * gs / (hs + 1), 0, 0)
+                    continue
+                left, right = (gl[j, t], hl[j, t]), (gs - gl[j, t], hs - hl[j, t])
+                tree[at] = (j, t, len(tree), len(tree) + 1)
+                for gc, hc in (left, right):
+                    below.append(len(tree))
+                    tree.append((-1, self.rate * gc / (hc + 1), 0, 0) if depth == self.depth - 1 else None)
+            level = below
+            if not level:
+                break
+        return tree
 
     def score(self, x: np.ndarray) -> np.ndarray:
         f = np.zeros(len(x))
@@ -225,6 +257,91 @@ class BoostedTrees:
         return 1 / (1 + np.exp(-f))
 
 
+def _codes(x: np.ndarray) -> np.ndarray:
+    """Features as bytes: a cut of codes is one of features (counts above 255 are one value, the share is in 256ths)."""
+    x = x.copy()
+    x[:, RATIO] *= 256
+    return np.ceil(np.clip(x, 0, 255)).astype(np.uint8)
+
+
+def _decoded(codes: np.ndarray) -> np.ndarray:
+    x = codes.astype(float)
+    x[:, RATIO] /= 256
+    return x
+
+
+def _added_up(parts: RDD | _OneBlock) -> np.ndarray:
+    """Sum of arrays of whole numbers."""
+    if isinstance(parts, _OneBlock):
+        return parts.block
+    return parts.reduce(np.add) if parts.getNumPartitions() <= A_REDUCE else parts.treeReduce(np.add)
+
+
+def _value_counts(block: tuple) -> np.ndarray:
+    """How often each code of each feature occurs."""
+    codes, _, n = block
+    return np.stack([np.bincount(codes[:, j], weights=n, minlength=256) for j in range(FEATURES)])
+
+
+def _cuts(counts: np.ndarray, bins: int) -> list[np.ndarray]:
+    """By feature the smallest value and the quantiles, the largest value excepted: a cut leaves something on both sides."""
+    out = []
+    for c in counts:
+        total = np.cumsum(c)
+        values = np.flatnonzero(c)
+        ranks = np.linspace(0, 1, bins)[1:-1] * (total[-1] - 1)
+        cuts = np.unique(np.concatenate([values[:1], np.searchsorted(total, ranks, side="right")]))
+        out.append(cuts[cuts < values[-1]])
+    return out
+
+
+def _bin_table(cuts: list[np.ndarray]) -> np.ndarray:
+    """The bin of each code of each feature."""
+    return np.stack([np.searchsorted(c, np.arange(256), side="left") for c in cuts]).astype(np.uint8)
+
+
+def _leaf_of(tree: list, bins: np.ndarray, depth: int) -> np.ndarray:
+    """Where each row stands in a tree on bins; a node not split yet is None."""
+    j, t, left, right = (np.array([0 if node is None or node[0] < 0 else node[i] for node in tree], np.int64) for i in range(4))
+    inner = np.array([node is not None and node[0] >= 0 for node in tree])
+    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+    for _ in range(depth):
+        at = np.where(inner[at], np.where(bins[rows, j[at]] > t[at], right[at], left[at]), at)
+    return at
+
+
+def _gradients(trees: list[list], depth: int) -> Callable[[tuple], tuple]:
+    def of(block: tuple) -> tuple:
+        """Bins, counts, and the two derivatives of the loss after ``trees``, in whole units times the counts."""
+        bins, y, n = block
+        f = np.zeros(len(bins))
+        for tree in trees:
+            f += np.array([node[1] for node in tree], float)[_leaf_of(tree, bins, depth)]
+        p = 1 / (1 + np.exp(-f))
+        return bins, n, np.rint((y - p) * UNIT) * n, np.rint(p * (1 - p) * UNIT) * n
+
+    return of
+
+
+def _histograms(tree: list, level: list[int], bins: int) -> Callable[[tuple], np.ndarray]:
+    def of(block: tuple) -> np.ndarray:
+        """(derivatives and counts) by node of ``level``, feature and bin."""
+        x, n, g, h = block
+        place = np.full(len(tree), -1)
+        place[level] = np.arange(len(level))
+        node = place[_leaf_of(tree, x, len(tree).bit_length())]
+        here = node >= 0
+        x, node, weights = x[here], node[here], [w[here] for w in (g, h, n)]
+        out = np.zeros((3, len(level), FEATURES, bins))
+        for j in range(FEATURES):
+            key = node * bins + x[:, j]
+            for i, w in enumerate(weights):
+                out[i, :, j] = np.bincount(key, weights=w, minlength=len(level) * bins).reshape(len(level), bins)
+        return out
+
+    return of
+
+
 def _word(rng: random.Random, low: int, high: int) -> str:
     return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(low, high)))
 
@@ -267,26 +384,16 @@ def _harmless(rng: random.Random) -> str:
         f"look at this. And", f"meet at noon. Then", f"id={n(10)}", f"#{n(8)}", f"{n(8)}-{n(8)}"])
 
 
-def _examples(rows: list[dict], seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels, kinds, and (excerpt, text, start, end) of the candidates in rewritten excerpts.
+def _examples(rows: list[dict], times: int, seed: int) -> Iterator[tuple[str, list[tuple[list[float], bool, int, int]]]]:
+    """Texts made of excerpts: the excerpt and its candidates' features, labels, starts and ends.
 
     A rewritten span stands in its own sentence, in its sentence cut short at either side, or among words of another excerpt."""
-    rng = random.Random(seed)
     plain = [" ".join(w for w in r["near"].split() if w.isalpha()) for r in rows]
-    x, y, kinds, place = [], [], [], []
-    texts = 0
-
-    def learn(number: int, text: str, good: tuple[str, int, int] | None, lo: int, hi: int) -> None:
-        nonlocal texts
-        texts += 1
-        for kind, a, z in proposals(text):
-            if z > lo and a < hi:
-                x.append(features(text, kind, a, z))
-                y.append(float(good == (kind, a, z)))
-                kinds.append(kind)
-                place.append((number, texts, a, z))
-
-    def sides(t: str, a: int, z: int) -> tuple[str, str]:
+
+    def learn(text: str, good: tuple[str, int, int] | None, lo: int, hi: int) -> list[tuple[list[float], bool, int, int]]:
+        return [(features(text, kind, a, z), good == (kind, a, z), a, z) for kind, a, z in proposals(text) if z > lo and a < hi]
+
+    def sides(t: str, a: int, z: int, rng: random.Random) -> tuple[str, str]:
         how = rng.randrange(3)
         if how == 0:
             return t[:a], t[z:]
@@ -296,88 +403,132 @@ def _examples(rows: list[dict], seed: int) -> tuple[np.ndarray, np.ndarray, np.n
         k = rng.randint(0, len(other))
         return "".join(w + " " for w in other[max(0, k - 4):k]), "".join(" " + w for w in other[k:k + 4])
 
-    times = min(40, max(3, 4000 // max(1, sum(bool(r["kind"]) for r in rows))))  # a small sample is rewritten more often
-    for number, r in enumerate(rows):
+    for r in rows:
         t, a, z = r["near"], r["a"], r["z"]
+        rng = random.Random(f"{seed} {r['kind']} {a} {z} {t}")
         if r["kind"]:
-            learn(number, t, (r["kind"], a, z), a, z)
+            yield t, learn(t, (r["kind"], a, z), a, z)
             for _ in range(times):
-                left, right = sides(t, a, z)
+                left, right = sides(t, a, z, rng)
                 beside = rng.choice(["", "", _harmless(rng) + " "]), rng.choice(["", "", " " + _harmless(rng)])  # numbers right beside it
                 new = _rewrite(r["kind"], t[a:z], rng)
                 at = len(left) + len(beside[0])
-                learn(number, left + beside[0] + new + beside[1] + right, (r["kind"], at, at + len(new)), at, at + len(new))
-                left, right = sides(t, a, z)
+                yield t, learn(left + beside[0] + new + beside[1] + right, (r["kind"], at, at + len(new)), at, at + len(new))
+                left, right = sides(t, a, z, rng)
                 other = _harmless(rng)
                 if not base_spans(left[-1:] + other + right[:1]):  # digits that pass the check by chance are no look-alike
-                    learn(number, left + other + right, None, len(left), len(left) + len(other))
+                    yield t, learn(left + other + right, None, len(left), len(left) + len(other))
         elif not any(p < z and q > a for _, p, q in base_spans(t)):
-            learn(number, t, None, a, z)
-    return np.array(x), np.array(y), np.array(kinds), np.array(place, np.int64).reshape(-1, 4)
+            yield t, learn(t, None, a, z)
 
 
-def fit(rows: list[dict], precision: float = PRECISION, seed: int = 9) -> tuple[BoostedTrees | None, dict[str, float]]:
-    """Trees on four fifths of the excerpts; on the others each kind's lowest threshold with ``precision``."""
-    x, y, kinds, place = _examples(rows, seed)
-    if not y.any():
-        return None, {}
-    held = place[:, 0] % 5 == 0  # whole excerpts, with all their rewrites
-    if not y[~held].any():
-        held[:] = False
-    trees = BoostedTrees().fit(x[~held], y[~held])
-    check = held if held.any() else ~held
-    p, limits = trees.score(x[check]), {}
-    best = np.zeros(len(p), bool)  # of overlapping candidates only the best is ever added
-    taken: dict[int, list[tuple[int, int]]] = {}
-    spot = place[check].tolist()
-    for i in np.lexsort((-place[check][:, 3], place[check][:, 2], -p)).tolist():
-        _, text, a, z = spot[i]
-        if not any(s < z and e > a for s, e in taken.setdefault(text, [])):
-            taken[text].append((a, z))
-            best[i] = True
-    for kind in KINDS:
-        mine = (kinds[check] == kind) & best
-        order = np.argsort(-p[mine], kind="stable")
-        right = np.cumsum(y[check][mine][order]) / np.arange(1, mine.sum() + 1)
-        ok = np.flatnonzero((right >= precision) & (p[mine][order] >= 0.5))
-        if len(ok):
-            limits[kind] = float(p[mine][order][ok[-1]])
-    return trees, limits
-
-
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, precision: float = PRECISION, excerpts: int = EXCERPTS) -> tuple[BoostedTrees | None, dict[str, float]]:
-    """Trees and thresholds by kind, from about ``sample_rows`` rows that hold a digit or an at sign: at most
-    ``excerpts`` excerpts, ``PER_ROW`` a row, of 60 characters around a span. One task fits them; the driver gets the model."""
+def excerpts(docs: DataFrame) -> DataFrame:
+    """near, kind, a, z: every different excerpt of 60 characters around a base span (its kind) or a run of digits (kind empty)."""
     some = docs.select(F.col("text").cast("string").alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    n = some.count()
-    if not n:
-        return None, {}
-    draw = F.pmod(F.xxhash64("text", F.lit(23)), F.lit(1 << 30)) / (1 << 30)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for t in b.column(0).to_pylist():
-                spans = sorted((a, z, k) for k, a, z in base_spans(t) + [("", m.start(), m.end()) for m in re.finditer(r"[0-9][0-9 .-]{5,40}", t)])
-                for a, z, k in spans[:PER_ROW]:
-                    if z - a <= LOCAL + NAME:
-                        left = max(0, a - 60)
-                        out.append((t[left:z + 60], k, a - left, z - left))
-            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], ty) for i, ty in enumerate(
-                (pa.string(), pa.string(), pa.int32(), pa.int32()))], names=["near", "kind", "a", "z"])
-
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["near"], r["kind"], r["a"]))
-        trees, limits = fit(rows, precision) if rows else (None, {})
-        if trees is not None:
-            yield pa.RecordBatch.from_pydict({"model": [json.dumps({"trees": vars(trees), "limits": limits})]})
-
-    found = some.filter(draw < sample_rows / n).mapInArrow(around, "near string, kind string, a int, z int").distinct()
-    model = found.orderBy(F.xxhash64("near", "kind", "a", F.lit(5))).limit(excerpts).repartition(1).mapInArrow(learn, "model string").collect()
-    if not model:
+            for x in range(b.num_rows):
+                t = b.column(0)[x].as_py()
+                spans = [(a, z, k) for k, a, z in base_spans(t)] + [(m.start(), m.end(), "") for m in re.finditer(r"[0-9][0-9 .-]{5,40}", t)]
+                spans = [s for s in spans if s[1] - s[0] <= LOCAL + NAME]
+                for i in range(0, len(spans), CHUNK):
+                    out = [(t[max(0, a - 60):z + 60], k, min(a, 60), z - a + min(a, 60)) for a, z, k in spans[i:i + CHUNK]]
+                    yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], ty) for c, ty in enumerate(
+                        (pa.string(), pa.string(), pa.int32(), pa.int32()))], names=["near", "kind", "a", "z"])
+
+    return some.mapInArrow(around, "near string, kind string, a int, z int").distinct()
+
+
+def _made(found: DataFrame, times: int, tasks: int, hold: bool, seed: int) -> DataFrame:
+    """Examples of all excerpts. To learn from: code, label and count of each (``codes`` of one). To check with: all
+    candidates of a text in a row. With ``hold`` a fifth of the excerpts is for the check and the others to learn from, else all are for both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in b.to_pylist()]
+        learn: Counter = Counter()
+        out: list[tuple] = []
+        for near, made in _examples(rows, times, seed):
+            if not made:
+                continue
+            codes = _codes(np.array([m[0] for m in made]))
+            held = zlib.crc32(near.encode()) % 5 == 0
+            if held or not hold:
+                out.append((True, codes.tobytes(), bytes(m[1] for m in made), np.array([m[2:] for m in made], np.int32).tobytes(), 1))
+            if not held or not hold:
+                learn.update((c.tobytes(), m[1]) for c, m in zip(codes, made))
+        out += [(False, c, bytes([y]), b"", n) for (c, y), n in learn.items()]
+        for i in range(0, len(out), CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out[i:i + CHUNK]], ty) for c, ty in enumerate(
+                (pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64()))], names=["check", "codes", "labels", "places", "n"])
+
+    dealt = found.repartition(tasks, "near", "kind", "a", "z").sortWithinPartitions("near", "kind", "a", "z")
+    return dealt.mapInArrow(run, "check boolean, codes binary, labels binary, places binary, n long")
+
+
+def _blocks(learn: DataFrame) -> RDD:
+    """(codes, labels, counts) of different examples, a block a partition."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[], [], []]
+        for b in batches:
+            parts[0] += b.column(0).to_pylist()
+            parts[1] += b.column(1).to_pylist()
+            parts[2].append(b.column(2).to_numpy())
+        if parts[0]:
+            yield pa.RecordBatch.from_pydict({"c": [b"".join(parts[0])], "y": [b"".join(parts[1])], "n": [np.concatenate(parts[2]).tobytes()]})
+
+    def arrays(r) -> tuple:
+        return np.frombuffer(r["c"], np.uint8).reshape(-1, FEATURES), np.frombuffer(r["y"], np.uint8), np.frombuffer(r["n"], np.int64)
+
+    return learn.repartition(1 + learn.count() // A_BLOCK).mapInArrow(run, "c binary, y binary, n binary").rdd.map(arrays)
+
+
+def _limits(check: DataFrame, trees: BoostedTrees, precision: float) -> dict[str, float]:
+    """By kind the lowest threshold with ``precision``, to a step of the score: of overlapping candidates only the best is ever added."""
+    shared = check.sparkSession.sparkContext.broadcast(dict(vars(trees)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = rebuilt(BoostedTrees, shared.value)
+        for b in batches:
+            best = []
+            texts = [np.frombuffer(c, np.uint8).reshape(-1, FEATURES) for c in b.column(0).to_pylist()]
+            scores = np.split(model.score(_decoded(np.concatenate(texts))), np.cumsum([len(t) for t in texts])[:-1]) if texts else []
+            for x, p, y, place in zip(texts, scores, b.column(1).to_pylist(), b.column(2).to_pylist()):
+                place = np.frombuffer(place, np.int32).reshape(-1, 2)
+                taken: list[tuple[int, int]] = []
+                for i in np.lexsort((-place[:, 1], place[:, 0], -p)).tolist():
+                    a, z = place[i].tolist()
+                    if not any(s < z and e > a for s, e in taken):
+                        taken.append((a, z))
+                        best.append((int(x[i, 0]), int(p[i] * STEPS), y[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in best], pa.int64()) for c in range(3)], names=["kind", "step", "y"])
+
+    steps = check.select("codes", "labels", "places").mapInArrow(run, "kind long, step long, y long")
+    right: dict[int, int] = {}
+    seen, hit = Counter(), Counter()
+    for r in steps.groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).orderBy(F.col("step").desc()).collect():
+        seen[r["kind"]] += r["n"]
+        hit[r["kind"]] += r["y"]
+        if 2 * r["step"] >= STEPS and hit[r["kind"]] >= precision * seen[r["kind"]]:
+            right[r["kind"]] = r["step"]
+    return {KINDS[k]: step / STEPS for k, step in right.items()}
+
+
+def train(docs: DataFrame, precision: float = PRECISION, seed: int = 9) -> tuple[BoostedTrees | None, dict[str, float]]:
+    """Trees and thresholds by kind, from all rows: trees on four fifths of the excerpts, thresholds on the others. The driver
+    gets histograms and score counts, whose size does not grow with the rows."""
+    found = written(excerpts(docs), "pii_excerpts")
+    n, spans = found.agg(F.count(F.lit(1)), F.count_if(F.col("kind") != "")).first()
+    if not spans:
         return None, {}
-    state = json.loads(model[0]["model"])
-    return rebuilt(BoostedTrees, state["trees"]), state["limits"]
+    times, tasks = min(40, max(3, 4000 // spans)), 1 + n // A_TASK  # few spans are rewritten more often
+    for hold in (True, False):  # all excerpts for both, if there is nothing to learn from or to check with
+        made = written(_made(found, times, tasks, hold, seed), "pii_examples")
+        learn = made.filter("NOT check").groupBy("codes", "labels").agg(F.sum("n").alias("n"))
+        if not made.filter("NOT check AND labels = X'01'").isEmpty() and not made.filter("check").isEmpty():
+            trees = BoostedTrees().fit(_blocks(learn))
+            return trees, _limits(made.filter("check"), trees, precision)
+    return None, {}
 
 
 def added_spans(text: str, base: list, trees: BoostedTrees | None, limits: dict[str, float]) -> list[tuple[str, int, int]]:

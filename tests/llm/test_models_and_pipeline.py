@@ -269,6 +269,28 @@ def test_unseen_formats_and_names_are_found(spark):
     assert sum(bool(pii.added_spans(f.format(c), [], *model)) for c in calm for f in frames) <= 2
 
 
+def test_every_span_of_every_row_is_learned(spark):
+    """Addresses after many numbers of one row."""
+    text = "".join(f"on 2021-03-{d:02d} we sold {d}00 at {d}.75, " for d in range(10, 40)) + "write to jo.li@mail.example.com or 10.2.3.4 now"
+    docs = spark.createDataFrame([(0, text)], "doc_id long, text string")
+    found = pii.excerpts(docs).collect()
+    assert sum(r["kind"] == "" for r in found) >= 30 and {r["kind"] for r in found} == {"", "email", "ip"}
+    trees, _ = pii.train(docs)
+    assert trees is not None and len(trees.trees) == 50
+
+
+def test_blocks_are_added_up(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    codes = rng.integers(0, 9, (3000, pii.FEATURES)).astype(np.uint8)
+    y = ((codes[:, 3] > 4) ^ (rng.random(3000) < 0.1)).astype(np.uint8)
+    n = rng.integers(1, 4, 3000)
+    cut = lambda parts: spark.sparkContext.parallelize([(codes[i::parts], y[i::parts], n[i::parts]) for i in range(parts)], parts)
+    one, many = (pii.BoostedTrees(rounds=3).fit(cut(parts)) for parts in (1, 5))
+    assert one.trees == many.trees and ((one.score(pii._decoded(codes)) > 0.5) == (codes[:, 3] > 4)).mean() > 0.95
+    monkeypatch.setattr(pii, "A_REDUCE", 2)
+    assert pii.BoostedTrees(rounds=3).fit(cut(5)).trees == one.trees
+
+
 def test_op5_digest(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
     for r in QUERIES["op5_pii"](spark, SF).collect():
