@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..operators import decide as D
 from ..functions import scalar as S
 from ..operators import state as STT
+from ..session import even_waves
 from ..sources import committed as C
 from ..sources import files
 from ..sources import ingest as I
@@ -92,7 +93,8 @@ def land_messages(deliveries: DataFrame, landing: str, cut: int | Column = 0, pa
     writer = (rows.coalesce(parts) if parts else rows).write.mode("append").partitionBy("batch_id")
     if parts:
         writer = writer.option("parquet.block.size", PART_ROW_GROUP_BYTES)
-    writer.parquet(landing)
+    with even_waves(deliveries.sparkSession):
+        writer.parquet(landing)
 
 
 # --- S5: stream -> typed staging -------------------------------------------------------------
@@ -170,12 +172,13 @@ def cdc_drain(spark: SparkSession, landing: str, staging: str, checkpoint: str,
     """Drain unconsumed landing rows into the staging table, one run a
     drain: first arrivals of the drain, without files that hold a bad record."""
     held = Staging(spark, f"{staging.rstrip('/')}_landed", quarantine)
-    n = drain(landing_stream(spark, landing, max_files=max_files), checkpoint, held.stage)
-    done = I.epochs(spark, staging)
-    todo = held.pending(done[-1] if done else -1)
-    if todo:
-        I.append(D.dedup_first(held.take(todo), "message_id", ("loaded_at", "file_name")), staging, todo[-1])
-        held.trim(todo[0])
+    with even_waves(spark):
+        n = drain(landing_stream(spark, landing, max_files=max_files), checkpoint, held.stage)
+        done = I.epochs(spark, staging)
+        todo = held.pending(done[-1] if done else -1)
+        if todo:
+            I.append(D.dedup_first(held.take(todo), "message_id", ("loaded_at", "file_name")), staging, todo[-1])
+            held.trim(todo[0])
     return n
 
 
