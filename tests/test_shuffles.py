@@ -78,3 +78,30 @@ def test_first_merge_ranks_once(spark, monkeypatch):
     assert not files.exists(spark, f"{t.path}/changes")
     t.merge(spark.createDataFrame([(2, 6), (3, 1)], "k int, v int"), mark=2)
     assert t.mark() == "2" and sorted((r.k or 0, r.v) for r in t.read().collect()) == [(0, 7), (1, 2), (2, 6), (3, 1)]
+
+
+def test_one_derivation_and_no_id_is_shuffled(spark):
+    """The ids are compared by hash and trade, which come out of the same shuffle of the lines as the rows."""
+    df = QC.q_evaluate_replay(spark, SF_SMALL)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    lines = {re.sub(r"#\w+", "", x) for x in re.findall(r"Exchange hashpartitioning\(l_orderkey[^\n]*\n[^\n]*Project \[([^\n]*)\]", p)}
+    assert len(lines) == 1, lines
+    ids = re.findall(r"Exchange hashpartitioning\(message_id[^\n]*\n[^\n]*Project \[([^\n]*)\]", p)
+    assert any("xxhash64(message_id" in x for x in ids) and not any("loaded_at" in x and "_row" in x for x in ids), ids
+
+
+def test_rank_shuffles_only_what_ranks(spark):
+    p = QC.q_rank_in_batch(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.findall(r"p_type|s_name|c_mktsegment|l_extendedprice", p)
+    keys = {re.sub(r"#\w+", "", k.split(",")[0]) for k in re.findall(r"Exchange hashpartitioning\(([^)]*)", p)}
+    assert "batch_id" not in keys and not [k for k in keys if k.startswith("coalesce(trade_id")], keys
+
+
+def test_ids_that_share_a_hash_stay_apart(spark, monkeypatch):
+    """A hash of one value for all ids: every row is a suspect, and the ids decide."""
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    rows = [(1, "a", at(0), "f"), (2, "a", at(3), "f"), (3, "b", at(1), "f"), (4, None, at(1), "f"), (5, None, at(0), "f"), (1, "c", at(0), "f")]
+    df = spark.createDataFrame(rows, "trade_id bigint, message_id string, loaded_at timestamp_ntz, file_name string")
+    want = sorted(map(str, D.dedup_first(df).collect()))
+    monkeypatch.setattr(D.F, "xxhash64", lambda *_: F.lit(7).cast("bigint"))
+    assert sorted(map(str, D.dedup_by_trade(df).collect())) == want and len(want) == 4
