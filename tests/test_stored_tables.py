@@ -345,3 +345,14 @@ def test_collecting_refuses_what_is_not_small(spark):
     assert [r[0] for r in R.collect_report(spark.range(3), limit=3)] == [0, 1, 2]
     with pytest.raises(ValueError, match="more than 2 rows"):
         R.collect_report(spark.range(3), limit=2)
+
+
+def test_the_log_is_read_without_building_facts(spark, tmp_path):
+    import shutil
+
+    for t in store.INPUTS:
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+    assert not store.log(spark, str(tmp_path)).isEmpty()
+    gold = store._built(spark, str(tmp_path))[1]
+    assert gold.book.current() is None and not files.exists(spark, gold.rejects)
+    assert store.store(spark, str(tmp_path)) is gold and gold.book.current() is not None and not gold.rejected().isEmpty()
