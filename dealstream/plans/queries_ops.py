@@ -233,7 +233,7 @@ def q_scd2_history(spark, sf_dir):
 def q_scd2_snapshot(spark, sf_dir):
     """Two snapshot runs appended to the change log (C6), merged when read; equals the one-pass history."""
     dec = decision_log(spark, sf_dir)
-    hist = SCD.HistoryLog(spark, unique_dir(spark, "tables", "scd_log"))
+    hist = SCD.HistoryLog(spark, unique_dir(spark, "tables", "scd_log"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     for b, t in SNAPSHOTS:
         hist.run(ST.build_valid_fact(STT.state_as_of(dec, batch_id=b), BOUNDS), S.lit_ts(t), b)
     return hist.read()

@@ -356,3 +356,20 @@ def test_the_log_is_read_without_building_facts(spark, tmp_path):
     gold = store._built(spark, str(tmp_path))[1]
     assert gold.book.current() is None and not files.exists(spark, gold.rejects)
     assert store.store(spark, str(tmp_path)) is gold and gold.book.current() is not None and not gold.rejected().isEmpty()
+
+
+def test_merge_ranks_and_writes_with_one_shuffle(spark, monkeypatch):
+    t = KeyedTable(spark, unique_dir(spark, "test", "keyed"), ("k",), (F.col("at").desc(),), 4, ("v",))  # 8 shuffle partitions
+    rows = spark.range(2000).select((F.col("id") % 300).alias("k"), F.col("id").cast("int").alias("at"), (F.col("id") * 7 % 11).alias("v"))
+
+    def dealt(*_):
+        raise AssertionError("ranked rows are dealt again")
+
+    with monkeypatch.context() as m:
+        m.setattr(type(rows), "repartition", dealt)
+        t.merge(rows, mark=1)
+        t.merge(spark.createDataFrame([(5, 9000, 1), (5, 9001, 2), (400, 1, 3), (None, 2, 4), (6, 0, 9)], "k long, at int, v long"), mark=2)
+    got = {r.k: (r.at, r.v) for r in t.read().collect()}
+    assert len(got) == 302 and got[5] == (9001, 2) and got[400] == (1, 3) and got[None] == (2, 4) and got[6][0] == 1806
+    assert t.read().count() == 302
+    assert all(len(glob.glob(f"{t.path}/data/v={0:012d}/bucket={b}/*.parquet")) <= 2 for b in range(4))
