@@ -98,3 +98,39 @@ def test_odd_records_are_typed_field_by_field(spark):
             bad = bad | (F.col(n).isNull() & F.try_variant_get("_v", f"$.{n}", "string").isNotNull())
     want = typed.withColumn("bad", bad).drop("_v").withColumn("event_timestamp", I.utc_time("event_timestamp"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+
+
+def test_ids_travel_as_bytes_and_come_back_as_they_were(spark):
+    ids = [None, "", "a", "ab", "AB", "aB", "0f", "0f1", "zz", "00ff00ff", "é0", " 0f", "0f\n", "0x0f"]
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(ids)], "message_id string, i int")
+    packed = D._packed(df)
+    assert {r.i for r in packed.filter("_bytes IS NOT NULL").collect()} == {i for i, x in enumerate(ids) if x in ("ab", "0f", "00ff00ff")}
+    assert {r.i: r.message_id for r in D._unpacked(packed).collect()} == dict(enumerate(ids))
+
+
+def test_hex_ids_seen_before_and_under_two_trades(spark):
+    rows = _rows(spark, 5).withColumn("message_id", F.md5("message_id"))
+    seen = spark.createDataFrame([(f"m{i}",) for i in range(0, 200, 5)] + [(None,)], "message_id string").select(F.md5("message_id").alias("message_id"))
+    new = D.dedup_first(rows).join(seen, "message_id", "left_anti")
+    none = spark.createDataFrame([], "trade_id bigint, existing_version bigint")
+    assert _sorted(D.evaluate_drain(rows, seen, AS_OF, state=none, by_trade=True)) == _sorted(D.evaluate_drain(new, None, AS_OF, dedup=False))
+
+
+def test_a_drain_with_seen_ids_deals_whole_rows_once(spark, monkeypatch):
+    path = unique_dir(spark, "test", "staged")
+    QC.deliveries(spark, SF_SMALL).write.parquet(path)
+    rows = spark.read.parquet(path)
+    seen = rows.filter("batch_id = 1").select("message_id").distinct()
+    state = spark.createDataFrame([(1, 2)], "trade_id bigint, existing_version bigint")
+    out = D.evaluate_drain(rows, seen, T.AS_OF, state=state, by_trade=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    dealt = [re.sub(r"#\w+", "", x) for x in re.findall(r"Exchange hashpartitioning\([^\n]*REPARTITION[^\n]*\n[^\n]*?(Project \[[^\n]*)", plan)]
+    assert dealt and len(set(dealt)) == 1, set(dealt)
+
+
+def test_the_rebuild_parses_once_and_deals_by_trade(spark, monkeypatch):
+    laid, real = [], D.evaluate_laid
+    monkeypatch.setattr(D, "evaluate_laid", lambda rows, *a, **k: laid.append(rows) or real(rows, *a, **k))
+    QI.q_rebuild_equals_stream(spark, SF_SMALL)
+    plan = laid[0]._jdf.queryExecution().executedPlan().toString()
+    assert "from_json" not in plan and "try_parse_json" not in plan
