@@ -134,3 +134,19 @@ def test_the_rebuild_parses_once_and_deals_by_trade(spark, monkeypatch):
     QI.q_rebuild_equals_stream(spark, SF_SMALL)
     plan = laid[0]._jdf.queryExecution().executedPlan().toString()
     assert "from_json" not in plan and "try_parse_json" not in plan
+
+
+def test_a_file_delivered_again_is_read_from_the_landing(spark, monkeypatch):
+    derived, again = [], []
+    land, lines = QI.J.land_messages, QI.J.land_lines
+    monkeypatch.setattr(QI.J, "land_messages", lambda *a, **k: derived.append(a) or land(*a, **k))
+    monkeypatch.setattr(QI.J, "land_lines", lambda rows, *a, **k: again.append(rows) or lines(rows, *a, **k))
+    QI._two_drains(spark, SF_SMALL, lambda landing: None, reupload=True)
+    assert len(derived) == 2 and len(again) == 3
+    dl = QC.deliveries(spark, SF_SMALL).filter("file_name = 'deals_b1.jsonl'")
+    got = again[-1]
+    assert [r.n for r in got.groupBy("file_name").count().withColumnRenamed("count", "n").collect()] == [dl.count()]
+    seen = got.select("batch_id", "file_name", F.get_json_object("raw", "$.message_id").alias("message_id"), "loaded_at")
+    assert seen.select("batch_id", "file_name").distinct().collect() == [(T.N_BATCHES - 1, "reupload_b1.jsonl")]
+    want = dl.select("message_id", F.expr("timestampadd(HOUR, 3, loaded_at)").alias("loaded_at"))
+    assert seen.select(*want.columns).exceptAll(want).isEmpty()
